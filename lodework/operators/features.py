@@ -207,7 +207,7 @@ def customer_engagement_pit(orders: DataFrame, customers: DataFrame, spine: Spin
     """Engagement from the orders known on each observation date only."""
     daily = orders.filter(F.col("order_date") <= F.lit(spine.end)).groupBy(
         "customer_id", F.col("order_date").alias("date_key")).agg(
-        F.count_distinct("order_id").alias("orders"), F.sum("order_amount").alias("amount"))
+        F.count_distinct("order_id").alias("orders"), F.sum(X.money("order_amount")).alias("amount"))
     totals = {"lifetime_order_count": "bigint", "lifetime_value": AMOUNT}
     changes = _enter_and_leave(
         daily, "customer_id", {"lifetime_order_count": F.col("orders"), "lifetime_value": F.col("amount")}, [],

@@ -54,7 +54,7 @@ def order_history(orders: DataFrame) -> DataFrame:
     """Per customer: distinct orders, value, first and last order date."""
     return orders.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("lifetime_order_count"),
-        F.sum("order_amount").alias("lifetime_value"),
+        F.sum(X.money("order_amount")).alias("lifetime_value"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
     )
@@ -90,12 +90,14 @@ def fact_orders(items: DataFrame, orders: DataFrame, customers: DataFrame) -> Da
     keyed = orders.join(customers.select("customer_id", "nation_key"), "customer_id")
     order = keyed.select(
         "order_id", "customer_id", F.col("nation_key").alias("territory_id"),
-        F.col("order_date").alias("date_key"), F.col("order_amount").alias("order_total"),
+        F.col("order_date").alias("date_key"), X.money("order_amount").alias("order_total"),
         F.col("status").alias("order_status"), X.digits_as_id("sales_clerk").alias("_clerk_id"))
     return items.join(order, "order_id").withColumns({
         "order_item_key": F.col("order_item_id"),
         "rep_id": F.coalesce("_clerk_id", "supplier_id"),
-        "revenue": F.col("line_total"),
+        "quantity": X.money("quantity"),
+        "unit_price": F.col("unit_price").cast("decimal(18,8)"),
+        "revenue": X.money("line_total"),
     }).select(*FACT_COLUMNS)
 
 

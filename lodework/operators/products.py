@@ -152,7 +152,7 @@ def top_forecasts(forecast: DataFrame, k: int = 10) -> DataFrame:
 def _customer_months(dim_customers: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per customer and month with orders, and the customer's first month."""
     monthly = orders.withColumn("order_month", X.month_start("order_date")).groupBy(
-        "customer_id", "order_month").agg(F.sum("order_amount").alias("amount"))
+        "customer_id", "order_month").agg(F.sum(X.money("order_amount")).alias("amount"))
     first = dim_customers.filter(F.col("first_order_date").isNotNull()).select(
         "customer_id", X.month_start("first_order_date").alias("cohort_month"))
     return monthly.join(first, "customer_id").withColumn(

@@ -188,10 +188,10 @@ def revenue_profile(orders: DataFrame) -> DataFrame:
     return orders.agg(
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("order_id").alias("total_orders"),
-        F.sum("order_amount").alias("total_revenue"),
+        F.sum(X.money("order_amount")).alias("total_revenue"),
         F.count("order_amount").alias("_n"),
-        F.min("order_amount").alias("min_order"),
-        F.max("order_amount").alias("max_order"),
+        X.money(F.min("order_amount")).alias("min_order"),
+        X.money(F.max("order_amount")).alias("max_order"),
     ).withColumn("avg_order_value", X.mean(F.col("total_revenue"), F.col("_n"))).drop("_n")
 
 
@@ -208,7 +208,7 @@ def distribution(df: DataFrame, column: str, count_name: str, digits: int = 1) -
 def reconcile(items: DataFrame, fact: DataFrame) -> DataFrame:
     """Total revenue of the cleaned lines and of the fact table."""
     return union_all([
-        items.agg(F.sum("line_total").alias("total_revenue")).select(
+        items.agg(F.sum(X.money("line_total")).alias("total_revenue")).select(
             F.lit("Silver total revenue").alias("source"), "total_revenue"),
         fact.agg(F.sum("revenue").alias("total_revenue")).select(
             F.lit("Gold fact_orders revenue").alias("source"), "total_revenue"),
@@ -217,7 +217,7 @@ def reconcile(items: DataFrame, fact: DataFrame) -> DataFrame:
 
 def revenue_variance(orders: DataFrame, product: DataFrame, month: int, tolerance: float = 50) -> DataFrame:
     """Gap between order amounts and a product's revenue in one calendar month."""
-    left = orders.filter(F.month("order_date") == month).agg(F.sum("order_amount").alias("amount"))
+    left = orders.filter(F.month("order_date") == month).agg(F.sum(X.money("order_amount")).alias("amount"))
     right = product.filter(F.col("month") == month).agg(F.sum("revenue_generated").alias("amount"))
     gap = F.abs(F.coalesce(F.col("amount"), F.lit(0)) - F.coalesce(right.scalar(), F.lit(0)))
     return left.select(gap.alias("variance"), (gap <= F.lit(tolerance)).alias("within_tolerance"))

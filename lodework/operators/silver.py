@@ -109,7 +109,7 @@ def orders(bronze: DataFrame, customers: DataFrame, as_of: date) -> DataFrame:
 
 def math_gap() -> Column:
     """Distance between the stated line total and quantity x price x (1 - discount)."""
-    kept = F.lit(1).cast("decimal(5,2)") - F.coalesce(F.col("discount_rate"), F.lit(0).cast("decimal(5,2)"))
+    kept = F.lit(1) - F.coalesce(F.col("discount_rate"), F.lit(0))
     return F.abs(F.col("quantity") * F.col("unit_price") * kept - F.col("line_total"))
 
 

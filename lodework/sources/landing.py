@@ -1,12 +1,12 @@
 """Landing tables: the raw tables renamed once to the vocabulary of all later layers.
 
-Money and quantities become two-digit decimals here, so that every later sum is exact.
-Columns the raw tables may lack become typed NULLs.
+Numbers keep the type of the source, so that later filters reach the Parquet scan; they
+become decimals where they are summed. Columns the raw tables may lack become typed NULLs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
@@ -19,7 +19,7 @@ def customers(customer: DataFrame) -> DataFrame:
         X.column_or_null(customer, "c_address", "string").alias("address"),
         F.col("c_nationkey").cast("bigint").alias("nation_key"),
         X.column_or_null(customer, "c_phone", "string").alias("phone"),
-        X.money("c_acctbal").alias("account_balance"),
+        F.col("c_acctbal").alias("account_balance"),
         F.col("c_mktsegment").alias("segment"),
         X.column_or_null(customer, "c_comment", "string").alias("notes"),
     )
@@ -30,7 +30,7 @@ def orders(raw: DataFrame) -> DataFrame:
         F.col("o_orderkey").cast("bigint").alias("order_id"),
         F.col("o_custkey").cast("bigint").alias("customer_id"),
         F.col("o_orderstatus").alias("status"),
-        X.money("o_totalprice").alias("order_amount"),
+        F.col("o_totalprice").alias("order_amount"),
         F.to_date("o_orderdate").alias("order_date"),
         F.col("o_orderpriority").alias("priority"),
         X.column_or_null(raw, "o_clerk", "string").alias("sales_clerk"),
@@ -39,9 +39,23 @@ def orders(raw: DataFrame) -> DataFrame:
     )
 
 
+def _line_total(lineitem: DataFrame) -> Column:
+    """Price after discount, rounded half up to cents.
+
+    With double prices the product is formed in whole cents times whole percent, which
+    rounds half cents as a decimal would.
+    """
+    if dict(lineitem.dtypes)["l_extendedprice"] != "double":
+        return F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2)
+    def whole(column: Column) -> Column:
+        return F.floor(column * 100 + 0.5)
+
+    hundredths = whole(F.col("l_extendedprice")) * (100 - whole(F.col("l_discount")))
+    return F.signum(hundredths) * F.floor((F.abs(hundredths) + 50) / 100) / 100
+
+
 def order_items(lineitem: DataFrame) -> DataFrame:
-    quantity, price = X.money("l_quantity"), X.money("l_extendedprice")
-    discount = F.col("l_discount").cast("decimal(5,2)")
+    quantity = F.col("l_quantity")
     return lineitem.select(
         F.col("l_orderkey").cast("bigint").alias("order_id"),
         F.col("l_partkey").cast("bigint").alias("product_id"),
@@ -50,9 +64,9 @@ def order_items(lineitem: DataFrame) -> DataFrame:
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
         .alias("order_item_id"),
         quantity.alias("quantity"),
-        (price / F.nullif(quantity, F.lit(0).cast("decimal(18,2)"))).cast("decimal(18,8)").alias("unit_price"),
-        F.round(price * (F.lit(1).cast("decimal(5,2)") - discount), 2).cast("decimal(18,2)").alias("line_total"),
-        discount.alias("discount_rate"),
+        F.when(quantity != 0, F.col("l_extendedprice") / quantity).alias("unit_price"),
+        _line_total(lineitem).alias("line_total"),
+        F.col("l_discount").alias("discount_rate"),
         F.col("l_returnflag").alias("return_flag"),
         F.col("l_linestatus").alias("line_status"),
         F.to_date("l_shipdate").alias("ship_date"),
@@ -72,22 +86,21 @@ def products(part: DataFrame) -> DataFrame:
         F.col("p_type").alias("full_type"),
         F.col("p_size").cast("bigint").alias("product_size"),
         X.column_or_null(part, "p_container", "string").alias("container_type"),
-        X.money("p_retailprice").alias("unit_price"),
+        F.col("p_retailprice").alias("unit_price"),
         X.column_or_null(part, "p_comment", "string").alias("notes"),
     )
 
 
 def sales_reps(supplier: DataFrame) -> DataFrame:
     """Suppliers act as sales representatives; the quota is a scaled account balance."""
-    balance = X.money("s_acctbal")
     return supplier.select(
         F.col("s_suppkey").cast("bigint").alias("rep_id"),
         F.col("s_name").alias("name"),
         X.column_or_null(supplier, "s_address", "string").alias("address"),
         F.col("s_nationkey").cast("bigint").alias("nation_key"),
         X.column_or_null(supplier, "s_phone", "string").alias("phone"),
-        balance.alias("account_balance"),
-        F.round(F.abs(balance) * 100, 2).cast("decimal(18,2)").alias("quota"),
+        F.col("s_acctbal").alias("account_balance"),
+        F.round(F.abs(X.money("s_acctbal")) * 100, 2).cast("decimal(18,2)").alias("quota"),
         F.lit("Active").alias("status"),
         X.column_or_null(supplier, "s_comment", "string").alias("notes"),
     )
