@@ -75,7 +75,7 @@ def run(spark: SparkSession, source_dir: str, target_dir: str, *, as_of: date =
         for name, table in PHASES[phase].items():
             stored[name] = _write(table(model()), name, f"{target_dir.rstrip('/')}/{name.replace('.', '/')}")
             if name == "silver.checked_items":
-                stored["silver.order_items"] = silver.accepted(stored[name])
+                stored["silver.order_items"] = silver.accepted(stored[name].filter(F.col("is_rejected") == 0))
         if on_phase:
             on_phase(phase, time.monotonic() - started)
     return model()
@@ -87,7 +87,7 @@ def _write(df: DataFrame, name: str, path: str) -> DataFrame:
         df = sinks.clustered(df, CLUSTERED[name])
     if name == "silver.checked_items":
         # Accepted and rejected lines lie in separate folders, written by one pass.
-        _partitioned(df.withColumn("is_rejected", F.col("rejection_reason").isNotNull()), path, "is_rejected")
+        _partitioned(df.withColumn("is_rejected", F.when(F.col("rejection_reason").isNull(), 0).otherwise(1)), path, "is_rejected")
         return df.sparkSession.read.parquet(path)
     if name.startswith("features."):
         # Readers of one date or range prune to its months.

@@ -82,7 +82,7 @@ class Store:
     # --- children
     def accepted(self, name: str) -> DataFrame:
         rows = _read(self.spark, self.folder(name))
-        return rows.filter("accepted").drop("accepted", "batch")
+        return rows.filter(F.col("accepted") == 1).drop("accepted", "batch")
 
     def waiting(self, name: str, before: int | None = None) -> DataFrame | None:
         """Rows still without a parent: those the newest batch (before a given one) left over."""
@@ -94,7 +94,7 @@ class Store:
         last = rows.agg(F.max("batch")).first()[0]
         if last is None:
             return None
-        return rows.filter((F.col("batch") == last) & ~F.col("accepted")).drop("accepted", "batch")
+        return rows.filter((F.col("batch") == last) & (F.col("accepted") == 0)).drop("accepted", "batch")
 
 
 def refresh_customers(store: Store, feed: DataFrame, *, continuous: bool = False) -> StreamingQuery:
@@ -120,7 +120,7 @@ def refresh_children(store: Store, name: str, feed: DataFrame, clean: Callable[[
             rows = rows.unionByName(left_over)
         parents = parent_keys().select(key).distinct().withColumn("_known", F.lit(True))
         decided = rows.join(parents, key, "left").withColumn(
-            "accepted", F.coalesce("_known", F.lit(False))).drop("_known")
+            "accepted", F.when(F.col("_known"), 1).otherwise(0)).drop("_known")
         _write_batch(decided, store.folder(name), batch_id, "accepted")
 
     return _run(feed, write, store.folder(f"checkpoints/{name}"), continuous)
