@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
@@ -117,15 +117,19 @@ GATED_PRODUCTS = ("sales_rep_monthly_performance", "customer_revenue_forecast",
 MANUAL_CHECK = "marketplace_consumer_test_passed"
 
 
-def _gate(measured: DataFrame, gate_id: str, name: str, passed: Column, actual: Column, expected: str,
-          details: str | Column) -> DataFrame:
-    return measured.select(
+def _gate(gate_id: str, name: str, passed: Column, actual: Column, expected: str, details: str | Column) -> Column:
+    return F.struct(
         F.lit(gate_id).alias("gate_id"), F.lit(name).alias("gate_name"),
         F.when(passed, "PASS").otherwise("FAIL").alias("status"),
         actual.cast("string").alias("actual_value"), F.lit(expected).alias("expected_value"),
         (F.lit(details) if isinstance(details, str) else details).alias("details"))
 
 
+def _rows(measured: DataFrame, *gates: Column) -> DataFrame:
+    """The gates that read the same one-row measurement, from one evaluation of it."""
+    return measured.select(F.inline(F.array(*gates)))
+
+
 def _present(spark: SparkSession, names, required) -> DataFrame:
     found = {n.upper() for n in names}
     return spark.range(1).select(F.lit(sum(r in found for r in required)).alias("n"))
@@ -135,74 +139,95 @@ def _least_rows(tables: Sequence[DataFrame]) -> DataFrame:
     return union_all([count_rows(df, "n") for df in tables]).agg(F.min("n").alias("n"))
 
 
-def _min_gate(tables, gate_id, name, details) -> DataFrame:
-    return _gate(_least_rows(tables), gate_id, name, F.col("n") > 0,
-                 F.concat(F.lit("MIN="), F.col("n").cast("string")), "MIN > 0", details)
+def _min_gate(gate_id: str, name: str, details: str, least: str = "n") -> Column:
+    n = F.col(least)
+    return _gate(gate_id, name, n > 0, F.concat(F.lit("MIN="), n.cast("string")), "MIN > 0", details)
+
+
+def _some_rows(gate_id: str, name: str, details: str, expected: str = ">= 1", count: str = "n") -> Column:
+    return _gate(gate_id, name, F.col(count) >= 1, F.col(count), expected, details)
 
 
 def gate_landing_present(spark: SparkSession, landing: Mapping[str, DataFrame]) -> DataFrame:
-    return _gate(_present(spark, landing, LANDING_TABLES), "A1", "LANDING required tables present",
-                 F.col("n") == 6, F.col("n"), "6", "Required LANDING tables: " + ", ".join(LANDING_TABLES))
+    return _rows(_present(spark, landing, LANDING_TABLES), _gate(
+        "A1", "LANDING required tables present", F.col("n") == 6, F.col("n"), "6",
+        "Required LANDING tables: " + ", ".join(LANDING_TABLES)))
 
 
 def gate_landing_filled(landing: Mapping[str, DataFrame]) -> DataFrame:
-    return _min_gate(list(landing.values()), "A2", "LANDING row counts non-zero",
-                     "All core LANDING tables must contain data")
+    return _rows(_least_rows(list(landing.values())), _min_gate(
+        "A2", "LANDING row counts non-zero", "All core LANDING tables must contain data"))
 
 
-def gate_some_rows(log: DataFrame, gate_id: str, name: str, details: str, expected: str = ">= 1") -> DataFrame:
-    """At least one row; ``expected`` only states it."""
-    return _gate(count_rows(log, "n"), gate_id, name, F.col("n") >= 1, F.col("n"), expected, details)
+def gate_job_telemetry(job_runs: DataFrame) -> DataFrame:
+    return _rows(count_rows(job_runs, "n"), _some_rows(
+        "B4", "Job telemetry present", "Expected at least one row in job_runs"))
 
 
-def gate_task_success(audit: DataFrame, now: datetime, days: int = 7, least_pct: int = 95) -> DataFrame:
-    recent = audit.filter(F.col("executed_at") >= F.lit(now - timedelta(days=days)).cast("timestamp_ntz"))
-    measured = recent.agg(
-        F.count(F.lit(1)).alias("runs"), F.count_if(F.col("result_status") == "PASS").alias("passed"),
+def gates_task_audit(audit: DataFrame, now: datetime, days: int = 7, least_pct: int = 95) -> DataFrame:
+    """Success rate of the last days and presence of any run."""
+    recent = F.col("executed_at") >= F.lit(now - timedelta(days=days)).cast("timestamp_ntz")
+    measured = audit.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(recent).alias("runs"),
+        F.count_if(recent & (F.col("result_status") == "PASS")).alias("passed"),
     ).withColumn("rate", X.share_pct(F.col("passed"), F.col("runs")))
-    return _gate(measured, "B5", "Monitoring task success rate (7d)", F.col("rate") >= least_pct, F.col("rate"),
-                 f">= {least_pct}", "Success rate over last 7 days from MONITORING.task_run_audit")
+    return _rows(
+        measured,
+        _gate("B5", "Monitoring task success rate (7d)", F.col("rate") >= least_pct, F.col("rate"),
+              f">= {least_pct}", "Success rate over last 7 days from MONITORING.task_run_audit"),
+        _some_rows("F2", "Task audit telemetry present",
+                   "Expected at least one row in task_run_audit after validation runs"))
 
 
-def gate_metadata_present(spark: SparkSession, names) -> DataFrame:
-    return _gate(_present(spark, names, METADATA_TABLES), "C3", "AI-ready artifacts present", F.col("n") == 3,
-                 F.col("n"), "3", "Expected: " + ", ".join("GOLD." + t.lower() for t in METADATA_TABLES))
+def gate_quality_log(log: DataFrame) -> DataFrame:
+    return _rows(count_rows(log, "n"), _some_rows(
+        "C1", "DQ log populated", "Expected DQ check records in monitoring log"))
+
 
+def gate_silver_items(items: DataFrame) -> DataFrame:
+    return _rows(count_rows(items, "n"), _some_rows(
+        "C2", "Silver order_items populated", "Core trusted fact grain must exist in Silver", expected="> 0"))
 
-def gate_sla(sla: DataFrame) -> DataFrame:
-    measured = sla.agg(F.count_if(F.col("sla_status") != "PASS").alias("n"))
-    return _gate(measured, "D1", "SLA status all PASS", F.col("n") == 0, F.col("n"), "0",
-                 "Rows in product_sla_status where SLA_STATUS <> PASS")
+
+def gate_metadata_present(spark: SparkSession, names) -> DataFrame:
+    return _rows(_present(spark, names, METADATA_TABLES), _gate(
+        "C3", "AI-ready artifacts present", F.col("n") == 3, F.col("n"), "3",
+        "Expected: " + ", ".join("GOLD." + t.lower() for t in METADATA_TABLES)))
 
 
-def gate_products_filled(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _min_gate([tables[p] for p in GATED_PRODUCTS], "D2", "All three data products populated",
-                     ", ".join(GATED_PRODUCTS))
+def gates_products(sla: DataFrame) -> DataFrame:
+    """Freshness of all products and rows of the gated ones, both read off the SLA rows."""
+    gated = F.col("product_name").isin(list(GATED_PRODUCTS))
+    measured = sla.agg(
+        F.count_if(F.col("sla_status") != "PASS").alias("late"),
+        F.min(F.when(gated, F.col("current_row_count"))).alias("least"))
+    return _rows(
+        measured,
+        _gate("D1", "SLA status all PASS", F.col("late") == 0, F.col("late"), "0",
+              "Rows in product_sla_status where SLA_STATUS <> PASS"),
+        _min_gate("D2", "All three data products populated", ", ".join(GATED_PRODUCTS), "least"))
 
 
 def gate_manual(checks: DataFrame, name: str = MANUAL_CHECK) -> DataFrame:
-    return _gate(checks.filter(F.col("check_name") == name), "E1", "Marketplace consumer test evidence",
-                 F.col("check_value"), F.when(F.col("check_value"), "TRUE").otherwise("FALSE"), "TRUE",
-                 F.coalesce("notes", F.lit("Manual evidence required")))
+    return _rows(checks.filter(F.col("check_name") == name), _gate(
+        "E1", "Marketplace consumer test evidence", F.col("check_value"),
+        F.when(F.col("check_value"), "TRUE").otherwise("FALSE"), "TRUE",
+        F.coalesce("notes", F.lit("Manual evidence required"))))
 
 
 def gates(spark: SparkSession, *, landing, job_runs, task_audit, dq_log, silver_items, metadata_names, sla,
-          products, manual_checks, now: datetime, run_id: int = 1) -> DataFrame:
+          manual_checks, now: datetime, run_id: int = 1) -> DataFrame:
     """All gates of one run."""
     results = union_all([
         gate_landing_present(spark, landing),
         gate_landing_filled(landing),
-        gate_some_rows(job_runs, "B4", "Job telemetry present", "Expected at least one row in job_runs"),
-        gate_task_success(task_audit, now),
-        gate_some_rows(dq_log, "C1", "DQ log populated", "Expected DQ check records in monitoring log"),
-        gate_some_rows(silver_items, "C2", "Silver order_items populated",
-                       "Core trusted fact grain must exist in Silver", expected="> 0"),
+        gate_job_telemetry(job_runs),
+        gates_task_audit(task_audit, now),
+        gate_quality_log(dq_log),
+        gate_silver_items(silver_items),
         gate_metadata_present(spark, metadata_names),
-        gate_sla(sla),
-        gate_products_filled(products),
+        gates_products(sla),
         gate_manual(manual_checks),
-        gate_some_rows(task_audit, "F2", "Task audit telemetry present",
-                       "Expected at least one row in task_run_audit after validation runs"),
     ])
     return results.select(F.lit(run_id).cast("bigint").alias("run_id"), "*",
                           F.lit(now).cast("timestamp_ntz").alias("evaluated_at"))
@@ -214,17 +239,19 @@ def next_run_id(results: DataFrame) -> int:
 
 def release_decision(results: DataFrame) -> DataFrame:
     """PASS or FAIL with the counts, for the newest run."""
-    return latest_run(results).groupBy("run_id").agg(
+    return results.groupBy("run_id").agg(
         F.count_if(F.col("status") == "PASS").alias("pass_count"),
         F.count_if(F.col("status") == "FAIL").alias("fail_count"),
         F.min("evaluated_at").alias("evaluated_at"),
-    ).select("run_id", F.when(F.col("fail_count") == 0, "PASS").otherwise("FAIL").alias("release_status"),
-             "pass_count", "fail_count", "evaluated_at")
+    ).orderBy(F.col("run_id").desc()).limit(1).select(
+        "run_id", F.when(F.col("fail_count") == 0, "PASS").otherwise("FAIL").alias("release_status"),
+        "pass_count", "fail_count", "evaluated_at")
 
 
 def latest_run(results: DataFrame) -> DataFrame:
-    newest = results.select(F.max("run_id")).scalar()
-    return results.filter(F.col("run_id") == newest)
+    """Rows of the newest run; the log holds a dozen rows per run, so one window suits it."""
+    newest = F.max("run_id").over(Window.partitionBy())
+    return results.withColumn("_newest", newest).filter(F.col("run_id") == F.col("_newest")).drop("_newest")
 
 
 # --- manual evidence ------------------------------------------------------------------------------

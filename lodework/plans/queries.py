@@ -106,7 +106,7 @@ def damaged(spark: SparkSession, folder: str) -> SalesModel:
         "quantity": F.when(F.col("discount_rate") == 0.0, 0.0).otherwise(F.col("quantity")),
         "unit_price": F.when(F.col("line_number") == 7, -F.col("unit_price")).otherwise(F.col("unit_price")),
         "line_total": F.when(F.col("discount_rate") == 0.01, 0.0).when(
-            F.col("discount_rate") == 0.02, F.col("line_total") + 5).otherwise(F.col("line_total")),
+            F.col("discount_rate") == 0.02, F.round(F.col("line_total") + 5, 2)).otherwise(F.col("line_total")),
         "order_item_id": F.when(~((F.col("line_number") == 6) & (F.col("return_flag") == "A")), F.col("order_item_id")),
         "order_id": F.when(~((F.col("line_number") == 6) & (F.col("return_flag") == "N")), F.col("order_id")),
         "product_id": F.when(~((F.col("line_number") == 5) & (F.col("return_flag") == "N")), F.col("product_id")),
@@ -268,7 +268,7 @@ def gate_results(m: SalesModel, sla_times, passed: bool = True) -> DataFrame:
     return governance.gates(
         m.spark, landing=m.landing, job_runs=job_runs(m), task_audit=validations(m), dq_log=m.quality_log,
         silver_items=m.order_items, metadata_names=governance.METADATA_TABLES,
-        sla=governance.sla_status(published, NOW), products=published, manual_checks=checks, now=NOW)
+        sla=governance.sla_status(published, NOW), manual_checks=checks, now=NOW)
 
 
 simple("governance_sla_status", sla)
@@ -281,8 +281,8 @@ simple("governance_release_decision", lambda m: governance.release_decision(gate
 simple("governance_job_runs", job_runs)
 QUERIES["governance_runs_per_day"] = lambda spark, folder: portable(
     governance.runs_per_day(event_log(spark, folder), "executed_at", "product_name", "result_status"))
-QUERIES["governance_task_success"] = lambda spark, folder: portable(
-    governance.gate_task_success(event_log(spark, folder), LOG_END))
+QUERIES["governance_task_audit_gates"] = lambda spark, folder: portable(
+    governance.gates_task_audit(event_log(spark, folder), LOG_END))
 QUERIES["report_task_audit_tail"] = lambda spark, folder: portable(
     reports.task_audit_tail(event_log(spark, folder)))
 simple("report_product_catalogue", lambda m: reports.product_catalogue(sla(m), reports.product_comments(m.spark)))

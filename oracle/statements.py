@@ -291,7 +291,7 @@ add("gold_monthly_sales_summary", f"""SELECT {MONTH}, territory_id, territory_na
     {money('max_c', 'max_order_value')}, {money('min_c', 'min_order_value')} FROM monthly JOIN (
     SELECT ym, territory, {mean('sum(total_c)', 'count(*)')} AS avg_order_value_dedup FROM (
         SELECT DISTINCT strftime(date_key, '%Y-%m') AS ym, territory_id AS territory, order_id, order_total_c AS total_c
-        FROM fact) GROUP BY ALL) ON ym = year_month AND territory = territory_id""")
+        FROM fact WHERE date_key BETWEEN DATE '1992-01-01' AND DATE '2000-01-01') GROUP BY ALL) ON ym = year_month AND territory = territory_id""")
 add("gold_customer_lifetime_value", f"SELECT {CLV} FROM clv")
 PERF = f"""product_id, product_name, category, manufacturer, brand, unit_price, total_orders, total_units_sold,
     {money('revenue_c', 'total_revenue')}, avg_revenue_per_line, avg_units_per_order, returned_items, return_rate_pct,
@@ -449,11 +449,13 @@ add("governance_job_runs", f"SELECT *, '2025-01-01 12:00:00' AS run_at FROM ({JO
 add("governance_runs_per_day", """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d 00:00:00') AS run_day,
     event_type AS product_name, CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'PASS' END AS result_status,
     count(*) AS runs FROM events GROUP BY ALL""")
-add("governance_task_success", f"""SELECT 'B5' AS gate_id, 'Monitoring task success rate (7d)' AS gate_name,
+add("governance_task_audit_gates", f"""SELECT 'B5' AS gate_id, 'Monitoring task success rate (7d)' AS gate_name,
     CASE WHEN r >= 95 THEN 'PASS' ELSE 'FAIL' END AS status, printf('%.2f', r) AS actual_value, '>= 95' AS expected_value,
     'Success rate over last 7 days from MONITORING.task_run_audit' AS details FROM (
     SELECT {pct("count(CASE WHEN event_type <> 'error' THEN 1 END)", 'count(*)')} AS r FROM events
-    WHERE ts >= TIMESTAMP '2024-01-24')""")
+    WHERE ts >= TIMESTAMP '2024-01-24') UNION ALL SELECT 'F2', 'Task audit telemetry present',
+    CASE WHEN count(*) >= 1 THEN 'PASS' ELSE 'FAIL' END, CAST(count(*) AS VARCHAR), '>= 1',
+    'Expected at least one row in task_run_audit after validation runs' FROM events""")
 add("report_task_audit_tail", """SELECT 'task_' || event_type AS task_name, event_type AS product_name,
     CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'PASS' END AS result_status,
     strftime(ts, '%Y-%m-%d %H:%M:%S') AS executed_at FROM events ORDER BY ts DESC, task_name LIMIT 20""")
