@@ -1,13 +1,16 @@
 """Materialise the layers in dependency order.
 
 Each layer is written once and the later ones read the stored tables, so a line is
-parsed, checked and joined once however many marts use it.
+parsed, checked and joined once however many marts use it. Tables of one group do not
+depend on each other; their jobs are submitted together so that a small table does not
+leave the cluster idle.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,40 +27,47 @@ LOOKUPS = {"gold.fact_orders": ("customer_id", "product_id", "territory_id", "or
            "gold.dim_customers": ("customer_id", "nation_key"),
            "gold.dim_products": ("product_id", "category")}
 
-PHASES: dict[str, dict[str, Callable[[SalesModel], DataFrame]]] = {
-    "bronze": {f"bronze.{t}": (lambda m, t=t: m.bronze[t])
-               for t in ("customers", "orders", "order_items", "products", "sales_reps", "territories")},
-    "silver": {
-        "silver.customers": lambda m: m.customers,
-        "silver.territories": lambda m: m.territories,
-        "silver.products": lambda m: m.products,
-        "silver.sales_reps": lambda m: m.sales_reps,
-        "silver.orders": lambda m: m.orders,
-        "silver.checked_items": lambda m: m.checked_items,
-    },
-    "gold": {
-        "gold.dim_products": lambda m: m.dim_products,
-        "gold.dim_sales_reps": lambda m: m.dim_sales_reps,
-        "gold.dim_customers": lambda m: m.dim_customers,
-        "gold.fact_orders": lambda m: m.fact,
-        "gold.monthly_sales_summary": lambda m: m.monthly_sales,
-        "gold.customer_lifetime_value": lambda m: m.lifetime_value,
-        "gold.product_performance": lambda m: m.product_performance,
-        "gold.sales_rep_scorecard": lambda m: m.scorecard,
-        "gold.customer_segmentation": lambda m: m.segmentation,
-    },
-    "products": {
-        "gold.sales_rep_monthly_performance": lambda m: m.rep_monthly,
-        "gold.customer_revenue_forecast": lambda m: m.forecast,
-        "gold.customer_acquisition_cohort": lambda m: m.cohorts,
-        "gold.product_performance_analytics": lambda m: m.product_analytics,
-    },
-    "features": {
-        "features.customer_rfm": lambda m: m.rfm_features,
-        "features.customer_engagement": lambda m: m.engagement_features,
-        "features.product_performance": lambda m: m.product_features,
-        "features.sales_rep_quota": lambda m: m.rep_features,
-    },
+TABLES: dict[str, Callable[[SalesModel], DataFrame]] = {
+    **{f"bronze.{t}": (lambda m, t=t: m.bronze[t])
+       for t in ("customers", "orders", "order_items", "products", "sales_reps", "territories")},
+    "silver.customers": lambda m: m.customers,
+    "silver.territories": lambda m: m.territories,
+    "silver.products": lambda m: m.products,
+    "silver.sales_reps": lambda m: m.sales_reps,
+    "silver.orders": lambda m: m.orders,
+    "silver.checked_items": lambda m: m.checked_items,
+    "gold.dim_products": lambda m: m.dim_products,
+    "gold.dim_sales_reps": lambda m: m.dim_sales_reps,
+    "gold.dim_customers": lambda m: m.dim_customers,
+    "gold.fact_orders": lambda m: m.fact,
+    "gold.monthly_sales_summary": lambda m: m.monthly_sales,
+    "gold.customer_lifetime_value": lambda m: m.lifetime_value,
+    "gold.product_performance": lambda m: m.product_performance,
+    "gold.sales_rep_scorecard": lambda m: m.scorecard,
+    "gold.customer_segmentation": lambda m: m.segmentation,
+    "gold.sales_rep_monthly_performance": lambda m: m.rep_monthly,
+    "gold.customer_revenue_forecast": lambda m: m.forecast,
+    "gold.customer_acquisition_cohort": lambda m: m.cohorts,
+    "gold.product_performance_analytics": lambda m: m.product_analytics,
+    "features.customer_rfm": lambda m: m.rfm_features,
+    "features.customer_engagement": lambda m: m.engagement_features,
+    "features.product_performance": lambda m: m.product_features,
+    "features.sales_rep_quota": lambda m: m.rep_features,
+}
+
+# The groups of each phase, in order; a group reads only the groups before it.
+PHASES: dict[str, tuple[tuple[str, ...], ...]] = {
+    "bronze": (("bronze.order_items", "bronze.orders", "bronze.customers", "bronze.products", "bronze.sales_reps",
+                "bronze.territories"),),
+    "silver": (("silver.customers", "silver.products", "silver.sales_reps", "silver.territories"),
+               ("silver.orders",), ("silver.checked_items",)),
+    "gold": (("gold.fact_orders", "gold.dim_customers", "gold.dim_products", "gold.dim_sales_reps"),
+             ("gold.monthly_sales_summary", "gold.product_performance", "gold.sales_rep_scorecard",
+              "gold.customer_segmentation", "gold.customer_lifetime_value")),
+    "products": (("gold.sales_rep_monthly_performance", "gold.customer_revenue_forecast",
+                  "gold.product_performance_analytics", "gold.customer_acquisition_cohort"),),
+    "features": (("features.customer_rfm", "features.product_performance", "features.sales_rep_quota",
+                  "features.customer_engagement"),),
 }
 
 
@@ -72,10 +82,16 @@ def run(spark: SparkSession, source_dir: str, target_dir: str, *, as_of: date =
 
     for phase in phases:
         started = time.monotonic()
-        for name, table in PHASES[phase].items():
-            stored[name] = _write(table(model()), name, f"{target_dir.rstrip('/')}/{name.replace('.', '/')}")
-            if name == "silver.checked_items":
-                stored["silver.order_items"] = silver.accepted(stored[name].filter(F.col("is_rejected") == 0))
+        for group in PHASES[phase]:
+            current = model()
+            made = {name: TABLES[name](current) for name in group}
+            with ThreadPoolExecutor(len(group)) as jobs:
+                written = {name: jobs.submit(_write, df, name, f"{target_dir.rstrip('/')}/{name.replace('.', '/')}")
+                           for name, df in made.items()}
+                stored.update({name: job.result() for name, job in written.items()})
+            if "silver.checked_items" in group:
+                kept = stored["silver.checked_items"].filter(F.col("is_rejected") == 0)
+                stored["silver.order_items"] = silver.accepted(kept)
         if on_phase:
             on_phase(phase, time.monotonic() - started)
     return model()
