@@ -26,6 +26,7 @@ from lodework.operators import gold
 from lodework.operators.quality import union_all
 
 AMOUNT = "decimal(28,2)"
+MONTH = "observation_month"
 
 
 @dataclass(frozen=True)
@@ -318,10 +319,18 @@ def training_data_products(performance: DataFrame, dim_products: DataFrame) -> D
                                                              "unit_price")
 
 
+def observed_between(features: DataFrame, first: date, last: date) -> DataFrame:
+    """Rows of a closed date range. Stored features carry their month, by which files are pruned."""
+    kept = features.filter(F.col("observation_date").between(F.lit(first), F.lit(last)))
+    if MONTH in features.columns:
+        kept = kept.filter(F.col(MONTH).between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
+    return kept
+
+
 def as_of_date(features: DataFrame, key: str, ids: Sequence[int] | DataFrame, day: date,
                columns: Sequence[str] | None = None) -> DataFrame:
     """Features of the given entities on one observation date; ids as a list or as a table."""
-    at = features.filter(F.col("observation_date") == F.lit(day))
+    at = observed_between(features, day, day)
     if isinstance(ids, DataFrame):
         at = at.join(ids.select(key), key, "left_semi")
     else:
@@ -350,12 +359,12 @@ def training_dataset(tables: Mapping[str, DataFrame], entity: str, first: date,
     """Rows of a closed date range, optionally a random sample of them."""
     if entity not in tables:
         raise ValueError(f"Unknown entity_type: {entity}")
-    kept = tables[entity].filter(F.col("observation_date").between(F.lit(first), F.lit(last)))
+    kept = observed_between(tables[entity], first, last)
     return kept.sample(fraction=fraction, seed=seed) if fraction < 1.0 else kept
 
 
 def customer_training_batch(training: DataFrame, first: date, last: date, created_at: datetime) -> DataFrame:
-    return training.filter(F.col("observation_date").between(F.lit(first), F.lit(last))).select(
+    return observed_between(training, first, last).select(
         "customer_id", "observation_date", "recency_days", "frequency_12m", "monetary_12m", "rfm_composite_score",
         F.col("rfm_segment").alias("estimated_segment"), "engagement_status", "lifetime_value", "avg_order_value",
         F.lit(created_at).cast("timestamp_ntz").alias("training_batch_created_at"))
@@ -384,28 +393,33 @@ def snapshots_from_series(series: DataFrame, key: str, entity_type: str, feature
 
 def feature_as_of(snapshots: DataFrame, feature_id: str, entity_key: str, day: date) -> DataFrame:
     """The value valid on a day; the latest start wins."""
-    return _valid_on(snapshots, F.lit(day)).filter(
-        (F.col("feature_id") == feature_id) & (F.col("entity_key") == entity_key)
-    ).agg(F.max_by("feature_value", "valid_from").alias("feature_value"))
+    valid = (F.col("valid_from") <= F.lit(day)) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(day)))
+    return snapshots.filter((F.col("feature_id") == feature_id) & (F.col("entity_key") == entity_key) & valid).agg(
+        F.max_by("feature_value", "valid_from").alias("feature_value"))
 
 
 def features_as_of(requests: DataFrame, snapshots: DataFrame) -> DataFrame:
     """The batch form: requests of (feature_id, entity_key, as_of_date), unmatched ones kept with NULL.
 
-    Overlapping intervals are resolved by an aggregate, not by sorting an entity's rows.
+    The distinct requested dates and the interval starts of an entity are merged into one
+    timeline on which each request takes the last start before it: linear in both, without
+    pairing requests with intervals. The intervals of an entity do not overlap.
     """
     keys = ["feature_id", "entity_key"]
-    wanted = requests.select(*keys, "as_of_date").distinct()
-    found = wanted.join(snapshots.select(*keys, "feature_value", "valid_from", "valid_to"), keys)
-    values = _valid_on(found, F.col("as_of_date")).groupBy(*keys, "as_of_date").agg(
-        F.max_by("feature_value", "valid_from").alias("feature_value"))
+    starts = snapshots.select(*keys, F.col("valid_from").alias("at"),
+                              F.struct("feature_value", "valid_to").alias("started"))
+    asked = requests.select(*keys, F.col("as_of_date").alias("at")).distinct().withColumn(
+        "started", F.lit(None).cast(starts.schema["started"].dataType))
+    # At most one start and one request per entity and day.
+    timeline = starts.withColumn("asked", F.lit(False)).unionByName(asked.withColumn("asked", F.lit(True)))
+    in_order = Window.partitionBy(*keys).orderBy("at", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    current = timeline.withColumn("current", F.last("started", ignorenulls=True).over(in_order)).filter("asked")
+    open_ = F.col("current.valid_to").isNull() | (F.col("current.valid_to") > F.col("at"))
+    values = current.select(*keys, F.col("at").alias("as_of_date"),
+                            F.when(open_, F.col("current.feature_value")).alias("feature_value"))
     return requests.join(values, [*keys, "as_of_date"], "left")
 
 
-def _valid_on(snapshots: DataFrame, day: Column) -> DataFrame:
-    return snapshots.filter((F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (F.col("valid_to") > day)))
-
-
 # --- checks ----------------------------------------------------------------------------------------
 
 ENTITY_KEYS = {"customer": "customer_id", "product": "product_id", "sales_rep": "rep_id"}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
@@ -198,8 +198,8 @@ def revenue_profile(orders: DataFrame) -> DataFrame:
 def distribution(df: DataFrame, column: str, count_name: str, digits: int = 1) -> DataFrame:
     """Rows per value with their share of all rows."""
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias(count_name))
-    # After the aggregation there is one row per value of an enumerated column.
-    total = counted.select(F.sum(count_name)).scalar()
+    # One row per value of an enumerated column is left, so the total is a small window.
+    total = F.sum(count_name).over(Window.partitionBy())
     return counted.withColumn("pct", X.share_pct(F.col(count_name), total, digits))
 
 

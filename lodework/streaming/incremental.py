@@ -84,17 +84,17 @@ class Store:
         rows = _read(self.spark, self.folder(name))
         return rows.filter(F.col("accepted") == 1).drop("accepted", "batch")
 
-    def waiting(self, name: str, before: int | None = None) -> DataFrame | None:
-        """Rows still without a parent: those the newest batch (before a given one) left over."""
+    def waiting(self, name: str, batch_id: int | None = None) -> DataFrame | None:
+        """Rows still without a parent: what a batch, by default the newest, left over.
+
+        Every batch takes over the rows its predecessor left, so one folder holds them all.
+        """
         rows = _read(self.spark, self.folder(name))
         if rows is None:
             return None
-        if before is not None:
-            rows = rows.filter(F.col("batch") < before)
-        last = rows.agg(F.max("batch")).first()[0]
-        if last is None:
-            return None
-        return rows.filter((F.col("batch") == last) & (F.col("accepted") == 0)).drop("accepted", "batch")
+        if batch_id is None:
+            batch_id = rows.agg(F.max("batch")).first()[0]
+        return rows.filter((F.col("batch") == batch_id) & (F.col("accepted") == 0)).drop("accepted", "batch")
 
 
 def refresh_customers(store: Store, feed: DataFrame, *, continuous: bool = False) -> StreamingQuery:
@@ -115,7 +115,7 @@ def refresh_children(store: Store, name: str, feed: DataFrame, clean: Callable[[
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = clean(batch).drop("_loaded_at", "_source_table", "_row_number")
-        left_over = store.waiting(name, before=batch_id)
+        left_over = store.waiting(name, batch_id - 1)
         if left_over is not None:
             rows = rows.unionByName(left_over)
         parents = parent_keys().select(key).distinct().withColumn("_known", F.lit(True))
