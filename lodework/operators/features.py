@@ -310,7 +310,7 @@ def training_data_customers(rfm: DataFrame, dim_customers: DataFrame) -> DataFra
         "customer_id", "observation_date", "recency_days", "frequency_12m", "monetary_12m", "rfm_composite_score",
         F.col("estimated_segment").alias("rfm_segment"), "days_since_last_purchase", "engagement_status",
         "lifetime_value", "lifetime_order_count", "avg_order_value", "lifetime_value_per_day", "source_segment",
-        "region")
+        "region", *[c for c in rfm.columns if c == MONTH])
 
 
 def training_data_products(performance: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -324,7 +324,7 @@ def observed_between(features: DataFrame, first: date, last: date) -> DataFrame:
     kept = features.filter(F.col("observation_date").between(F.lit(first), F.lit(last)))
     if MONTH in features.columns:
         kept = kept.filter(F.col(MONTH).between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
-    return kept
+    return kept.drop(MONTH)
 
 
 def as_of_date(features: DataFrame, key: str, ids: Sequence[int] | DataFrame, day: date,
@@ -339,11 +339,11 @@ def as_of_date(features: DataFrame, key: str, ids: Sequence[int] | DataFrame, da
 
 
 def customer_features_as_of(training: DataFrame, ids, day: date, columns=None) -> DataFrame:
-    base = training.select(
+    at = as_of_date(training, "customer_id", ids, day).select(
         "customer_id", "observation_date", "recency_days", "frequency_12m", "monetary_12m", "rfm_composite_score",
         F.col("rfm_segment").alias("estimated_segment"), "days_since_last_purchase", "engagement_status",
         "lifetime_value", "avg_order_value")
-    return as_of_date(base, "customer_id", ids, day, columns)
+    return at.select("customer_id", *columns) if columns else at
 
 
 def product_features_as_of(training: DataFrame, ids, day: date, columns=None) -> DataFrame:

@@ -16,7 +16,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodework.operators import silver, sinks
+from lodework.operators import features, silver, sinks
 from lodework.operators.features import Spine
 from lodework.plans.star import AS_OF, LOADED_AT, SalesModel
 
@@ -108,8 +108,8 @@ def _write(df: DataFrame, name: str, path: str) -> DataFrame:
     if name.startswith("features."):
         # Readers of one date or range prune to its months.
         month = F.date_format("observation_date", "yyyy-MM")
-        _partitioned(df.withColumn("observation_month", month), path, "observation_month")
-        return df.sparkSession.read.option("basePath", path).parquet(path).drop("observation_month")
+        _partitioned(df.withColumn(features.MONTH, month), path, features.MONTH)
+        return df.sparkSession.read.parquet(path).withColumn(features.MONTH, F.col(features.MONTH).cast("string"))
     return sinks.replace(df, path, **options)
 
 

@@ -1,6 +1,8 @@
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from lodework.operators import quality
+from lodework.operators import features, quality
 from lodework.operators.features import Spine
 from lodework.plans import build
 from lodework.plans.star import SalesModel
@@ -17,6 +19,11 @@ def test_stored_layers_equal_the_lazy_model(spark, folder):
     for name in ("order_items", "fact", "segmentation", "training_customers"):
         left, right = getattr(stored, name), getattr(lazy, name)
         assert rows(left, *right.columns) == rows(right), name
+    day = date(1998, 5, 1)
+    looked_up = features.customer_features_as_of(stored.training_customers, [1, 2, 3], day)
+    assert rows(looked_up) == rows(features.customer_features_as_of(lazy.training_customers, [1, 2, 3], day))
+    plan = features.observed_between(stored.rfm_features, day, day)._jdf.queryExecution().executedPlan().toString()
+    assert "observation_month" in plan.split("PartitionFilters")[1].split("]")[0]
     assert {r.source: r.total_revenue for r in quality.reconcile(stored.order_items, stored.fact).collect()}.values()
 
 
