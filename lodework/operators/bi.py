@@ -142,13 +142,14 @@ def territory_performance(monthly: DataFrame, scorecard: DataFrame) -> DataFrame
     )
 
 
-def month_territory_category(fact: DataFrame, territories: DataFrame, products: DataFrame) -> DataFrame:
+def month_territory_category(fact: DataFrame, territories: DataFrame, products: DataFrame, *,
+                             calendar=gold.CALENDAR) -> DataFrame:
     """Distinct customers and revenue per month, territory and category.
 
     Lines are first summed per month, territory, product and customer, so the join to
     the products and the distinct count see fewer rows.
     """
-    dated = gold.in_calendar(fact).withColumn("sales_month", X.month_start("date_key"))
+    dated = gold.in_calendar(fact, calendar).withColumn("sales_month", X.month_start("date_key"))
     summed = dated.groupBy("sales_month", "territory_id", "product_id", "customer_id").agg(
         F.sum("revenue").alias("revenue"))
     return (

@@ -12,6 +12,7 @@ from lodework.functions import expressions as X
 # The calendar of the date dimension.
 CALENDAR_START = date(1992, 1, 1)
 CALENDAR_END = date(2000, 1, 1)
+CALENDAR = (CALENDAR_START, CALENDAR_END)
 
 FACT_COLUMNS = (
     "order_item_key", "order_id", "customer_id", "product_id", "rep_id", "territory_id", "date_key",
@@ -25,14 +26,13 @@ def dim_dates(spark: SparkSession, start: date = CALENDAR_START, end: date = CAL
     return days.select("date_key", *[c.alias(n) for n, c in X.calendar(F.col("date_key")).items()])
 
 
-def in_calendar(df: DataFrame, day: str = "date_key", start: date = CALENDAR_START,
-                end: date = CALENDAR_END) -> DataFrame:
+def in_calendar(df: DataFrame, calendar: tuple[date, date] = CALENDAR, day: str = "date_key") -> DataFrame:
     """What an inner join to the date dimension keeps: days inside its range.
 
     The attributes are functions of the day, so the join is a filter that Spark can
     push towards the scan plus expressions evaluated after aggregation.
     """
-    return df.filter(F.col(day).between(F.lit(start), F.lit(end)))
+    return df.filter(F.col(day).between(F.lit(calendar[0]), F.lit(calendar[1])))
 
 
 def dim_territories(territories: DataFrame) -> DataFrame:

@@ -148,6 +148,8 @@ def _some_rows(gate_id: str, name: str, details: str, expected: str = ">= 1", co
     return _gate(gate_id, name, F.col(count) >= 1, F.col(count), expected, details)
 
 
+# Fixed values in the functions below: gate ids, names, expected values and details.
+
 def gate_landing_present(spark: SparkSession, landing: Mapping[str, DataFrame]) -> DataFrame:
     return _rows(_present(spark, landing, LANDING_TABLES), _gate(
         "A1", "LANDING required tables present", F.col("n") == 6, F.col("n"), "6",

@@ -41,13 +41,13 @@ def attainment_status(revenue: Column, quota: Column) -> Column:
     return chain.otherwise("At Risk")
 
 
-def monthly_sales_summary(fact: DataFrame, territories: DataFrame) -> DataFrame:
+def monthly_sales_summary(fact: DataFrame, territories: DataFrame, *, calendar=gold.CALENDAR) -> DataFrame:
     """Orders, customers, lines and revenue per month and territory.
 
     avg_order_value divides order totals summed over lines by distinct orders, so orders
     with several lines weigh more; avg_order_value_dedup counts each order once.
     """
-    dated = gold.in_calendar(fact).withColumn("month_start", X.month_start("date_key"))
+    dated = gold.in_calendar(fact, calendar).withColumn("month_start", X.month_start("date_key"))
     grouped = at_order_grain(dated, ["month_start", "territory_id"]).groupBy("month_start", "territory_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),

@@ -47,9 +47,9 @@ def retired(name: str, registry: tuple[Product, ...] = REGISTRY) -> tuple[Produc
     return tuple(p for p in registry if p.name != name)
 
 
-def sales_rep_monthly_performance(fact: DataFrame, reps: DataFrame) -> DataFrame:
+def sales_rep_monthly_performance(fact: DataFrame, reps: DataFrame, *, calendar=gold.CALENDAR) -> DataFrame:
     """KPIs per representative and month with growth over the previous month that has sales."""
-    dated = gold.in_calendar(fact).withColumn("month_start", X.month_start("date_key"))
+    dated = gold.in_calendar(fact, calendar).withColumn("month_start", X.month_start("date_key"))
     grouped = at_rep_month(dated)
     named = reps.select("rep_id", F.col("name").alias("rep_name"), "territory_name", "region", "quota").join(
         grouped, "rep_id")
@@ -91,9 +91,10 @@ def top_reps_of_latest_year(performance: DataFrame, k: int = 10) -> DataFrame:
 FORECAST_TIERS = {"monthly": ((5000, "Low"), (20000, "Medium")), "span": ((100, "Low"), (500, "Medium"))}
 
 
-def customer_revenue_forecast(fact: DataFrame, dim_customers: DataFrame, *, inactive_tier: bool = True) -> DataFrame:
+def customer_revenue_forecast(fact: DataFrame, dim_customers: DataFrame, *, inactive_tier: bool = True,
+                              calendar=gold.CALENDAR) -> DataFrame:
     """Twelve-month projection from monthly spend with a band of one standard deviation."""
-    dated = gold.in_calendar(fact).withColumn("month_start", X.month_start("date_key"))
+    dated = gold.in_calendar(fact, calendar).withColumn("month_start", X.month_start("date_key"))
     monthly = dated.groupBy("customer_id", "month_start").agg(F.sum("revenue").alias("spend"))
     cents = (F.col("spend") * 100).cast("decimal(18,0)")
     stats = monthly.groupBy("customer_id").agg(
@@ -193,9 +194,9 @@ def first_cohort(cohorts: DataFrame, months: int = 12) -> DataFrame:
 
 
 def product_performance_analytics(fact: DataFrame, products: DataFrame, *, rows: int | None,
-                                  **ranking) -> DataFrame:
+                                  calendar=gold.CALENDAR, **ranking) -> DataFrame:
     """Revenue, returns, rank within the month, growth and tier per product and month."""
-    dated = gold.in_calendar(fact).withColumn("month_start", X.month_start("date_key"))
+    dated = gold.in_calendar(fact, calendar).withColumn("month_start", X.month_start("date_key"))
     grouped = dated.groupBy("product_id", "month_start").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("quantity").alias("_quantity"),

@@ -206,6 +206,8 @@ simple("gold_counts", lambda m: quality.table_counts({
     "dim_territories": m.dim_territories, "fact_orders": m.fact, "monthly_sales_summary": m.monthly_sales,
     "sales_rep_scorecard": m.scorecard, "customer_segmentation": m.segmentation}))
 simple("gold_quarterly_revenue", lambda m: gold.quarterly_revenue(m.monthly_sales))
+simple("gold_quarterly_revenue_all_dates", lambda m: gold.quarterly_revenue(m.monthly_sales),
+       calendar=(gold.CALENDAR_START, date(2001, 12, 31)))
 simple("gold_top_customers", lambda m: gold.top_customers(m.lifetime_value))
 simple("gold_segment_share", lambda m: quality.distribution(m.segmentation, "customer_segment", "customers"))
 

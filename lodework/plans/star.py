@@ -25,10 +25,10 @@ LOADED_AT = datetime(2025, 1, 1)
 
 class SalesModel:
     def __init__(self, spark: SparkSession, source_dir: str, *, as_of: date = AS_OF, loaded_at: datetime = LOADED_AT,
-                 spine: Spine = Spine(), stored: Mapping[str, DataFrame] | None = None,
+                 spine: Spine = Spine(), calendar: tuple[date, date] = gold.CALENDAR, stored: Mapping[str, DataFrame] | None = None,
                  landing_tables: Mapping[str, DataFrame] | None = None, ranking: Mapping | None = None):
         self.spark, self.source_dir = spark, source_dir
-        self.as_of, self.loaded_at, self.spine = as_of, loaded_at, spine
+        self.as_of, self.loaded_at, self.spine, self.calendar = as_of, loaded_at, spine, calendar
         self.stored = dict(stored or {})
         self.ranking = dict(ranking or {})
         self._landing_tables = landing_tables
@@ -120,7 +120,7 @@ class SalesModel:
     # --- gold
     @cached_property
     def dim_dates(self) -> DataFrame:
-        return gold.dim_dates(self.spark)
+        return gold.dim_dates(self.spark, *self.calendar)
 
     @cached_property
     def dim_territories(self) -> DataFrame:
@@ -155,7 +155,7 @@ class SalesModel:
     @cached_property
     def monthly_sales(self) -> DataFrame:
         return self._table("gold.monthly_sales_summary", lambda: marts.monthly_sales_summary(
-            self.fact, self.dim_territories))
+            self.fact, self.dim_territories, calendar=self.calendar))
 
     @cached_property
     def lifetime_value(self) -> DataFrame:
@@ -181,12 +181,12 @@ class SalesModel:
     @cached_property
     def rep_monthly(self) -> DataFrame:
         return self._table("gold.sales_rep_monthly_performance", lambda: products.sales_rep_monthly_performance(
-            self.fact, self.dim_sales_reps))
+            self.fact, self.dim_sales_reps, calendar=self.calendar))
 
     @cached_property
     def forecast(self) -> DataFrame:
         return self._table("gold.customer_revenue_forecast", lambda: products.customer_revenue_forecast(
-            self.fact, self.dim_customers))
+            self.fact, self.dim_customers, calendar=self.calendar))
 
     @cached_property
     def cohorts(self) -> DataFrame:
@@ -196,7 +196,7 @@ class SalesModel:
     @cached_property
     def product_analytics(self) -> DataFrame:
         return self._table("gold.product_performance_analytics", lambda: products.product_performance_analytics(
-            self.fact, self.dim_products, rows=self.product_rows, **self.ranking))
+            self.fact, self.dim_products, rows=self.product_rows, calendar=self.calendar, **self.ranking))
 
     def published(self, refreshed_at: Mapping[str, datetime] | datetime | None = None) -> dict[str, DataFrame]:
         """The four data products with their refresh time, one for all or one per product."""

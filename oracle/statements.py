@@ -316,6 +316,8 @@ add("gold_counts", " UNION ALL ".join(rows(t, n) for n, t in (
     ("sales_rep_scorecard", "score"), ("customer_segmentation", "seg"))))
 add("gold_quarterly_revenue", f"""SELECT {big('year')}, {big('quarter')}, {money('sum(revenue_c)', 'quarterly_revenue')}
     FROM monthly GROUP BY year, quarter""")
+S["gold_quarterly_revenue_all_dates"] = S["gold_quarterly_revenue"].replace(
+    "TIMESTAMP '2000-01-01'", "TIMESTAMP '2001-12-31'")
 add("gold_top_customers", f"""SELECT customer_id, name, segment, {money('lifetime_c', 'lifetime_value')}, engagement_status,
     value_segment FROM clv ORDER BY lifetime_c DESC, customer_id LIMIT 10""")
 add("gold_segment_share", _share("seg", "customer_segment", "customers"))
