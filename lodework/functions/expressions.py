@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,11 @@ def money(column: Column | str) -> Column:
     return _col(column).cast("decimal(18,2)")
 
 
+def moment(at: datetime) -> Column:
+    """A wall-clock literal that does not depend on the session time zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def ratio(num: Column, den: Column, digits: int, times: int = 1) -> Column:
     """``times * num / den`` in exact decimals, rounded half up; NULL when den is 0."""
     scaled = num.cast("decimal(24,2)") * F.lit(times).cast("decimal(3,0)")

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodework.functions import expressions as X
 from lodework.functions.ranking import SINGLE_TASK_ROWS, By, ranked
 
 # The order that defines the row number of each table.
@@ -23,7 +24,7 @@ ROW_ORDER = {
 def stamp(df: DataFrame, table: str, loaded_at: datetime) -> DataFrame:
     """The audit columns that need no ordering; a map-only step."""
     return df.withColumns({
-        "_loaded_at": F.lit(loaded_at).cast("timestamp_ntz"),
+        "_loaded_at": X.moment(loaded_at),
         "_source_table": F.lit(f"LANDING.{table.upper()}"),
     })
 

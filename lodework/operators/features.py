@@ -367,7 +367,7 @@ def customer_training_batch(training: DataFrame, first: date, last: date, create
     return observed_between(training, first, last).select(
         "customer_id", "observation_date", "recency_days", "frequency_12m", "monetary_12m", "rfm_composite_score",
         F.col("rfm_segment").alias("estimated_segment"), "engagement_status", "lifetime_value", "avg_order_value",
-        F.lit(created_at).cast("timestamp_ntz").alias("training_batch_created_at"))
+        X.moment(created_at).alias("training_batch_created_at"))
 
 
 # --- snapshots with validity intervals -------------------------------------------------------------

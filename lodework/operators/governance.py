@@ -24,7 +24,7 @@ def sla_status(tables: Mapping[str, DataFrame], now: datetime, registry: Sequenc
 
     ``hours_since_refresh`` holds days for products measured in days; ``age_unit`` says which.
     """
-    at = F.lit(now).cast("timestamp_ntz")
+    at = X.moment(now)
     rows = []
     for product in registry:
         last = F.col("last_refreshed_at")
@@ -99,7 +99,7 @@ def _message(text: str) -> Column:
 def run_product_validation(product: str, task: str, tables: Mapping[str, DataFrame], now: datetime) -> DataFrame:
     """The audit row of one validation run."""
     return validate_before_refresh(product, tables).select(
-        F.lit(task).alias("task_name"), "product_name", F.lit(now).cast("timestamp_ntz").alias("executed_at"),
+        F.lit(task).alias("task_name"), "product_name", X.moment(now).alias("executed_at"),
         "result_status", "result_message")
 
 
@@ -168,7 +168,7 @@ def gate_job_telemetry(job_runs: DataFrame) -> DataFrame:
 
 def gates_task_audit(audit: DataFrame, now: datetime, days: int = 7, least_pct: int = 95) -> DataFrame:
     """Success rate of the last days and presence of any run."""
-    recent = F.col("executed_at") >= F.lit(now - timedelta(days=days)).cast("timestamp_ntz")
+    recent = F.col("executed_at") >= X.moment(now - timedelta(days=days))
     measured = audit.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(recent).alias("runs"),
         F.count_if(recent & (F.col("result_status") == "PASS")).alias("passed"),
@@ -232,7 +232,7 @@ def gates(spark: SparkSession, *, landing, job_runs, task_audit, dq_log, silver_
         gate_manual(manual_checks),
     ])
     return results.select(F.lit(run_id).cast("bigint").alias("run_id"), "*",
-                          F.lit(now).cast("timestamp_ntz").alias("evaluated_at"))
+                          X.moment(now).alias("evaluated_at"))
 
 
 def next_run_id(results: DataFrame) -> int:

@@ -249,7 +249,7 @@ def validations(m: SalesModel) -> DataFrame:
 
 def job_runs(m: SalesModel) -> DataFrame:
     return quality.status_join_validation(m.orders, m.order_items).withColumn(
-        "run_at", F.lit(NOW).cast("timestamp_ntz"))
+        "run_at", X.moment(NOW))
 
 
 def event_log(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodework.functions import expressions as X
 from lodework.operators import bronze, features, gold, marts, products, quality, silver
 from lodework.operators.features import Spine
 from lodework.sources import landing, tables
@@ -205,7 +206,7 @@ class SalesModel:
         times = refreshed_at if isinstance(refreshed_at, Mapping) else {}
         default = self.loaded_at if refreshed_at is None or times else refreshed_at
         return {name: df if "_refreshed_at" in df.columns else df.withColumn(
-                    "_refreshed_at", F.lit(times.get(name, default)).cast("timestamp_ntz"))
+                    "_refreshed_at", X.moment(times.get(name, default)))
                 for name, df in named.items()}
 
     # --- features
@@ -251,4 +252,4 @@ class SalesModel:
             quality.log_entry(self.bronze["orders"], self.orders, "orders"),
             quality.log_entry(self.bronze["order_items"], self.order_items, "order_items", self.rejected_items),
         ]
-        return quality.union_all(entries).withColumn("log_timestamp", F.lit(self.loaded_at).cast("timestamp_ntz"))
+        return quality.union_all(entries).withColumn("log_timestamp", X.moment(self.loaded_at))

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodework.functions import expressions as X
 from lodework.sources.tables import inline
 
 CREATED_AT = datetime(2024, 1, 1)
@@ -117,14 +118,14 @@ def feature_registry(spark: SparkSession, created_at: datetime = CREATED_AT) ->
     """The registry with its defaulted columns."""
     return inline(spark, REGISTRY_ROWS, REGISTRY_SCHEMA).withColumns({
         "version": F.lit(1),
-        "created_at": F.lit(created_at).cast("timestamp_ntz"),
+        "created_at": X.moment(created_at),
         "deprecated_at": F.lit(None).cast("timestamp_ntz"),
     })
 
 
 def feature_lineage(spark: SparkSession, created_at: datetime = CREATED_AT) -> DataFrame:
     return inline(spark, LINEAGE_ROWS, LINEAGE_SCHEMA).withColumn(
-        "created_at", F.lit(created_at).cast("timestamp_ntz"))
+        "created_at", X.moment(created_at))
 
 
 def feature_versions(spark: SparkSession, rows: list[tuple] = ()) -> DataFrame:
