@@ -4,16 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodework.llm import quality
+from lodework.llm import bpe, quality
 from lodework.llm.common import table
 
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def _sha256(text) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
+def op1_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_tokens``, and digests of the ids and of the text decoded from them."""
+    path = public_tokenizers.path(WORD_BPE)
+    ids = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
+    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), path).alias("decoded"))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       _sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+                       _sha256(F.col("decoded")).alias("decoded_sha256"))
+
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe_chunk_reuse": op1_bpe_chunk_reuse,
     "op10_quality_rules": op10_quality_rules,
 }
