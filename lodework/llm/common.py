@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable
 
@@ -14,7 +15,14 @@ from lodework import session
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the source folder. Python workers import this package from where the driver does."""
+    environment = spark.sparkContext.environment
+    if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), _ROOT]))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
