@@ -47,6 +47,32 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_removed_lines::BIGINT AS n_removed_lines
 FROM counts"""
 
+_LETTERS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+CONTAMINATION = f"""
+WITH items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, {_LETTERS} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), d AS (
+  SELECT doc_id, {_LETTERS} AS w, row_number() OVER () AS r FROM {{documents}}
+), placed AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows))
+), hit AS (
+  SELECT r, i, n, item FROM placed JOIN windows USING (n, g)
+), words AS (
+  SELECT r, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT r, i, n FROM hit), range(13) AS t(k) WHERE k < n GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(named.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)"""
+
 STATEMENTS: dict[str, str] = {
+    "op5_decontamination": CONTAMINATION.replace("{documents}", "documents"),
     "op10_quality_rules": QUALITY.replace("{documents}", "documents"),
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodework.llm import bpe, quality
+from lodework.llm import bpe, decontaminate, langid, quality
 from lodework.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -29,11 +29,23 @@ def op1_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
                        _sha256(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        _sha256(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_chunk_reuse": op1_bpe_chunk_reuse,
+    "op4_language_id": op4_language_id,
+    "op5_decontamination": op5_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
