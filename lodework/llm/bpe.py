@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ from lodework.llm.pieces import Pieces, pieces
 #: A cut is made on average every 2 ** CUT_BITS bytes.
 CUT_BITS = 8
 WINDOW = 16
-REMEMBERED_CHUNKS = 40_000
+REMEMBERED_CHUNKS = 20_000
 _STEP = 1 << 21  # bytes whose cuts are sought at once
 
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -130,11 +131,23 @@ def decode_array(ids: pa.Array, path: str) -> pa.Array:
     return pa.array(texts, pa.large_string(), mask=ids.is_null().to_numpy(zero_copy_only=False))
 
 
+def _slices(texts: pa.Array, size: int = _STEP) -> Iterator[pa.Array]:
+    """Runs of about ``size`` bytes, so that no more than a run's ids are held at once."""
+    lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + size, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def encode(text: Column, path: str, cut_bits: int = CUT_BITS) -> Column:
     """Ids of a text column: ``array<int>``, never NULL."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield encode_array(texts, path, cut_bits)
+            for part in _slices(texts):
+                yield encode_array(part, path, cut_bits)
 
     return F.arrow_udf(run, "array<int>")(text)
 
@@ -146,3 +159,14 @@ def decode(ids: Column, path: str) -> Column:
             yield decode_array(listed, path)
 
     return F.arrow_udf(run, "string")(ids)
+
+
+def round_trip(text: Column, path: str, cut_bits: int = CUT_BITS) -> Column:
+    """``struct<ids, decoded>`` of a text column, in one pass of one worker."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for part in _slices(texts):
+                ids = encode_array(part, path, cut_bits)
+                yield pa.StructArray.from_arrays([ids, decode_array(ids, path).cast(pa.string())], names=["ids", "decoded"])
+
+    return F.arrow_udf(run, "ids array<int>, decoded string")(text)

@@ -21,7 +21,7 @@ from array import array
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces remembered per worker and generation; older ones are forgotten, never lost from results.
-REMEMBERED_PIECES = 300_000
+REMEMBERED_PIECES = 150_000
 LONGEST_REMEMBERED = 64
 
 
