@@ -114,7 +114,9 @@ def clean(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: int = M
     """The kept documents with all their columns; frequent lines are gone from the text, and ``n_chars`` follows."""
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
     removed = stored(removed_lines(docs, max_documents), "removed-lines")
-    judged = _verdict(base_counts(_keyed(docs, row)), removed, min_left).filter("kept")
+    # One condition on both sides of the join: pushed below it, the counts would be computed inside the filter.
+    judged = _verdict(base_counts(_keyed(docs, row)), removed, min_left).filter(
+        F.col("base_failed").cast("int") + F.col("depleted").cast("int") == 0)
     numbers = F.transform("removed", lambda s: s["number"])
     text = F.when(F.col("removed").isNull(), F.col("_row.text")).otherwise(F.array_join(F.filter(
         F.split("_row.text", "\n"), lambda x, i: ~F.array_contains(numbers, i)), "\n"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodework.llm import bpe, decontaminate, langid, quality
+from lodework.llm import bpe, decontaminate, jaccard, langid, quality
 from lodework.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -19,16 +19,18 @@ def _sha256(text) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
-def op1_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``n_tokens``, and digests of the ids and of the text decoded from them."""
-    path = public_tokenizers.path(WORD_BPE)
-    ids = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), path).alias("decoded"))
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+def digests(docs: DataFrame) -> DataFrame:
+    """``n_tokens``, and digests of a document's ids and of the text decoded from them."""
+    both = docs.select("doc_id", bpe.round_trip(F.col("text"), public_tokenizers.path(WORD_BPE)).alias("told"))
+    return both.select("doc_id", "told.*").select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        _sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
                        _sha256(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op1_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -39,6 +41,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _sha256(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -47,5 +53,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_chunk_reuse": op1_bpe_chunk_reuse,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
