@@ -166,6 +166,12 @@ class Pieces:
             ids.extend(self._merges.ids(part.encode()))
         return ids.tobytes()
 
+    def text_ids(self, text: str) -> bytes:
+        """Ids of a whole text, by the merges where they do what the library does."""
+        if self.mode == "leading" and self._merges is not None and not any(a in text for a in self._added):
+            return self._merges.text_ids(text).astype("<u4", copy=False).tobytes()
+        return self.encode(text.encode())
+
     @staticmethod
     def separable(text: str) -> bool:
         """Whether each blank of the text stands between two characters that are not white space."""
