@@ -27,7 +27,7 @@ def attempt_name(suffix: str) -> str:
 
 def create(folder: str, name: str):
     store, place = fs.FileSystem.from_uri(folder)
-    return store.open_output_stream(f"{place}/{name}")
+    return store.open_output_stream(f"{place}/{name}", compression=None)  # by default a .gz name would be packed again
 
 
 def open_file(folder: str, name: str):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lodework.llm import urls
+
 _WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 QUALITY = rf"""
@@ -72,7 +74,49 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)"""
 
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS n FROM pages
+), f AS (
+  SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS first FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f"""
+
+
+def _held(terms: tuple[str, ...]) -> str:
+    """SQL for the terms of a list that stand alone in the lower-case url ``u``, joined by commas."""
+    listed = ", ".join(f"('{t}')" for t in sorted(terms))
+    return (f"coalesce((SELECT string_agg(t, ',' ORDER BY t) FROM (VALUES {listed}) AS v(t) "
+            "WHERE regexp_matches(u, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')), '')")
+
+
+URLS = f"""
+WITH s AS (
+  SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS u,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT page_id, u, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*(/[^?#]*)?', 1) AS path FROM s
+), r AS (
+  SELECT *, '.' || host AS dotted, {_held(urls.STRICT)} AS strict_terms, {_held(urls.SOFT_TERMS)} AS soft_terms FROM h
+), n AS (
+  SELECT *, CASE WHEN dotted LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+                 WHEN dotted LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+                 WHEN dotted LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+                 WHEN dotted LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM r
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN strict_terms <> '' OR len(string_split(soft_terms, ',')) >= {urls.SOFT} THEN 'block' ELSE 'allow' END AS verdict,
+       strict_terms, soft_terms
+FROM n"""
+
 STATEMENTS: dict[str, str] = {
     "op5_decontamination": CONTAMINATION.replace("{documents}", "documents"),
+    "op6_url_filter": URLS,
+    "op7_warc": WARC,
     "op10_quality_rules": QUALITY.replace("{documents}", "documents"),
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodework.llm import bpe, decontaminate, jaccard, langid, quality, tokenfiles
+from lodework.llm import bpe, decontaminate, jaccard, langid, quality, tokenfiles, urls, warc
 from lodework.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -41,6 +41,15 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _sha256(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -57,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_chunk_reuse": op1_bpe_chunk_reuse,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
+    "op6_url_filter": op6_url_filter,
+    "op7_warc": op7_warc,
     "op8_token_files": op8_token_files,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
