@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodework.llm import bpe, decontaminate, jaccard, langid, quality, sharding, tokenfiles, urls, warc
+from lodework.llm import bpe, decontaminate, extract, jaccard, langid, quality, sharding, tokenfiles, urls, warc
 from lodework.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -31,6 +31,10 @@ def op1_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_chunk_reuse": op1_bpe_chunk_reuse,
+    "op2_html_extraction": op2_html_extraction,
     "op3_sharding": op3_sharding,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
