@@ -118,13 +118,13 @@ class Model:
     def margins(self, texts: pa.Array) -> np.ndarray:
         """Sum of weights of a text's n-grams over the root of their number, per bit."""
         data, bounds = _buffers(texts)
-        total, n = np.zeros((len(texts), self.code.shape[1]), np.float64), np.ones(len(texts))
+        total, n = np.zeros((len(texts), self.code.shape[1]), np.float64), np.zeros(len(texts))
         if self.code.shape[1]:
             for hashed, some, begins in _grams(data, bounds):
                 if len(some):
                     total[some] += np.add.reduceat(self.bits[hashed], begins, axis=0)
                     n[some] += np.diff(np.append(begins, len(hashed)))
-        return total / np.sqrt(n)[:, None]
+        return total / np.sqrt(np.maximum(n, 1))[:, None]
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the nearest codeword, score, and whether the second nearest is close."""
