@@ -12,7 +12,6 @@ import time
 
 from lodework import session
 from lodework.operators import bi, governance
-from lodework.operators.features import Spine
 from lodework.plans import build
 from lodework.plans.queries import NOW, QUERIES
 from lodework.plans.star import SalesModel
@@ -60,7 +59,7 @@ def main() -> None:
     consume(SalesModel(spark, FOLDER).landing["territories"])  # start-up is not part of any query
 
     target = session.work_dir(spark, "bench")
-    model = build.run(spark, FOLDER, target, spine=Spine(step="month"),
+    model = build.run(spark, FOLDER, target,
                       on_phase=lambda phase, took: seconds.update({f"build_{phase}": round(took, 3)}))
     for name, make in STORED.items():
         seconds[name] = timed(lambda: consume(make(model)))

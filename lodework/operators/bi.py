@@ -143,7 +143,7 @@ def territory_performance(monthly: DataFrame, scorecard: DataFrame) -> DataFrame
 
 
 def month_territory_category(fact: DataFrame, territories: DataFrame, products: DataFrame, *,
-                             calendar=gold.CALENDAR) -> DataFrame:
+                             calendar=None) -> DataFrame:
     """Distinct customers and revenue per month, territory and category.
 
     Lines are first summed per month, territory, product and customer, so the join to

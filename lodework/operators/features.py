@@ -356,11 +356,18 @@ def sales_rep_features_as_of(quota: DataFrame, ids, day: date, columns=None) ->
 
 def training_dataset(tables: Mapping[str, DataFrame], entity: str, first: date, last: date,
                      fraction: float = 1.0, seed: int = 42) -> DataFrame:
-    """Rows of a closed date range, optionally a random sample of them."""
+    """Rows of a closed date range, optionally a sample of them.
+
+    A row is drawn by a hash of its key, date and the seed, so the sample is the same
+    however the rows are partitioned, and can be drawn again.
+    """
     if entity not in tables:
         raise ValueError(f"Unknown entity_type: {entity}")
     kept = observed_between(tables[entity], first, last)
-    return kept.sample(fraction=fraction, seed=seed) if fraction < 1.0 else kept
+    if fraction >= 1.0:
+        return kept
+    named = F.concat_ws("|", F.lit(str(seed)), F.col(ENTITY_KEYS[entity]).cast("string"), F.col("observation_date").cast("string"))
+    return kept.filter(F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("bigint") < int(fraction * (1 << 32)))
 
 
 def customer_training_batch(training: DataFrame, first: date, last: date, created_at: datetime) -> DataFrame:
@@ -550,29 +557,31 @@ def product_trend(training: DataFrame, feature: str = "revenue_12m", target: str
 def product_trend_fit(training: DataFrame, features: Sequence[str] = ("revenue_12m", "units_sold_12m",
                                                                       "return_rate_pct"),
                       target: str = "cumulative_revenue", least_rows: int = 10) -> DataFrame:
-    """Per product a least-squares fit of several features to the next period's target.
+    """Per product the share of variance that a line of several features explains of the next period's target.
 
-    A product's group holds one row per observation date, so it is bounded by the spine.
+    The covariances are built-in aggregates, so a product's rows combine before the
+    shuffle; the normal equations are then eliminated feature by feature in one row.
+    A feature that the ones before it determine is left out.
     """
-    names = list(features)
-    columns = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names]
-    rows = _next_period(training, target).select("product_id", *columns, F.col("_next").cast("double").alias("y"))
-
-    def fit(group):
-        import numpy as np
-        import pandas as pd
-        if len(group) < least_rows:
-            return pd.DataFrame({"product_id": [], "n_rows": [], "r2": []})
-        known = group[group["y"].notna()]
-        design = np.column_stack([known[names].to_numpy(), np.ones(len(known))])
-        y = known["y"].to_numpy()
-        coefficients, *_ = np.linalg.lstsq(design, y, rcond=None)
-        left = ((y - design @ coefficients) ** 2).sum()
-        total = ((y - y.mean()) ** 2).sum()
-        r2 = 1 - left / total if total else float("nan")
-        return pd.DataFrame({"product_id": [group["product_id"].iloc[0]], "n_rows": [len(group)], "r2": [r2]})
-
-    return rows.groupBy("product_id").applyInPandas(fit, "product_id long, n_rows long, r2 double")
+    names = [f"_x{i}" for i in range(len(features))]
+    known = F.col("_next").isNotNull()
+    columns = [F.when(known, F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(n) for n, c in zip(names, features)]
+    rows = _next_period(training, target).select("product_id", *columns, F.col("_next").cast("double").alias("_y"))
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:] + ["_y"]] + [("_y", "_y")]
+    sums = rows.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.covar_pop(a, b).alias(f"{a}{b}") for a, b in pairs])
+    explained = F.lit(0.0)
+    kept = {f"{n}{n}": f"_v{n}" for n in names}
+    sums = sums.withColumns({v: F.col(c) for c, v in kept.items()}).filter(F.col("n_rows") >= least_rows)
+    for i, a in enumerate(names):
+        usable = F.col(f"{a}{a}") > 1e-9 * F.col(f"_v{a}")
+        explained = explained + F.col(f"_e{a}")
+        sums = sums.withColumn(f"_e{a}", F.when(usable, F.col(f"{a}_y") * F.col(f"{a}_y") / F.col(f"{a}{a}")).otherwise(0.0))
+        rest = [(b, c) for j, b in enumerate(names[i + 1:], i + 1) for c in names[j:] + ["_y"]]
+        sums = sums.withColumns({
+            f"{b}{c}": F.when(usable, F.col(f"{b}{c}") - F.col(f"{a}{b}") * F.col(f"{a}{c}") / F.col(f"{a}{a}"))
+            .otherwise(F.col(f"{b}{c}")) for b, c in rest})
+    return sums.select("product_id", "n_rows", (explained / F.nullif(F.col("_y_y"), F.lit(0.0))).alias("r2"))
 
 
 # --- exploration slices ----------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
 
-# The calendar of the date dimension.
+# The least calendar of the date dimension; it grows with the orders.
 CALENDAR_START = date(1992, 1, 1)
 CALENDAR_END = date(2000, 1, 1)
 CALENDAR = (CALENDAR_START, CALENDAR_END)
@@ -26,12 +26,20 @@ def dim_dates(spark: SparkSession, start: date = CALENDAR_START, end: date = CAL
     return days.select("date_key", *[c.alias(n) for n, c in X.calendar(F.col("date_key")).items()])
 
 
-def in_calendar(df: DataFrame, calendar: tuple[date, date] = CALENDAR, day: str = "date_key") -> DataFrame:
-    """What an inner join to the date dimension keeps: days inside its range.
+def calendar_of(orders: DataFrame, as_of: date) -> tuple[date, date]:
+    """Bounds that cover the fixed calendar and all orders up to ``as_of``: one row of two dates."""
+    first, last = orders.filter(F.col("order_date") <= F.lit(as_of)).agg(F.min("order_date"), F.max("order_date")).first()
+    return min(CALENDAR_START, first or CALENDAR_START), max(CALENDAR_END, last or CALENDAR_END)
+
+
+def in_calendar(df: DataFrame, calendar: tuple[date, date] | None = None, day: str = "date_key") -> DataFrame:
+    """What an inner join to the date dimension keeps: all days, as it covers the orders, or those of given bounds.
 
     The attributes are functions of the day, so the join is a filter that Spark can
     push towards the scan plus expressions evaluated after aggregation.
     """
+    if calendar is None:
+        return df
     return df.filter(F.col(day).between(F.lit(calendar[0]), F.lit(calendar[1])))
 
 

@@ -41,7 +41,7 @@ def attainment_status(revenue: Column, quota: Column) -> Column:
     return chain.otherwise("At Risk")
 
 
-def monthly_sales_summary(fact: DataFrame, territories: DataFrame, *, calendar=gold.CALENDAR) -> DataFrame:
+def monthly_sales_summary(fact: DataFrame, territories: DataFrame, *, calendar=None) -> DataFrame:
     """Orders, customers, lines and revenue per month and territory.
 
     avg_order_value divides order totals summed over lines by distinct orders, so orders

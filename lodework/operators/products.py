@@ -47,7 +47,7 @@ def retired(name: str, registry: tuple[Product, ...] = REGISTRY) -> tuple[Produc
     return tuple(p for p in registry if p.name != name)
 
 
-def sales_rep_monthly_performance(fact: DataFrame, reps: DataFrame, *, calendar=gold.CALENDAR) -> DataFrame:
+def sales_rep_monthly_performance(fact: DataFrame, reps: DataFrame, *, calendar=None) -> DataFrame:
     """KPIs per representative and month with growth over the previous month that has sales."""
     dated = gold.in_calendar(fact, calendar).withColumn("month_start", X.month_start("date_key"))
     grouped = at_rep_month(dated)
@@ -92,7 +92,7 @@ FORECAST_TIERS = {"monthly": ((5000, "Low"), (20000, "Medium")), "span": ((100,
 
 
 def customer_revenue_forecast(fact: DataFrame, dim_customers: DataFrame, *, inactive_tier: bool = True,
-                              calendar=gold.CALENDAR) -> DataFrame:
+                              calendar=None) -> DataFrame:
     """Twelve-month projection from monthly spend with a band of one standard deviation."""
     dated = gold.in_calendar(fact, calendar).withColumn("month_start", X.month_start("date_key"))
     monthly = dated.groupBy("customer_id", "month_start").agg(F.sum("revenue").alias("spend"))
@@ -194,7 +194,7 @@ def first_cohort(cohorts: DataFrame, months: int = 12) -> DataFrame:
 
 
 def product_performance_analytics(fact: DataFrame, products: DataFrame, *, rows: int | None,
-                                  calendar=gold.CALENDAR, **ranking) -> DataFrame:
+                                  calendar=None, **ranking) -> DataFrame:
     """Revenue, returns, rank within the month, growth and tier per product and month."""
     dated = gold.in_calendar(fact, calendar).withColumn("month_start", X.month_start("date_key"))
     grouped = dated.groupBy("product_id", "month_start").agg(

@@ -72,7 +72,7 @@ PHASES: dict[str, tuple[tuple[str, ...], ...]] = {
 
 
 def run(spark: SparkSession, source_dir: str, target_dir: str, *, as_of: date = AS_OF,
-        loaded_at: datetime = LOADED_AT, spine: Spine = Spine(), phases: tuple[str, ...] = tuple(PHASES),
+        loaded_at: datetime = LOADED_AT, spine: Spine | None = None, phases: tuple[str, ...] = tuple(PHASES),
         on_phase: Callable[[str, float], None] | None = None) -> SalesModel:
     """Write the phases below ``target_dir`` and return the model over the stored tables."""
     stored: dict[str, DataFrame] = {}

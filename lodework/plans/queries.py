@@ -17,12 +17,10 @@ from lodework import session
 from lodework.functions import expressions as X
 from lodework.operators import (bi, bronze, catalog, features, gold, governance, marts, products, quality, reports,
                                 silver, sinks)
-from lodework.operators.features import Spine
 from lodework.plans.star import AS_OF, LOADED_AT, SalesModel
 from lodework.sources import seeds, tables
 from lodework.streaming import incremental
 
-MONTHLY = Spine(step="month")
 NOW = datetime(2025, 1, 1, 12)
 OLD_LOAD = datetime(2024, 12, 1)
 EARLY = date(1999, 1, 1)
@@ -48,7 +46,23 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def model(spark: SparkSession, folder: str, **options) -> SalesModel:
-    return SalesModel(spark, folder, **{"spine": MONTHLY, **options})
+    return SalesModel(spark, folder, **options)
+
+
+def per_month(df: DataFrame, key: str) -> DataFrame:
+    """A feature table over all its days, shown per entity and month: sum, least and greatest of every column."""
+    shown = [F.count(F.lit(1)).alias("n")]
+    for field in df.schema.fields:
+        column = F.col(field.name)
+        if field.name in (key, "observation_date"):
+            continue
+        if isinstance(field.dataType, T.NumericType):
+            shown.append(F.sum(column.cast("decimal(28,4)")).cast("double").alias(f"{field.name}_sum"))
+            column = column.cast("double")
+        elif isinstance(field.dataType, T.DateType):
+            column = column.cast("string")
+        shown += [F.min(column).alias(f"{field.name}_min"), F.max(column).alias(f"{field.name}_max")]
+    return df.groupBy(key, F.date_format("observation_date", "yyyy-MM").alias("month")).agg(*shown)
 
 
 def query(name: str, **options):
@@ -163,7 +177,7 @@ simple("quality_consistency", lambda m: quality.consistency(m.customers, m.order
 simple("quality_row_flow", lambda m: quality.row_flow(m.bronze, m.silver))
 simple("quality_log", lambda m: m.quality_log)
 simple("quality_reconcile", lambda m: quality.reconcile(m.order_items, m.fact))
-simple("quality_calendar_loss", lambda m: quality.calendar_loss(m.fact, gold.CALENDAR_START, gold.CALENDAR_END))
+simple("quality_calendar_loss", lambda m: quality.calendar_loss(m.fact, *m.days))
 simple("quality_orders_in_month", lambda m: quality.orders_in_month(m.orders, EARLY))
 simple("quality_revenue_variance", lambda m: quality.revenue_variance(m.orders, m.rep_monthly, 6))
 simple("quality_active_rep_drop", lambda m: quality.active_rep_drop(
@@ -208,6 +222,7 @@ simple("gold_counts", lambda m: quality.table_counts({
 simple("gold_quarterly_revenue", lambda m: gold.quarterly_revenue(m.monthly_sales))
 simple("gold_quarterly_revenue_all_dates", lambda m: gold.quarterly_revenue(m.monthly_sales),
        calendar=(gold.CALENDAR_START, date(2001, 12, 31)))
+simple("gold_quarterly_revenue_fixed_calendar", lambda m: gold.quarterly_revenue(m.monthly_sales), calendar=gold.CALENDAR)
 simple("gold_top_customers", lambda m: gold.top_customers(m.lifetime_value))
 simple("gold_segment_share", lambda m: quality.distribution(m.segmentation, "customer_segment", "customers"))
 
@@ -327,19 +342,19 @@ def _search_text(m: SalesModel) -> DataFrame:
 
 
 # --- features ---------------------------------------------------------------------------------------------
-simple("features_customer_rfm", lambda m: m.rfm_features)
-simple("features_customer_rfm_ranged", lambda m: m.rfm_features, ranking=RANGED)
-simple("features_customer_engagement", lambda m: m.engagement_features)
-simple("features_customer_engagement_pit", lambda m: features.customer_engagement_pit(
-    m.orders, m.customer_keys, m.spine))
-simple("features_product_performance", lambda m: m.product_features)
-simple("features_product_performance_ranged", lambda m: m.product_features, ranking=RANGED)
-simple("features_sales_rep_quota", lambda m: m.rep_features)
-simple("features_training_customers", lambda m: m.training_customers)
-simple("features_training_products", lambda m: m.training_products)
-
-
-@query("features_customer_rfm_daily", spine=Spine())
+simple("features_customer_rfm", lambda m: per_month(m.rfm_features, "customer_id"))
+simple("features_customer_rfm_ranged", lambda m: per_month(m.rfm_features, "customer_id"), ranking=RANGED)
+simple("features_customer_engagement", lambda m: per_month(m.engagement_features, "customer_id"))
+simple("features_customer_engagement_pit", lambda m: per_month(features.customer_engagement_pit(
+    m.orders, m.customer_keys, m.spine), "customer_id"))
+simple("features_product_performance", lambda m: per_month(m.product_features, "product_id"))
+simple("features_product_performance_ranged", lambda m: per_month(m.product_features, "product_id"), ranking=RANGED)
+simple("features_sales_rep_quota", lambda m: per_month(m.rep_features, "rep_id"))
+simple("features_training_customers", lambda m: per_month(m.training_customers, "customer_id"))
+simple("features_training_products", lambda m: per_month(m.training_products, "product_id"))
+
+
+@query("features_customer_rfm_daily")
 def _daily(m: SalesModel) -> DataFrame:
     """RFM on every day of the calendar, summed per month and segment."""
     return m.rfm_features.groupBy("valid_from", "estimated_segment").agg(
@@ -348,7 +363,7 @@ def _daily(m: SalesModel) -> DataFrame:
         F.sum("rfm_composite_score").alias("rfm_composite_score"))
 
 
-@query("features_sales_rep_quota_daily", spine=Spine())
+@query("features_sales_rep_quota_daily")
 def _daily_reps(m: SalesModel) -> DataFrame:
     return m.rep_features.groupBy("observation_date").agg(
         F.sum("ytd_revenue").alias("ytd_revenue"), F.sum("ytd_orders").alias("ytd_orders"),
@@ -364,10 +379,12 @@ simple("features_products_as_of", lambda m: features.product_features_as_of(
     m.training_products, [1, 2, 3, 5, 8], OBSERVED))
 simple("features_sales_reps_as_of", lambda m: features.sales_rep_features_as_of(
     m.rep_features, [1, 2, 3, 5, 8], OBSERVED))
-simple("features_training_dataset", lambda m: features.training_dataset(
-    m.training, "customer", date(1998, 1, 1), date(1998, 6, 1)))
-simple("features_training_sample", lambda m: features.training_dataset(
-    m.training, "customer", date(1998, 1, 1), date(1998, 12, 1), 0.25))
+simple("features_training_dataset", lambda m: per_month(features.training_dataset(
+    m.training, "customer", date(1998, 1, 1), date(1998, 6, 1)), "customer_id"))
+simple("features_training_sample", lambda m: per_month(features.training_dataset(
+    m.training, "customer", date(1998, 1, 1), date(1998, 12, 1), 0.25), "customer_id"))
+simple("features_training_sales_reps", lambda m: per_month(features.training_dataset(
+    {"sales_rep": m.rep_features}, "sales_rep", date(1998, 1, 1), date(1999, 1, 1), 0.5), "rep_id"))
 simple("features_training_batch", lambda m: features.customer_training_batch(
     m.training_customers, date(1999, 1, 1), date(1999, 3, 1), LOADED_AT))
 
@@ -409,12 +426,12 @@ simple("features_availability", lambda m: features.training_availability({
     "customer": m.training_customers, "product": m.training_products}))
 simple("features_staleness", lambda m: features.staleness([m.rfm_features, m.product_features], AS_OF))
 simple("features_volume_health", lambda m: features.volume_health([m.training_customers, m.training_products]))
-simple("features_churn_label", lambda m: features.churn_label(m.training_customers, m.orders, m.spine).select(
-    "customer_id", "observation_date", "churned_30_days"))
-simple("features_mature_only", lambda m: features.mature_only(m.training_customers, m.dim_customers).select(
-    "customer_id", "observation_date", "lifetime_value", "customer_tenure_days", "rfm_composite_score"))
-simple("features_existing_only", lambda m: features.existing_only(
-    m.rfm_features.select("customer_id", "observation_date"), m.dim_customers))
+simple("features_churn_label", lambda m: per_month(features.churn_label(m.training_customers, m.orders, m.spine).select(
+    "customer_id", "observation_date", "churned_30_days"), "customer_id"))
+simple("features_mature_only", lambda m: per_month(features.mature_only(m.training_customers, m.dim_customers).select(
+    "customer_id", "observation_date", "lifetime_value", "customer_tenure_days", "rfm_composite_score"), "customer_id"))
+simple("features_existing_only", lambda m: per_month(features.existing_only(
+    m.rfm_features.select("customer_id", "observation_date"), m.dim_customers), "customer_id"))
 
 
 @query("features_filled")
@@ -433,17 +450,18 @@ def _trend(m: SalesModel) -> DataFrame:
 
 @query("features_product_trend_fit")
 def _trend_fit(m: SalesModel) -> DataFrame:
-    return features.product_trend_fit(m.training_products)
+    fit = features.product_trend_fit(m.training_products)
+    return fit.select("product_id", "n_rows", F.round("r2", 4).alias("r2"))
 
 
 simple("features_recent_rfm", lambda m: features.recent_rfm(m.rfm_features, gold.CALENDAR_END))
 simple("features_high_revenue_products", lambda m: features.high_revenue_products(m.product_features, 1_000_000))
 simple("features_top_reps", lambda m: features.top_reps(m.rep_features))
 simple("features_reps_on_date", lambda m: features.reps_on(m.rep_features, gold.CALENDAR_END))
-simple("features_churn_recipe", lambda m: features.churn_recipe(
-    m.training_customers, date(1999, 1, 1), date(1999, 12, 31)))
-simple("features_demand_recipe", lambda m: features.demand_recipe(
-    m.training_products, date(1999, 1, 1), date(1999, 12, 31)))
+simple("features_churn_recipe", lambda m: per_month(features.churn_recipe(
+    m.training_customers, date(1999, 1, 1), date(1999, 12, 31)), "customer_id"))
+simple("features_demand_recipe", lambda m: per_month(features.demand_recipe(
+    m.training_products, date(1999, 1, 1), date(1999, 12, 31)), "product_id"))
 simple("catalog_summary", lambda m: catalog.summary(
     seeds.feature_registry(m.spark), seeds.feature_versions(m.spark), seeds.feature_lineage(m.spark),
     m.training_customers, m.training_products))

@@ -26,14 +26,24 @@ LOADED_AT = datetime(2025, 1, 1)
 
 class SalesModel:
     def __init__(self, spark: SparkSession, source_dir: str, *, as_of: date = AS_OF, loaded_at: datetime = LOADED_AT,
-                 spine: Spine = Spine(), calendar: tuple[date, date] = gold.CALENDAR, stored: Mapping[str, DataFrame] | None = None,
+                 spine: Spine | None = None, calendar: tuple[date, date] | None = None, stored: Mapping[str, DataFrame] | None = None,
                  landing_tables: Mapping[str, DataFrame] | None = None, ranking: Mapping | None = None):
         self.spark, self.source_dir = spark, source_dir
-        self.as_of, self.loaded_at, self.spine, self.calendar = as_of, loaded_at, spine, calendar
+        self.as_of, self.loaded_at, self._spine, self.calendar = as_of, loaded_at, spine, calendar
         self.stored = dict(stored or {})
         self.ranking = dict(ranking or {})
         self._landing_tables = landing_tables
 
+    @cached_property
+    def days(self) -> tuple[date, date]:
+        """First and last day of the date dimension: those given, or such that no order lies outside."""
+        return self.calendar or gold.calendar_of(self.landing["orders"], self.as_of)
+
+    @cached_property
+    def spine(self) -> Spine:
+        """Observation dates of the features: every day of the date dimension unless given."""
+        return self._spine or Spine(*self.days)
+
     def _table(self, name: str, make) -> DataFrame:
         return self.stored[name] if name in self.stored else make()
 
@@ -121,7 +131,7 @@ class SalesModel:
     # --- gold
     @cached_property
     def dim_dates(self) -> DataFrame:
-        return gold.dim_dates(self.spark, *self.calendar)
+        return gold.dim_dates(self.spark, *self.days)
 
     @cached_property
     def dim_territories(self) -> DataFrame:

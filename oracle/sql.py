@@ -100,10 +100,13 @@ CTES = {
         i.line_total_c AS revenue_c, o.amount_c AS order_total_c, o.status AS order_status, i.return_flag,
         i.line_status FROM s_items i JOIN s_orders o ON i.order_id = o.order_id
         JOIN s_customers c ON o.customer_id = c.customer_id""",
+    # The fixed calendar, made to cover the orders.
+    "days": """SELECT least(TIMESTAMP '1992-01-01', min(o_orderdate)) AS first_day,
+        greatest(TIMESTAMP '2000-01-01', max(o_orderdate)) AS last_day FROM orders""",
     "d_dates": """SELECT CAST(d AS DATE) AS date_key, year(d) AS year, month(d) AS month, quarter(d) AS quarter,
         strftime(d, '%B') AS month_name, strftime(d, '%Y-%m') AS year_month,
         CAST(date_trunc('month', d) AS DATE) AS month_start
-        FROM generate_series(TIMESTAMP '1992-01-01', TIMESTAMP '2000-01-01', INTERVAL 1 DAY) t(d)""",
+        FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS d FROM days)""",
     "d_reps": """SELECT r.rep_id, r.name, r.nation_key, t.territory_name, t.region, r.quota_c, r.status
         FROM s_reps r LEFT JOIN s_territories t ON r.nation_key = t.territory_id""",
     "d_customers": """SELECT c.customer_id, c.name, c.address, c.nation_key, t.territory_name, t.region, c.phone,
@@ -220,8 +223,10 @@ CTES = {
 def _features(step: str) -> dict[str, str]:
     """The feature tables as literal joins of each date to all earlier facts."""
     return {
-        "spine": f"""SELECT CAST(d AS DATE) AS d FROM generate_series(TIMESTAMP '1992-01-01', TIMESTAMP '2000-01-01',
-            INTERVAL 1 {step}) t(d)""",
+        "spine": f"""SELECT CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 {step})) AS DATE) AS d FROM days""",
+        "fact_days": """SELECT product_id, date_key, sum(revenue_c) AS revenue_c, sum(quantity_c) AS quantity_c,
+            count(DISTINCT CASE WHEN return_flag = 'R' THEN order_item_key END) AS returned,
+            count(DISTINCT order_item_key) AS items FROM fact GROUP BY product_id, date_key""",
         "f_rfm_raw": """SELECT c.customer_id, s.d AS observation_date, strftime(s.d, '%Y-%m') AS valid_from,
             date_diff('day', max(f.date_key), s.d) AS recency_days,
             count(DISTINCT CASE WHEN f.date_key >= CAST(s.d - INTERVAL 12 MONTH AS DATE) THEN f.order_id END) AS frequency_12m,
@@ -255,10 +260,9 @@ def _features(step: str) -> dict[str, str]:
             coalesce(sum(CASE WHEN f.date_key > CAST(s.d - INTERVAL 12 MONTH AS DATE) THEN f.revenue_c END), 0) AS revenue_12m_c,
             coalesce(sum(f.quantity_c), 0) AS units_c,
             coalesce(sum(CASE WHEN f.date_key > CAST(s.d - INTERVAL 12 MONTH AS DATE) THEN f.quantity_c END), 0) AS units_12m_c,
-            count(DISTINCT CASE WHEN f.return_flag = 'R' THEN f.order_item_key END) AS total_returned_items,
-            count(DISTINCT f.order_item_key) AS items
+            coalesce(sum(f.returned), 0) AS total_returned_items, coalesce(sum(f.items), 0) AS items
             FROM s_products p CROSS JOIN spine s
-            LEFT JOIN fact f ON f.product_id = p.product_id AND f.date_key <= s.d GROUP BY p.product_id, s.d)""",
+            LEFT JOIN fact_days f ON f.product_id = p.product_id AND f.date_key <= s.d GROUP BY p.product_id, s.d)""",
         "f_rep": """SELECT *, """ + ratio("ytd_c", "quota_c", 4) + " AS quota_attainment_ratio, "
             + pct("ytd_c", "quota_c", 1) + """ AS quota_attainment_pct FROM (
             SELECT r.rep_id, s.d AS observation_date, r.quota_c,
@@ -279,7 +283,7 @@ def _features(step: str) -> dict[str, str]:
     }
 
 
-def statement(select: str, step: str = "MONTH") -> str:
+def statement(select: str, step: str = "DAY") -> str:
     """The select with every table expression in front of it; unused ones are not evaluated."""
     ctes = {**CTES, **_features(step)}
     needed, pending = [], [select]

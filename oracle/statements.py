@@ -9,7 +9,7 @@ from oracle.sql import (ANALYTICS, CLV, COHORT, CTES, CUSTOMER, ITEM, MONTH, ORD
 S: dict[str, str] = {}
 
 
-def add(name: str, select: str, step: str = "MONTH") -> None:
+def add(name: str, select: str, step: str = "DAY") -> None:
     S[name] = statement(select, step)
 
 
@@ -242,7 +242,7 @@ QUALITY_LOG = f"""SELECT {LOG} FROM (
 add("quality_log", QUALITY_LOG)
 add("quality_reconcile", f"""SELECT 'Silver total revenue' AS source, {money('sum(line_total_c)', 'total_revenue')} FROM s_items
     UNION ALL SELECT 'Gold fact_orders revenue', {money('sum(revenue_c)', 'total_revenue')} FROM fact""")
-_OUT = "date_key < DATE '1992-01-01' OR date_key > DATE '2000-01-01'"
+_OUT = "date_key < (SELECT first_day FROM days) OR date_key > (SELECT last_day FROM days)"
 add("quality_calendar_loss", f"""SELECT {big(f'sum(CASE WHEN {_OUT} THEN 1 ELSE 0 END)', 'lines_outside')},
     {money(f'sum(CASE WHEN {_OUT} THEN revenue_c ELSE 0 END)', 'revenue_outside')}, count(*) AS lines,
     {money('sum(revenue_c)', 'revenue')} FROM fact""")
@@ -291,7 +291,7 @@ add("gold_monthly_sales_summary", f"""SELECT {MONTH}, territory_id, territory_na
     {money('max_c', 'max_order_value')}, {money('min_c', 'min_order_value')} FROM monthly JOIN (
     SELECT ym, territory, {mean('sum(total_c)', 'count(*)')} AS avg_order_value_dedup FROM (
         SELECT DISTINCT strftime(date_key, '%Y-%m') AS ym, territory_id AS territory, order_id, order_total_c AS total_c
-        FROM fact WHERE date_key BETWEEN DATE '1992-01-01' AND DATE '2000-01-01') GROUP BY ALL) ON ym = year_month AND territory = territory_id""")
+        FROM fact) GROUP BY ALL) ON ym = year_month AND territory = territory_id""")
 add("gold_customer_lifetime_value", f"SELECT {CLV} FROM clv")
 PERF = f"""product_id, product_name, category, manufacturer, brand, unit_price, total_orders, total_units_sold,
     {money('revenue_c', 'total_revenue')}, avg_revenue_per_line, avg_units_per_order, returned_items, return_rate_pct,
@@ -316,8 +316,9 @@ add("gold_counts", " UNION ALL ".join(rows(t, n) for n, t in (
     ("sales_rep_scorecard", "score"), ("customer_segmentation", "seg"))))
 add("gold_quarterly_revenue", f"""SELECT {big('year')}, {big('quarter')}, {money('sum(revenue_c)', 'quarterly_revenue')}
     FROM monthly GROUP BY year, quarter""")
-S["gold_quarterly_revenue_all_dates"] = S["gold_quarterly_revenue"].replace(
-    "TIMESTAMP '2000-01-01'", "TIMESTAMP '2001-12-31'")
+S["gold_quarterly_revenue_all_dates"] = S["gold_quarterly_revenue"]
+S["gold_quarterly_revenue_fixed_calendar"] = S["gold_quarterly_revenue"].replace(
+    "greatest(TIMESTAMP '2000-01-01', max(o_orderdate))", "TIMESTAMP '2000-01-01'")
 add("gold_top_customers", f"""SELECT customer_id, name, segment, {money('lifetime_c', 'lifetime_value')}, engagement_status,
     value_segment FROM clv ORDER BY lifetime_c DESC, customer_id LIMIT 10""")
 add("gold_segment_share", _share("seg", "customer_segment", "customers"))
@@ -535,13 +536,37 @@ add("search_documents_text", """SELECT doc_id, lang, source, CAST(CASE WHEN uppe
     ORDER BY relevance_score DESC, doc_id LIMIT 50""")
 
 # --- features
-add("features_customer_rfm", f"SELECT {RFM} FROM f_rfm")
+RFM_N = "recency_days frequency_12m monetary_12m recency_score frequency_score monetary_score rfm_composite_score"
+ENGAGEMENT_N = ("days_since_last_purchase lifetime_value lifetime_order_count avg_order_value customer_tenure_days "
+                "lifetime_value_per_day")
+PRODUCT_N = "cumulative_revenue revenue_12m cumulative_units_sold units_sold_12m total_returned_items return_rate_pct revenue_rank"
+REP_N = "quota ytd_revenue cumulative_revenue ytd_orders quota_attainment_ratio quota_attainment_pct ytd_customer_count"
+TRAINING_N = ("recency_days frequency_12m monetary_12m rfm_composite_score days_since_last_purchase lifetime_value "
+              "lifetime_order_count avg_order_value lifetime_value_per_day")
+TRAINING_T = "rfm_segment engagement_status source_segment region"
+
+
+def per_month(select: str, key: str, numbers: str, texts: str = "") -> str:
+    """A feature table with all its days, shown per entity and month."""
+    shown = [f"sum(CAST({c} AS DECIMAL(28, 4)))::DOUBLE AS {c}_sum, min({c})::DOUBLE AS {c}_min, max({c})::DOUBLE AS {c}_max"
+             for c in numbers.split()] + [f"min({c}) AS {c}_min, max({c}) AS {c}_max" for c in texts.split()]
+    return (f"SELECT {key}, left(observation_date, 7) AS month, count(*) AS n, {', '.join(shown)} FROM ({select}) "
+            f"GROUP BY {key}, left(observation_date, 7)")
+
+
+def drawn(key: str, fraction: float) -> str:
+    """The rows of a sample, by the hash of seed, key and date."""
+    return (f"('0x' || substr(md5('42|' || {key} || '|' || CAST(observation_date AS VARCHAR)), 1, 8))::BIGINT "
+            f"< {int(fraction * 2 ** 32)}")
+
+
+add("features_customer_rfm", per_month(f"SELECT {RFM} FROM f_rfm", "customer_id", RFM_N, "valid_from estimated_segment"))
 S["features_customer_rfm_ranged"] = S["features_customer_rfm"]
 ENGAGEMENT = f"""customer_id, {day('observation_date')}, days_since_last_purchase, engagement_status,
     {money('lifetime_c', 'lifetime_value')}, lifetime_order_count, avg_order_value, customer_tenure_days,
     lifetime_value_per_day"""
-add("features_customer_engagement", f"SELECT {ENGAGEMENT} FROM f_eng")
-add("features_customer_engagement_pit", f"""SELECT {ENGAGEMENT} FROM (SELECT *,
+add("features_customer_engagement", per_month(f"SELECT {ENGAGEMENT} FROM f_eng", "customer_id", ENGAGEMENT_N, "engagement_status"))
+add("features_customer_engagement_pit", per_month(f"""SELECT {ENGAGEMENT} FROM (SELECT *,
     CASE WHEN days_since_last_purchase <= 30 THEN 'Active' WHEN days_since_last_purchase <= 90 THEN 'Dormant'
          WHEN days_since_last_purchase <= 180 THEN 'At-Risk' ELSE 'Churned' END AS engagement_status,
     {mean('lifetime_c', 'lifetime_order_count')} AS avg_order_value,
@@ -549,13 +574,16 @@ add("features_customer_engagement_pit", f"""SELECT {ENGAGEMENT} FROM (SELECT *,
     SELECT o.customer_id, s.d AS observation_date, date_diff('day', max(o.order_date), s.d) AS days_since_last_purchase,
     sum(o.amount_c) AS lifetime_c, count(DISTINCT o.order_id) AS lifetime_order_count,
     date_diff('day', min(o.order_date), max(o.order_date)) AS customer_tenure_days
-    FROM s_orders o JOIN spine s ON o.order_date <= s.d GROUP BY o.customer_id, s.d))""")
-add("features_product_performance", f"SELECT {PRODUCT_FEATURES} FROM f_prod")
+    FROM s_orders o JOIN spine s ON o.order_date <= s.d GROUP BY o.customer_id, s.d))""",
+    "customer_id", ENGAGEMENT_N, "engagement_status"))
+add("features_product_performance", per_month(f"SELECT {PRODUCT_FEATURES} FROM f_prod", "product_id", PRODUCT_N))
 S["features_product_performance_ranged"] = S["features_product_performance"]
-add("features_sales_rep_quota", f"SELECT {REP_FEATURES} FROM f_rep")
-add("features_training_customers", f"SELECT {TRAINING_CUSTOMERS} FROM t_customers")
+add("features_sales_rep_quota", per_month(f"SELECT {REP_FEATURES} FROM f_rep", "rep_id", REP_N))
+add("features_training_customers", per_month(f"SELECT {TRAINING_CUSTOMERS} FROM t_customers", "customer_id", TRAINING_N, TRAINING_T))
 TRAINING_PRODUCTS = f"{PRODUCT_FEATURES}, category, manufacturer, unit_price"
-add("features_training_products", f"SELECT {TRAINING_PRODUCTS} FROM t_products")
+PRODUCT_T = "category manufacturer"
+add("features_training_products", per_month(
+    f"SELECT {TRAINING_PRODUCTS} FROM t_products", "product_id", f"{PRODUCT_N} unit_price", PRODUCT_T))
 add("features_customer_rfm_daily", f"""SELECT valid_from, estimated_segment, count(*) AS n,
     {big('sum(recency_days)', 'recency_days')}, {big('sum(frequency_12m)', 'frequency_12m')},
     {money('sum(monetary_c)', 'monetary_12m')}, {big('sum(rfm_composite_score)', 'rfm_composite_score')}
@@ -573,8 +601,13 @@ add("features_customers_as_of_table", """SELECT customer_id, recency_days, engag
       AND customer_id IN (SELECT customer_id FROM s_customers WHERE segment = 'BUILDING')""")
 add("features_products_as_of", f"SELECT {TRAINING_PRODUCTS} FROM (SELECT * FROM t_products WHERE product_id IN {_IDS})")
 add("features_sales_reps_as_of", f"SELECT {REP_FEATURES} FROM (SELECT * FROM f_rep WHERE rep_id IN {_IDS})")
-add("features_training_dataset", f"""SELECT {TRAINING_CUSTOMERS} FROM (SELECT * FROM t_customers
-    WHERE observation_date BETWEEN DATE '1998-01-01' AND DATE '1998-06-01')""")
+add("features_training_dataset", per_month(f"""SELECT {TRAINING_CUSTOMERS} FROM (SELECT * FROM t_customers
+    WHERE observation_date BETWEEN DATE '1998-01-01' AND DATE '1998-06-01')""", "customer_id", TRAINING_N, TRAINING_T))
+add("features_training_sample", per_month(f"""SELECT {TRAINING_CUSTOMERS} FROM (SELECT * FROM t_customers
+    WHERE observation_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-01' AND {drawn('customer_id', 0.25)})""",
+    "customer_id", TRAINING_N, TRAINING_T))
+add("features_training_sales_reps", per_month(f"""SELECT {REP_FEATURES} FROM (SELECT * FROM f_rep
+    WHERE observation_date BETWEEN DATE '1998-01-01' AND DATE '1999-01-01' AND {drawn('rep_id', 0.5)})""", "rep_id", REP_N))
 add("features_training_batch", f"""SELECT customer_id, {day('observation_date')}, {big('recency_days')}, {big('frequency_12m')},
     {money('monetary_c', 'monetary_12m')}, {big('rfm_composite_score')}, rfm_segment AS estimated_segment, engagement_status,
     {money('lifetime_c', 'lifetime_value')}, avg_order_value, '2025-01-01 00:00:00' AS training_batch_created_at
@@ -630,16 +663,17 @@ add("features_staleness", f"""SELECT {day('max(m)', 'most_recent_data')}, date_d
     FROM (SELECT max(observation_date) AS m FROM f_rfm UNION ALL SELECT max(observation_date) FROM f_prod)""")
 add("features_volume_health", """SELECT n AS total_training_rows, CASE WHEN n > 100000 THEN 'HEALTHY' ELSE 'LOW' END AS status
     FROM (SELECT (SELECT count(*) FROM t_customers) + (SELECT count(*) FROM t_products) AS n)""")
-add("features_churn_label", f"""SELECT t.customer_id, {day('t.observation_date', 'observation_date')},
+add("features_churn_label", per_month(f"""SELECT t.customer_id, {day('t.observation_date', 'observation_date')},
     CAST(CASE WHEN count(o.order_id) > 0 THEN 0 ELSE 1 END AS BIGINT) AS churned_30_days
     FROM t_customers t LEFT JOIN s_orders o ON o.customer_id = t.customer_id AND o.order_date > t.observation_date
-    AND o.order_date <= CAST(t.observation_date + INTERVAL 30 DAY AS DATE) GROUP BY t.customer_id, t.observation_date""")
-add("features_mature_only", f"""SELECT t.customer_id, {day('t.observation_date', 'observation_date')},
+    AND o.order_date <= CAST(t.observation_date + INTERVAL 30 DAY AS DATE) GROUP BY t.customer_id, t.observation_date""", "customer_id", "churned_30_days"))
+add("features_mature_only", per_month(f"""SELECT t.customer_id, {day('t.observation_date', 'observation_date')},
     {money('t.lifetime_c', 'lifetime_value')}, c.customer_tenure_days, {big('t.rfm_composite_score', 'rfm_composite_score')}
-    FROM t_customers t JOIN d_customers c ON t.customer_id = c.customer_id WHERE c.customer_tenure_days > 0""")
-add("features_existing_only", f"""SELECT r.customer_id, {day('r.observation_date', 'observation_date')},
+    FROM t_customers t JOIN d_customers c ON t.customer_id = c.customer_id WHERE c.customer_tenure_days > 0""",
+    "customer_id", "lifetime_value customer_tenure_days rfm_composite_score"))
+add("features_existing_only", per_month(f"""SELECT r.customer_id, {day('r.observation_date', 'observation_date')},
     {day('c.first_order_date', 'first_order_date')} FROM f_rfm r JOIN d_customers c ON r.customer_id = c.customer_id
-    WHERE r.observation_date >= c.first_order_date""")
+    WHERE r.observation_date >= c.first_order_date""", "customer_id", "", "first_order_date"))
 add("features_filled", """SELECT c.customer_id, CAST(coalesce(r.recency_days, 999) AS BIGINT) AS recency_days,
     CAST(coalesce(r.frequency_12m, 0) AS BIGINT) AS frequency_12m,
     CAST(coalesce(r.monetary_c, 0) AS DOUBLE) / 100 AS monetary_12m
@@ -649,6 +683,31 @@ add("features_product_trend", """SELECT product_id, count(*) AS n_rows, round(re
     round(regr_r2(y, x), 4) AS r2 FROM (SELECT product_id, revenue_12m_c / 100.0 AS x,
     lead(revenue_c) OVER (PARTITION BY product_id ORDER BY observation_date) / 100.0 AS y FROM t_products)
     GROUP BY product_id HAVING count(*) >= 10""")
+_NEXT = """SELECT product_id, coalesce(revenue_12m_c / 100.0, 0) AS u, coalesce(units_12m_c / 100.0, 0) AS v,
+    coalesce(return_rate_pct, 0) AS w, lead(revenue_c) OVER (PARTITION BY product_id ORDER BY observation_date) / 100.0 AS t
+    FROM t_products"""
+
+
+def _cov(x: str, y: str) -> str:
+    return f"covar_pop(CASE WHEN t IS NOT NULL THEN {x} END, CASE WHEN t IS NOT NULL THEN {y} END) AS {x}{y}"
+
+
+def _without(x: str, y: str, p: str) -> str:
+    """Covariance of what two columns leave unexplained by a feature, if that one varies."""
+    return f"CASE WHEN {p}{p} > 1e-9 * o{p} THEN {x}{y} - {p}{x} * {p}{y} / {p}{p} ELSE {x}{y} END AS {x}{y}"
+
+
+def _part(x: str) -> str:
+    return f"CASE WHEN {x}{x} > 1e-9 * o{x} THEN {x}t * {x}t / {x}{x} ELSE 0 END"
+
+
+add("features_product_trend_fit", f"""SELECT product_id, n_rows, round((e_u + e_v + {_part('w')}) / nullif(tt, 0), 4) AS r2
+    FROM (SELECT product_id, n_rows, e_u, ow, tt, {_part('v')} AS e_v, {_without('w', 'w', 'v')}, {_without('w', 't', 'v')}
+    FROM (SELECT product_id, n_rows, ov, ow, tt, {_part('u')} AS e_u, {_without('v', 'v', 'u')}, {_without('v', 'w', 'u')},
+        {_without('v', 't', 'u')}, {_without('w', 'w', 'u')}, {_without('w', 't', 'u')}
+    FROM (SELECT *, uu AS ou, vv AS ov, ww AS ow FROM (SELECT product_id, count(*) AS n_rows, {_cov('u', 'u')}, {_cov('u', 'v')},
+        {_cov('u', 'w')}, {_cov('u', 't')}, {_cov('v', 'v')}, {_cov('v', 'w')}, {_cov('v', 't')}, {_cov('w', 'w')},
+        {_cov('w', 't')}, {_cov('t', 't')} FROM ({_NEXT}) GROUP BY product_id HAVING count(*) >= 10))))""")
 add("features_recent_rfm", f"""SELECT {RFM} FROM (SELECT * FROM f_rfm WHERE observation_date >= DATE '1999-12-27'
     ORDER BY observation_date DESC, customer_id LIMIT 20)""")
 add("features_high_revenue_products", f"""SELECT {PRODUCT_FEATURES} FROM (SELECT * FROM f_prod WHERE revenue_c > 100000000
@@ -658,10 +717,11 @@ add("features_top_reps", f"""SELECT {REP_FEATURES} FROM (SELECT * FROM f_rep
     ORDER BY quota_attainment_ratio DESC NULLS LAST, rep_id LIMIT 20)""")
 add("features_reps_on_date", f"""SELECT rep_id, quota_attainment_pct, {money('ytd_c', 'ytd_revenue')} FROM f_rep
     WHERE observation_date = DATE '2000-01-01'""")
-add("features_churn_recipe", f"""SELECT {TRAINING_CUSTOMERS} FROM (SELECT * FROM t_customers
-    WHERE observation_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' AND recency_days > 30)""")
-add("features_demand_recipe", f"""SELECT {TRAINING_PRODUCTS} FROM (SELECT * FROM t_products
-    WHERE observation_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' AND revenue_c > 100000000)""")
+add("features_churn_recipe", per_month(f"""SELECT {TRAINING_CUSTOMERS} FROM (SELECT * FROM t_customers
+    WHERE observation_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' AND recency_days > 30)""", "customer_id", TRAINING_N, TRAINING_T))
+add("features_demand_recipe", per_month(f"""SELECT {TRAINING_PRODUCTS} FROM (SELECT * FROM t_products
+    WHERE observation_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' AND revenue_c > 100000000)""",
+    "product_id", f"{PRODUCT_N} unit_price", PRODUCT_T))
 add("catalog_summary", """SELECT metric, value FROM (VALUES ('Features Registered', '21'), ('Entities', '3'),
     ('Owner Teams', '2'), ('Customer Features', '10'), ('Product Features', '5'), ('SalesRep Features', '6'),
     ('PIT-Correct Features', '20'), ('Feature Versions', '0'), ('Lineage Dependencies', '4')) t(metric, value)
