@@ -38,12 +38,18 @@ def append_numbered(df: DataFrame, path: str, id_column: str, order_by: Sequence
     return append(shifted, path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table in a folder; None without the folder or any file in it. Other failures are raised."""
     try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return stored_rows(spark, path) is not None
 
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *, update: bool = True) -> DataFrame:

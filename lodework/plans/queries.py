@@ -524,6 +524,36 @@ simple("streaming_orders", lambda m: streamed(m).accepted("orders"))
 simple("streaming_order_items", lambda m: streamed(m).accepted("order_items"))
 
 
+def streamed_late(m: SalesModel) -> incremental.Store:
+    """Lines arrive first, orders next, customers last; each arrival is one refresh of all tables."""
+    root = session.work_dir(m.spark, "stream-late")
+    store = incremental.Store(m.spark, root)
+    for name in ("order_items", "orders", "customers"):
+        sinks.replace(m.bronze[name].limit(0), f"{root}/bronze/{name}")
+    for name in ("order_items", "orders", "customers"):
+        m.bronze[name].write.mode("append").parquet(f"{root}/bronze/{name}")
+        incremental.refresh_all(store, {t: incremental.change_feed(m.spark, f"{root}/bronze/{t}", m.bronze[t].schema)
+                                        for t in ("customers", "orders", "order_items")}, m.as_of)
+    return store
+
+
+simple("streaming_orders_late", lambda m: streamed_late(m).accepted("orders"))
+simple("streaming_order_items_late", lambda m: streamed_late(m).accepted("order_items"))
+
+
+@query("streaming_freshness")
+def _freshness(m: SalesModel) -> DataFrame:
+    """Freshness of an append, one minute and ten minutes after its last progress."""
+    root = session.work_dir(m.spark, "fresh")
+    feed = incremental.change_feed(m.spark, f"{m.source_dir}/order[s].parquet", m.raw["orders"].schema)
+    stream = incremental.append_to(feed, f"{root}/orders", f"{root}/checkpoint")
+    stream.awaitTermination()
+    at = datetime.fromisoformat(stream.lastProgress["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
+    seen = [incremental.freshness(stream, at + timedelta(minutes=n)) for n in (1, 10)]
+    return m.spark.createDataFrame([(x["lag_seconds"], x["input_rows"], x["status"]) for x in seen],
+                                   "lag_seconds double, input_rows long, status string")
+
+
 @query("streaming_bronze_append")
 def _bronze_append(m: SalesModel) -> DataFrame:
     root = session.work_dir(m.spark, "feed")

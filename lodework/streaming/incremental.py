@@ -8,8 +8,12 @@ not with the table:
 * customers append the batch's latest row per key; readers take the latest over all batches,
   and ``compact`` folds old batches together;
 * orders and lines are joined to the current parent keys. Rows with a parent are accepted;
-  the others wait and are tried again with the next batch, so a child that arrives before its
-  parent is not lost.
+  the others wait and are tried again with the next batch. When a parent comes without any new
+  child, ``settle`` accepts what waited for it, in a folder of its own; ``refresh_all`` does so
+  down the chain, so the order in which tables arrive does not matter.
+
+Of the stored parent keys a batch reads the key column alone and keeps those it asks for
+before anything is shuffled, so what moves follows the batch.
 """
 
 from __future__ import annotations
@@ -18,13 +22,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lodework.operators import silver
+from lodework.operators.sinks import stored_rows
 
 EVERY = "5 minutes"
 
@@ -48,13 +52,6 @@ def _started(writer, continuous: bool) -> StreamingQuery:
     return writer.trigger(**trigger).start()
 
 
-def _read(spark: SparkSession, folder: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(folder)
-    except AnalysisException:
-        return None
-
-
 def _write_batch(df: DataFrame, folder: str, batch_id: int, *partitions: str) -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(f"{folder}/batch={batch_id}")
@@ -72,7 +69,7 @@ class Store:
 
     # --- customers
     def customer_versions(self) -> DataFrame | None:
-        base = _read(self.spark, self.folder("customers"))
+        base = stored_rows(self.spark, self.folder("customers"))
         return base.drop("batch") if base is not None else None
 
     def customers(self) -> DataFrame:
@@ -80,21 +77,38 @@ class Store:
         return silver.latest_per_key(self.customer_versions(), "customer_id").drop("_loaded_at")
 
     # --- children
-    def accepted(self, name: str) -> DataFrame:
-        rows = _read(self.spark, self.folder(name))
-        return rows.filter(F.col("accepted") == 1).drop("accepted", "batch")
+    def accepted(self, name: str) -> DataFrame | None:
+        """Rows whose parent is known: from the batches and settled since; None before the first batch."""
+        rows = stored_rows(self.spark, self.folder(name))
+        if rows is None:
+            return None
+        rows = rows.filter(F.col("accepted") == 1).drop("accepted", "batch")
+        settled = self.settled(name)
+        return rows if settled is None else rows.unionByName(settled.drop("batch"))
+
+    def settled(self, name: str) -> DataFrame | None:
+        """Rows accepted after their batch, when the parent came without a new child."""
+        return stored_rows(self.spark, self.folder(f"{name}_settled"))
 
-    def waiting(self, name: str, batch_id: int | None = None) -> DataFrame | None:
-        """Rows still without a parent: what a batch, by default the newest, left over.
+    def newest(self, name: str) -> int | None:
+        rows = stored_rows(self.spark, self.folder(name))
+        return None if rows is None else rows.agg(F.max("batch")).first()[0]
+
+    def waiting(self, name: str, key: str, batch_id: int | None = None) -> DataFrame | None:
+        """Rows still without a parent: what a batch, by default the newest, left over and nothing settled since.
 
         Every batch takes over the rows its predecessor left, so one folder holds them all.
         """
-        rows = _read(self.spark, self.folder(name))
-        if rows is None:
+        batch_id = self.newest(name) if batch_id is None else batch_id
+        rows = stored_rows(self.spark, self.folder(name))
+        if rows is None or batch_id is None:
             return None
-        if batch_id is None:
-            batch_id = rows.agg(F.max("batch")).first()[0]
-        return rows.filter((F.col("batch") == batch_id) & (F.col("accepted") == 0)).drop("accepted", "batch")
+        left = rows.filter((F.col("batch") == batch_id) & (F.col("accepted") == 0)).drop("accepted", "batch")
+        settled = self.settled(name)
+        if settled is None:
+            return left
+        # All rows of a parent are settled together.
+        return left.join(settled.filter(F.col("batch") == batch_id).select(key).distinct(), key, "left_anti").select(*left.columns)
 
 
 def refresh_customers(store: Store, feed: DataFrame, *, continuous: bool = False) -> StreamingQuery:
@@ -109,16 +123,24 @@ def refresh_customers(store: Store, feed: DataFrame, *, continuous: bool = False
     return _run(feed, write, store.folder("checkpoints/customers"), continuous)
 
 
+def _known(rows: DataFrame, parents: DataFrame | None, key: str) -> DataFrame:
+    """Those parent keys that ``rows`` refer to, once each; none if no parent is stored yet."""
+    asked = rows.select(key).distinct()
+    if parents is None:
+        return asked.limit(0)
+    return parents.select(key).join(asked, key, "left_semi").distinct()
+
+
 def refresh_children(store: Store, name: str, feed: DataFrame, clean: Callable[[DataFrame], DataFrame],
-                     parent_keys: Callable[[], DataFrame], key: str, *, continuous: bool = False) -> StreamingQuery:
+                     parent_keys: Callable[[], DataFrame | None], key: str, *, continuous: bool = False) -> StreamingQuery:
     """Accept rows whose parent is known, let the others wait."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = clean(batch).drop("_loaded_at", "_source_table", "_row_number")
-        left_over = store.waiting(name, batch_id - 1)
+        left_over = store.waiting(name, key, batch_id - 1)
         if left_over is not None:
             rows = rows.unionByName(left_over)
-        parents = parent_keys().select(key).distinct().withColumn("_known", F.lit(True))
+        parents = _known(rows, parent_keys(), key).withColumn("_known", F.lit(True))
         decided = rows.join(parents, key, "left").withColumn(
             "accepted", F.when(F.col("_known"), 1).otherwise(0)).drop("_known")
         _write_batch(decided, store.folder(name), batch_id, "accepted")
@@ -126,6 +148,15 @@ def refresh_children(store: Store, name: str, feed: DataFrame, clean: Callable[[
     return _run(feed, write, store.folder(f"checkpoints/{name}"), continuous)
 
 
+def settle(store: Store, name: str, parents: DataFrame | None, key: str) -> None:
+    """Accept the waiting rows whose parent has arrived since their batch; call it between refreshes."""
+    waiting = store.waiting(name, key)
+    if waiting is None or parents is None:
+        return
+    arrived = waiting.join(_known(waiting, parents, key), key, "left_semi").select(*waiting.columns)
+    arrived.write.mode("append").parquet(f"{store.folder(f'{name}_settled')}/batch={store.newest(name)}")
+
+
 def refresh_orders(store: Store, feed: DataFrame, as_of: date, **options) -> StreamingQuery:
     return refresh_children(store, "orders", feed, lambda rows: silver.valid_orders(rows, as_of),
                             lambda: store.customer_versions(), "customer_id", **options)
@@ -142,20 +173,12 @@ def _run(feed: DataFrame, write, checkpoint: str, continuous: bool) -> Streaming
 
 
 def refresh_all(store: Store, feeds: dict[str, DataFrame], as_of: date) -> None:
-    """One refresh in dependency order: customers, then orders, then lines.
-
-    Waiting children are retried when their table receives a batch; ``with_retry`` reads
-    them as accepted when their parent came without one.
-    """
+    """One refresh in dependency order: customers, then orders, then lines; waiting rows are settled on the way."""
     refresh_customers(store, feeds["customers"]).awaitTermination()
     refresh_orders(store, feeds["orders"], as_of).awaitTermination()
+    settle(store, "orders", store.customer_versions(), "customer_id")
     refresh_order_items(store, feeds["order_items"]).awaitTermination()
-
-
-def with_retry(store: Store, name: str, parent_keys: DataFrame, key: str) -> DataFrame:
-    """The accepted rows together with waiting rows whose parent has arrived meanwhile."""
-    accepted, left_over = store.accepted(name), store.waiting(name)
-    return accepted.unionByName(left_over.join(parent_keys.select(key), key, "left_semi").select(*accepted.columns))
+    settle(store, "order_items", store.accepted("orders"), "order_id")
 
 
 def compact_customers(store: Store, target: str) -> DataFrame:

@@ -744,6 +744,10 @@ S["streaming_orders"] = S["silver_orders"]
 add("streaming_order_items", f"""SELECT {ITEM} FROM (SELECT * FROM l_items WHERE quantity > 0 AND unit_price > 0
     AND line_total_c > 0 AND abs(quantity * unit_price * (1 - coalesce(discount_rate, 0)) - line_total_c / 100.0) < 1.0
     AND order_item_id IS NOT NULL AND product_id IS NOT NULL AND order_id IN (SELECT order_id FROM s_orders))""")
+S["streaming_orders_late"] = S["streaming_orders"]
+S["streaming_order_items_late"] = S["streaming_order_items"]
+add("streaming_freshness", """SELECT lag_seconds, n AS input_rows, status FROM (SELECT count(*) AS n FROM orders),
+    (VALUES (60.0::DOUBLE, 'PASS'), (600.0::DOUBLE, 'STALE')) t(lag_seconds, status)""")
 add("streaming_bronze_append", f"""SELECT o_orderstatus, count(*) AS orders,
     {money('sum(CAST(round(o_totalprice * 100) AS BIGINT))', 'amount')} FROM orders GROUP BY o_orderstatus""")
 

@@ -2,7 +2,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from lodework.operators import features, quality
+from lodework.operators import features, gold, quality
 from lodework.operators.features import Spine
 from lodework.plans import build
 from lodework.plans.star import SalesModel
@@ -28,13 +28,21 @@ def test_stored_layers_equal_the_lazy_model(spark, folder):
 
 
 def test_calendar_is_a_filter_that_reaches_the_scan(spark):
-    plan = SalesModel(spark, SMALL).monthly_sales._jdf.queryExecution().executedPlan().toString()
+    plan = SalesModel(spark, SMALL, calendar=gold.CALENDAR).monthly_sales._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.split("\n") if "FileScan" in line and "o_orderdate" in line]
     assert len(scan) == 1 and "DataFilters: [isnotnull(o_orderdate" in scan[0]
     assert ">= 1992-01-01 00:00:00" in plan and "< 2000-01-02 00:00:00" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_the_calendar_covers_all_orders(spark):
+    model = SalesModel(spark, SMALL)
+    lost = quality.calendar_loss(model.fact, *model.days).first()
+    assert lost.lines_outside == 0 and model.spine.end == model.days[1] >= date(2000, 1, 1)
+    marts = model.monthly_sales.agg(F.sum("total_revenue")).first()[0]
+    assert marts == model.fact.agg(F.sum("revenue")).first()[0]
+
+
 def test_no_plan_crosses_tables(spark):
     model = SalesModel(spark, SMALL, spine=Spine(step="month"))
     for df in (model.rfm_features, model.engagement_features, model.product_features, model.rep_features,

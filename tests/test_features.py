@@ -152,7 +152,7 @@ def test_validation_and_sampling(spark):
     with pytest.raises(ValueError):
         features.training_dataset({"customer": frame}, "planet", date(1995, 1, 1), date(1995, 1, 1))
     assert features.training_dataset({"customer": frame}, "customer", date(1995, 1, 1), date(1995, 1, 1)).count() == 1
-    big = spark.range(20000).withColumn("observation_date", F.lit(date(1995, 1, 1)))
+    big = spark.range(20000).withColumnRenamed("id", "customer_id").withColumn("observation_date", F.lit(date(1995, 1, 1)))
     share = features.training_dataset({"customer": big}, "customer", date(1995, 1, 1), date(1995, 1, 1), 0.1).count()
     assert 1500 < share < 2500
 

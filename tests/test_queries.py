@@ -14,7 +14,8 @@ CHOSEN = [
     "product_revenue_forecast", "product_acquisition_cohort", "product_performance_analytics_ranged",
     "governance_gates", "bi_territory_month_growth", "bi_segment_mix", "bi_cash_flow", "features_customer_rfm_ranged",
     "features_product_performance", "features_sales_rep_quota", "features_as_of_batch", "features_churn_label",
-    "sink_upsert", "search_documents_text", "streaming_orders",
+    "features_training_sample", "features_product_trend_fit", "gold_quarterly_revenue_fixed_calendar",
+    "sink_upsert", "search_documents_text", "streaming_orders", "streaming_order_items_late",
 ]
 
 
