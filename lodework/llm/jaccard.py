@@ -257,7 +257,8 @@ def linked(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
                             "kind binary, run int, bucket long, block_a int, block_b int, low boolean"), "able")
     texts = stored(able.select("kind").distinct().join(kinds.select("kind", "_first.*"), "kind"), "able-kinds")
     source = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_content"), "text")
-    read = source.join(texts, same(source, texts, ["_id", "_content"])).select("kind", _tokens(F.col("text")).alias("tokens"))
+    # A merge join at every size: the side of the texts grows with the documents, that of the keys with the links.
+    read = source.join(texts.hint("merge"), same(source, texts, ["_id", "_content"])).select("kind", _tokens(F.col("text")).alias("tokens"))
     read = stored(read.dropDuplicates(["kind"]), "able-sets")
     whole = able.join(met, "kind").join(kinds.select("kind", "path", "copies"), "kind").join(read, "kind")
     found = stored(_by_group(whole, lambda t: _links(t, similarity), "kind binary, links long, to binary"), "links")
