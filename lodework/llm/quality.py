@@ -97,7 +97,7 @@ def removed_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFr
 
 def _verdict(counted: DataFrame, removed: DataFrame, min_left: int):
     """``counted`` with ``removed`` lines, ``depleted`` and ``kept``."""
-    joined = counted.join(removed, same(counted, removed, _KEY), "left").drop(*[removed[k] for k in _KEY])
+    joined = counted.join(removed.hint("merge"), same(counted, removed, _KEY), "left").drop(*[removed[k] for k in _KEY])
     lost = F.aggregate(F.transform("removed", lambda s: s["chars"]), F.lit(0).cast("long"), lambda total, n: total + n)
     depleted = F.coalesce(100 * (F.col("_chars") - lost) < min_left * F.col("_chars"), F.lit(False))
     return joined.withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
