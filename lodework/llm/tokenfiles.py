@@ -1,7 +1,6 @@
 """Token ids of documents in binary files, with Elias-Fano encoded document boundaries.
 
-Documents are tokenized where they lie, their ids dealt out by ranges of ``doc_id`` and
-written in that order. A file holds the ids of its documents one after another (16 bits
+Documents are dealt out by ranges of ``doc_id``, tokenized and written in that order. A file holds the ids of its documents one after another (16 bits
 each if the vocabulary allows it, else 32), then the boundaries, the document ids and a
 trailer with the lengths of these parts. The boundaries 0 = b0 <= b1 <= ... are split into low
 bits, packed, and high parts in unary; every ``SAMPLE``-th set bit of the latter has its
@@ -23,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodework.llm.common import stored
@@ -78,16 +77,6 @@ class EliasFano:
         return self.high.nbytes + self.low.nbytes + self.samples.nbytes
 
 
-def encode(text: Column, path: str) -> Column:
-    """Ids of a text with ``END`` behind them, as little-endian 32-bit integers."""
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own, end = pieces(path), struct.pack("<I", END)
-        for texts in batches:
-            yield pa.array([own.text_ids(x.as_py() or "") + end for x in texts], pa.binary())
-
-    return F.arrow_udf(run, "binary")(text)
-
-
 class Writer:
     """Writes one file; only the number of ids of each document is kept until the end."""
 
@@ -153,24 +142,25 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
         rules = json.load(f)
     top = max([*rules["model"]["vocab"].values(), *(t["id"] for t in rules.get("added_tokens", []))])
     width = 2 if top < 1 << 16 else 4
-    ids = docs.select(F.col("doc_id"), F.xxhash64("text").alias("_content"), encode(F.col("text"), path).alias("ids"))
-    ordered = ids.repartitionByRange("doc_id", "_content").sortWithinPartitions("doc_id", "_content")
+    # Texts are dealt, not ids: they are smaller, and Spark runs what it takes the ranges from twice.
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("_content"), "text")
+    ordered = keyed.repartitionByRange("doc_id", "_content").sortWithinPartitions("doc_id", "_content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        writer, n = None, 0
+        own, end, writer, n = pieces(path), struct.pack("<I", END), None, 0
         for batch in batches:
-            for doc_id, one in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 writer = writer or Writer(folder, width)
-                writer.add(doc_id, one.as_buffer().to_pybytes())
+                writer.add(doc_id, own.text_ids(text.as_py() or "") + end)
                 n += 1
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "name": [writer.name],
                                               "n_docs": [n], "n_ids": [writer.n_ids]})
 
-    listed = stored(ordered.select("doc_id", "ids").mapInArrow(run, "part long, name string, n_docs long, n_ids long"), "token-files")
+    listed = stored(ordered.select("doc_id", "text").mapInArrow(run, "part long, name string, n_docs long, n_ids long"), "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return listed.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("long")))
 
