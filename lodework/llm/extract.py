@@ -183,8 +183,11 @@ def main_text(page: Page, score: np.ndarray) -> str:
 def fit(pages: DataFrame, learning: int = LEARNING, sample: int = SAMPLE) -> Model:
     """Learn from pages composed of the words of the ``sample`` pages with the least hashes of their id."""
     rows = pages.filter(F.col("html").isNotNull()).select(F.xxhash64("page_id").alias("_h"), "html")
+    # The hashes are drawn first, so that no task sends the driver pages that are not drawn.
+    drawn = [row["_h"] for row in rows.select("_h").orderBy("_h").limit(sample).collect()]
+    chosen = rows.filter(F.col("_h") <= (drawn[-1] if drawn else 0)).orderBy("_h", "html").limit(sample)
     words: list[str] = []
-    for row in rows.orderBy("_h", "html").limit(sample).collect():
+    for row in chosen.collect():
         for _, text in Page(row["html"]).blocks:
             words += text.split()
     words = words or ["text"]
