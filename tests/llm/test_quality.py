@@ -46,6 +46,28 @@ def test_frequent_lines(spark):
     assert cleaned[300].text.endswith(menu) and cleaned[200].text == rows[10][1]
 
 
+def test_shared_lines_do_not_tell_documents_apart(spark):
+    menus = [f"part {k} of the menu" for k in range(5)]
+    rows = [(i, "\n".join(menus[:3] + [data.text(i, 60, 20)] + menus[3:]), "en", "short", 0) for i in range(30)]
+    rows += [(100 + i, "\n".join([*menus, *menus[::-1], data.text(100 + i, 60, 60)]), "en", "one", 0) for i in range(25)]
+    rows += [(200 + i, data.text(200 + i, 60, 20) + "\n" + "\n".join(menus), "en", "few", 0) for i in range(20)]
+    found = {r.doc_id: r for r in quality.judge(data.documents(spark, rows)).collect()}
+    assert all(found[i].n_removed_lines == 5 and found[i].kept for i in range(30))
+    assert all(found[100 + i].n_removed_lines == 10 and found[100 + i].kept for i in range(25))
+    assert all(found[200 + i].n_removed_lines == 0 and found[200 + i].kept for i in range(20))
+
+
+def test_near_copies_do_not_remove_their_own_lines(spark):
+    base = [line.split(" ") for line in data.text(1, 240).split("\n")]
+    rows = []
+    for i in range(60):
+        copy = [list(line) for line in base]
+        copy[i % len(copy)][i % 12] = f"changed{i}"
+        rows.append((i, "\n".join(" ".join(line) for line in copy), "en", "a", 0))
+    found = quality.judge(data.documents(spark, rows)).collect()
+    assert len(found) == 60 and all(r.n_removed_lines == 0 and r.kept for r in found)
+
+
 def test_empty_table(spark):
     none = data.empty(spark, data.DOCUMENTS)
     assert quality.judge(none).count() == 0 and quality.clean(none).columns == none.columns
