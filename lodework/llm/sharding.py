@@ -4,11 +4,13 @@ Documents with equal texts (NULL counts as empty) are a group and stay together.
 partition is a list of as many sums as there are shards. Differencing takes the two with
 the largest spread and adds them in opposite order, largest to smallest, until one is left.
 
-It runs in a tree: groups are dealt by hash to parts of about ``PART`` and differenced there,
-each part leaving one partial partition; these are dealt and differenced again in the same
-way, until one part holds all. Every level only maps the sums of a part to those of the
-next, so a group's shard is found by following these maps. No part grows with the input;
-only their number and, by its logarithm, the number of levels do.
+Up to ``PART`` groups are differenced at once. More are dealt by hash to parts of about that
+many, and each part packs its small groups into bundles, which then stay together; groups
+larger than a bundle go up as they are, and this is repeated until no more than ``PART``
+units are left, which are differenced as if they were groups. A shard takes ``BUNDLES``
+bundles, so bundles and larger groups are bounded by the total bytes; those on top fill up
+the shards beside a large group, whatever part it came from. A group's shard is found by
+following the bundles down.
 
 Rows of a shard are numbered without gaps in the order of (a hash bucket, ``doc_id``): rows
 are counted per shard and bucket, and numbered inside a bucket behind those before it, so
@@ -30,6 +32,10 @@ from lodework.llm.common import stored
 
 SHARDS = 16
 PART = 4096
+#: Bundles that make up a shard, the part of what is left that a bundle takes at most, and the part of a bundle that it may always take.
+BUNDLES = 64
+LAST = 8
+LEAST = 64
 BUCKET_ROWS = 20_000
 
 
@@ -59,45 +65,76 @@ def difference(sums: list[list[int]]) -> tuple[list[int], list[list[int]]]:
     return held[-1], places[:len(sums)]
 
 
-def _level(parts: DataFrame, shards: int) -> DataFrame:
-    """``part, id, sums`` differenced per part: ``part, id, places`` for each id and, once per part, the part's ``sums``."""
+def bundle(weights: list[int], size: int) -> list[int]:
+    """The bundle of each of the descending ``weights``: none of more than ``size`` but for a weight alone.
+
+    A bundle takes a ``LAST`` part of what is left at most, so the last ones are small and can level out the others.
+    """
+    left, out, n = sum(w for w in weights if w < size), [], -1
+    held = room = 0
+    for w in weights:
+        if w >= size:
+            n += 1
+        elif n >= 0 and held and held + w <= room:
+            held += w
+            left -= w
+        else:
+            n, held, room = n + 1, w, min(size, max(left // LAST, size // LEAST))
+            left -= w
+        out.append(n)
+    return out
+
+
+def _sorted(table: pa.Table) -> pa.Table:
+    # The order of ties must not depend on that of rows.
+    return table.sort_by([("bytes", "descending"), ("id", "ascending")])
+
+
+def _bundled(dealt: DataFrame, size: int) -> DataFrame:
+    """``part, id, bytes`` bundled per part: ``id, up, bytes`` for each id and the bundle's bytes once per bundle ``up``."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")  # the order of ties must not depend on that of rows
-        sums = table.column("sums").to_pylist()
-        order = sorted(range(len(sums)), key=lambda i: (sums[i][0] - sums[i][-1], i))
-        total, places = difference([sums[i] for i in order])
-        back = [None] * len(order)
-        for i, p in zip(order, places):
-            back[i] = p
-        return pa.table({"part": pa.array([key[0].as_py()] * len(sums), pa.int64()), "id": table.column("id"),
-                         "places": pa.array(back, pa.list_(pa.int32())),
-                         "total": pa.array([total] + [None] * (len(sums) - 1), pa.list_(pa.int64()))})
+        table, part = _sorted(table), key[0].as_py()
+        weights = table.column("bytes").to_pylist()
+        places = bundle(weights, size)
+        sums = [0] * (places[-1] + 1)
+        for w, k in zip(weights, places):
+            sums[k] += w
+        first = [i == 0 or places[i - 1] != k for i, k in enumerate(places)]
+        return pa.table({"id": table.column("id"), "up": pa.array([(part << 32) + k for k in places], pa.int64()),
+                         "bytes": pa.array([sums[k] if f else None for f, k in zip(first, places)], pa.int64())})
 
-    return parts.groupBy("part").applyInArrow(run, "part long, id long, places array<int>, total array<bigint>")
+    return dealt.groupBy("part").applyInArrow(run, "id long, up long, bytes long")
+
+
+def _differenced(units: DataFrame, shards: int) -> DataFrame:
+    """``id, shard`` of the units ``id, bytes``, differenced at once."""
+    def run(table: pa.Table) -> pa.Table:
+        table = _sorted(table)
+        _, places = difference([[0] * (shards - 1) + [w] for w in table.column("bytes").to_pylist()])
+        # A unit is the largest sum of its own partition: the last place.
+        return pa.table({"id": table.column("id"), "shard": pa.array([p[-1] for p in places], pa.int32())})
+
+    return units.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(run, "id long, shard int")
 
 
 def assign(groups: DataFrame, shards: int = SHARDS, part: int = PART) -> DataFrame:
     """``id, shard`` for the rows ``id, bytes`` of ``groups``."""
-    zeros = [F.lit(0).cast("long")] * (shards - 1)
-    now = groups.select("id", F.array(*zeros, F.col("bytes")).alias("sums"))
-    maps, n = [], groups.count()
-    while n:
-        parts = -(-n // part)
-        dealt = now.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
-        level = stored(_level(dealt, shards), f"parts-{len(maps)}")
-        maps.append(level.select("id", "places", "part"))
-        now = level.filter(F.col("total").isNotNull()).select(F.col("part").alias("id"), F.col("total").alias("sums"))
-        if parts == 1:
-            break
-        n = now.count()
-    if not maps:
+    part = max(part, 4 * BUNDLES * shards, 1024)  # fewer could be bundles already
+    now, maps = groups.select("id", "bytes"), []
+    n, total = groups.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    if not n:
         return groups.select("id", F.lit(0).alias("shard"))
-    # A group is the largest sum of its own partition: the last place.
-    found = maps[0].select("id", "part", F.get("places", F.lit(shards - 1)).alias("shard"))
-    for level in maps[1:]:
-        up = level.select(F.col("id").alias("part"), F.col("places").alias("_to"), F.col("part").alias("_up"))
-        found = found.join(up, "part").select("id", F.col("_up").alias("part"), F.get("_to", F.col("shard")).alias("shard"))
-    return found.select("id", "shard")
+    size = max(1, total // (BUNDLES * shards))
+    while n > part:
+        dealt = now.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(-(-n // part))))
+        level = stored(_bundled(dealt, size), f"bundles-{len(maps)}")
+        maps.append(level.select("id", "up"))
+        now = level.filter(F.col("bytes").isNotNull()).select(F.col("up").alias("id"), "bytes")
+        n = now.count()
+    found = _differenced(now, shards)
+    for level in reversed(maps):
+        found = level.join(found.select(F.col("id").alias("up"), "shard"), "up").select("id", "shard")
+    return found
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, part: int = PART, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

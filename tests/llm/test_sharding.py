@@ -36,5 +36,29 @@ def test_shards(spark, options):
         assert max(sizes.values()) - min(sizes.values()) < 0.02 * sum(sizes.values())
 
 
+@pytest.mark.parametrize("share", [0.05, 1 / 3])
+def test_parts_balance_beside_large_groups(spark, share):
+    weights = [200 + i * 7919 % 3000 for i in range(20_000)]
+    weights += [int(sum(weights) * share / (1 - share))]
+    groups = spark.createDataFrame(list(enumerate(weights)), "id long, bytes long")
+    found = {r.id: r.shard for r in sharding.assign(groups).collect()}
+    assert sorted(found) == list(range(len(weights)))
+    sums = Counter()
+    for i, w in enumerate(weights):
+        sums[found[i]] += w
+    whole, _ = sharding.difference([[0] * 15 + [w] for w in sorted(weights, reverse=True)])
+    assert max(sums.values()) <= 1.001 * whole[-1] and min(sums.values()) >= 0.999 * whole[0]
+
+
+def test_bundles():
+    weights = sorted([1 + i * 31 % 97 for i in range(5000)] + [4000, 90_000], reverse=True)
+    places = sharding.bundle(weights, 4000)
+    sums = Counter()
+    for w, k in zip(weights, places):
+        sums[k] += w
+    assert sorted(sums) == list(range(len(sums))) and len(sums) <= 2 * sum(weights) / 4000 + 64
+    assert sums[0] == 90_000 and all(s <= 4000 for k, s in sums.items() if k)
+
+
 def test_empty_table(spark):
     assert sharding.shard(data.empty(spark, data.DOCUMENTS)).count() == 0
