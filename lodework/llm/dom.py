@@ -5,11 +5,15 @@ from __future__ import annotations
 import re
 from html import unescape
 
-# Fixed values of HTML: elements inside a line, without content, with raw content, and what an opening tag closes.
+# Fixed values of HTML: elements inside a line (those of math too), without content, with raw content, those of it
+# that last to the end of the page without an end tag, and what an opening tag closes.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr input".split())
+                   "samp small span strike strong sub sup time tt u var wbr input "
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup "
+                   "munder mover munderover mmultiscripts mprescripts mtable mtr mtd maction semantics annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe noframes xmp template svg math select".split())
+RAW = frozenset("script style title textarea noscript iframe noframes xmp template svg select".split())
+CODE = frozenset(("script", "style"))
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th")}
 SCOPES = frozenset("ul ol dl table body article section div nav aside main header footer form".split())
@@ -17,6 +21,8 @@ SCOPES = frozenset("ul ol dl table body article section div nav aside main heade
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"""
                   r"""([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|</?[a-zA-Z][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+# The last slash belongs to the value in <svg a=b/>.
+_OPEN_VALUE = re.compile(r"""=\s*[^\s"']*/\Z""")
 _TOKEN = re.compile(r"[a-z]+")
 _NAMED = ("class", "id", "role", "itemprop")
 
@@ -75,6 +81,7 @@ class Page:
 
     def _read(self, html: str) -> None:
         at, search, size = 0, _TAG.search, len(html)
+        endless = set()  # raw elements without a further end tag: not sought again
         while at < size:
             found = search(html, at)
             stop = found.start() if found else size
@@ -96,8 +103,15 @@ class Page:
                 elif tag not in INLINE:
                     self._close(tag)
             elif tag in RAW:
+                if tag in endless or tag == "svg" and attributes.endswith("/") and not _OPEN_VALUE.search(attributes):
+                    continue
                 close = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)[^>]*>?", re.I).search(html, at)
-                at = close.end() if close else size
+                if close:
+                    at = close.end()
+                elif tag in CODE:
+                    return
+                else:
+                    endless.add(tag)
             elif tag == "a":
                 self._links = 1
             elif tag in ("br", "hr"):

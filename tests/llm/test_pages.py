@@ -27,6 +27,16 @@ def test_extraction(spark):
     assert extract.extract(data.empty(spark, data.PAGES)).count() == 0
 
 
+def test_raw_elements_end_where_they_end():
+    text = lambda html: [t for _, t in Page(html).blocks]
+    assert text("<p>a <svg class='x'/> b</p><p>c</p>") == ["a b", "c"]
+    assert text("<p>a <svg/>b <svg viewBox=0/><path/>no</svg> c</p>") == ["a b c"]
+    assert text("<p>a</p><select><option>b<p>c</p>") == ["a", "b", "c"]
+    assert text("<p>a</p><template><p>b</p>" * 2) == ["a", "b", "a", "b"]
+    assert text("<p>a</p><select><option>no</select><p>b</p><script>no <p>no") == ["a", "b"]
+    assert text("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn> <mn>2</mn></mfrac></math> holds <math/> here</p>") == ["so x=1 2 holds here"]
+
+
 def test_held_out_layouts():
     make = lambda seed: Page(extract._Composer("some words that pages hold .".split(), seed).page())
     model = extract.Model([make(s) for s in range(300)])
