@@ -53,19 +53,24 @@ class ChunkEncoder:
 
     def __init__(self, own: Pieces, cut_bits: int = CUT_BITS, remembered: int = REMEMBERED_CHUNKS):
         self._pieces, self._cut_bits, self._size = own, cut_bits, remembered
+        # Two generations of half the size: the older one goes when the newer is full, and what is met again is new.
         self._chunks: dict[bytes, tuple] = {}
+        self._older: dict[bytes, tuple] = {}
 
     def _chunk(self, chunk: bytes):
         """(start up to white space, ids of the inside, end after white space); no inside without white space."""
         known = self._chunks.get(chunk)
+        if known is not None:
+            return known
+        known = self._older.get(chunk)
         if known is None:
             parts = chunk.replace(b"\n", b" ").split(b" ")
             if len(parts) == 1:
                 return None
             known = (parts[0], b"".join(map(self._pieces.words.__getitem__, parts[1:-1])), parts[-1])
-            if len(self._chunks) >= self._size:
-                self._chunks.clear()
-            self._chunks[chunk] = known
+        if len(self._chunks) >= self._size // 2:
+            self._older, self._chunks = self._chunks, {}
+        self._chunks[chunk] = known
         return known
 
     def join(self, chunks: Iterator[bytes]) -> bytes:

@@ -47,6 +47,15 @@ def test_shared_passages_give_shared_chunks():
     assert known > 20 and len(encoder._chunks) - known <= 2
 
 
+def test_chunks_that_are_met_again_are_not_forgotten():
+    encoder = bpe.ChunkEncoder(pieces(WORD), remembered=4)
+    met = encoder._chunk(b"often met again")
+    for i in range(20):
+        encoder._chunk(b"met once %d" % i)
+        assert encoder._chunk(b"often met again") is met
+        assert len(encoder._chunks) + len(encoder._older) <= 4
+
+
 def test_awkward_rows(spark):
     docs = data.documents(spark, data.awkward())
     library = Tokenizer.from_file(WORD)
