@@ -1,23 +1,33 @@
-"""Ranks over groups of any size.
+"""Order statistics and ranks over groups of any size, without putting a group into one task.
 
-A plain window puts a whole group into one task. That is the better plan while the
-group is known to be small, so ``ranked`` takes a row bound for the largest group.
-Beyond ``SINGLE_TASK_ROWS`` the rows are range-partitioned on the full sort key,
-numbered inside each partition, and shifted by per-partition offsets that come from
-a summary with one row per (partition, group). Both ways give the same numbers.
+Three needs, three ways, each the same at every size:
+
+* ``first_at``: the rows that stand at given places of a group's order (limits of fifths,
+  percentiles). Counts per value decide: a coarse histogram names the interval that holds
+  a place, a second count its value, and only rows of that value are ordered by their key.
+  Rows may carry a weight, so that a row can stand for many equal ones.
+* ``dense_ranked``: ranks inside order-preserving intervals of the value, shifted by the
+  number of distinct values in the intervals before.
+* ``numbered``: one range shuffle on the full sort key, the place inside a written
+  partition, and one offset per partition.
+
+The intervals are a function of the value alone (``coarse``), so that every task of every
+attempt puts a row into the same one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodework import session
 
-SINGLE_TASK_ROWS = 2_000_000
+#: Intervals per doubling of the value; a double has some 2,000 doublings, money in cents about 90.
+RESOLUTION = 16
 
 
 @dataclass(frozen=True)
@@ -32,131 +42,173 @@ class By:
         column = F.col(self.name)
         return column.desc_nulls_first() if self.descending else column.asc_nulls_last()
 
+    def interval(self, resolution: int) -> Column:
+        """Ascending numbers of intervals that follow the order; NULLs have one of their own."""
+        number = coarse(F.col(self.name), resolution)
+        least, most = -(1 << 31), (1 << 31) - 1
+        return F.coalesce(-number if self.descending else number, F.lit(least if self.descending else most))
+
+
+def coarse(value: Column, resolution: int) -> Column:
+    """An integer that never falls when the value rises: sign and logarithm of the number."""
+    number = value.cast("double")
+    size = (F.floor(F.log2(F.abs(number) + 1) * resolution) + 1).cast("int")
+    return F.when(number > 0, size).when(number < 0, -size).when(number == 0, 0)
+
+
+def pick(left: DataFrame, right: DataFrame, columns: Sequence[str], kept: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose ``columns`` match a row of ``right``, with ``kept`` of ``right``.
+
+    ``right`` has one row per group and place. The groups are few (the months of a calendar,
+    the axes of a score), so it is broadcast.
+    """
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") for c in columns], *kept)
+    condition = F.lit(True)
+    for c in columns:
+        condition = condition & left[c].eqNullSafe(renamed[f"_r_{c}"])
+    return left.join(F.broadcast(renamed), condition).drop(*[f"_r_{c}" for c in columns])
 
-_PART, _ROW, _RANK, _DENSE = "_part", "_local_row", "_local_rank", "_local_dense"
 
+# --- the rows at given places ------------------------------------------------------------------
 
-def ranked(
-    df: DataFrame,
-    outputs: Mapping[str, str | tuple[str, int]],
-    order_by: Sequence[By],
-    ties: Sequence[str],
-    within: Sequence[str] = (),
-    *,
-    group_rows: int | None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Add rank columns.
+def fifths(total: Column) -> Column:
+    """Places (number, 0-based position) at which the second to fifth fifth of ``total`` rows begin.
 
-    outputs: new column -> "row_number" | "rank" | "dense_rank" | "percent_rank" | ("ntile", n)
-    order_by: the ranked values; ties: key columns that make the order total for
-    row_number and ntile; group_rows: proven bound of the largest group, None if unknown.
+    The first ``total % 5`` fifths hold one row more; fifths that are empty begin nowhere.
     """
-    if group_rows is not None and group_rows <= single_task_rows:
-        return _by_window(df, outputs, order_by, ties, within)
-    return _by_range(df, outputs, order_by, ties, within)
-
-
-def _by_window(df, outputs, order_by, ties, within) -> DataFrame:
-    frame = Window.partitionBy(*within)
-    keys = [o.sort for o in order_by]
-    tied = frame.orderBy(*keys)
-    total = frame.orderBy(*keys, *ties)
-    columns = {}
-    for name, kind in outputs.items():
-        if isinstance(kind, tuple):
-            columns[name] = F.ntile(kind[1]).over(total)
-        elif kind == "row_number":
-            columns[name] = F.row_number().over(total).cast("bigint")
-        elif kind == "percent_rank":
-            columns[name] = F.percent_rank().over(tied)
-        else:
-            columns[name] = getattr(F, kind)().over(tied).cast("bigint")
-    return df.withColumns(columns)
-
-
-def _by_range(df, outputs, order_by, ties, within) -> DataFrame:
-    spark = df.sparkSession
-    session.enable_checkpoints(spark)
-    names = df.columns
-    keys = [o.sort for o in order_by]
-
-    placed = df.repartitionByRange(*[F.col(c) for c in within], *keys, *[F.col(c) for c in ties])
-    placed = placed.withColumn(_PART, F.spark_partition_id())
-    local = Window.partitionBy(_PART, *within)
-    tied, total = local.orderBy(*keys), local.orderBy(*keys, *ties)
-    # The partition number is only meaningful for this one execution: fix it on
-    # shared storage before the rows are read a second time for the offsets.
-    numbered = placed.withColumns({
-        _ROW: F.row_number().over(total),
-        _RANK: F.rank().over(tied),
-        _DENSE: F.dense_rank().over(tied),
-    }).checkpoint()
-
-    value = F.struct(*[F.col(o.name) for o in order_by])
-    summary = numbered.groupBy(_PART, *within).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.max(_DENSE).alias("distinct_values"),
-        F.max(_RANK).alias("last_rank"),
-        F.min_by(value, F.col(_ROW)).alias("first_value"),
-        F.max_by(value, F.col(_ROW)).alias("last_value"),
-    )
-    # One row per (partition, group): as many rows as range partitions plus groups.
-    chain = Window.partitionBy(*within).orderBy(_PART)
-    before = chain.rowsBetween(Window.unboundedPreceding, -1)
-    upto = chain.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*within)
-    offsets = summary.withColumns({
-        "continues": F.coalesce(F.col("first_value").eqNullSafe(F.lag("last_value").over(chain))
-                                & F.lag("rows").over(chain).isNotNull(), F.lit(False)),
-        "row_offset": F.coalesce(F.sum("rows").over(before), F.lit(0)),
-        "group_rows": F.sum("rows").over(whole),
-    }).withColumns({
-        "dense_offset": F.coalesce(
-            F.sum(F.col("distinct_values") - F.col("continues").cast("int")).over(before), F.lit(0)
-        ) - F.col("continues").cast("int"),
-        "tie_opened": F.when(F.col("distinct_values") > 1, F.col("row_offset") + F.col("last_rank"))
-        .when(~F.col("continues"), F.col("row_offset") + 1),
-    }).withColumn("last_tie", F.last("tie_opened", ignorenulls=True).over(upto)).select(
-        _PART, *within, "row_offset", "group_rows", "dense_offset",
-        F.when(F.col("continues"), F.lag("last_tie").over(chain))
-        .otherwise(F.col("row_offset") + 1).alias("first_tie"),
-    )
-
-    joined = _join_offsets(numbered, offsets, within)
-    row = F.col("row_offset") + F.col(_ROW)
-    rank = F.when(F.col(_DENSE) == 1, F.col("first_tie")).otherwise(F.col("row_offset") + F.col(_RANK))
-    made = {
-        "row_number": row.cast("bigint"),
-        "rank": rank.cast("bigint"),
-        "dense_rank": (F.col("dense_offset") + F.col(_DENSE)).cast("bigint"),
-        "percent_rank": F.when(F.col("group_rows") == 1, F.lit(0.0)).otherwise(
-            (rank - 1).cast("double") / F.nullif(F.col("group_rows") - 1, F.lit(0)).cast("double")),
-    }
-    columns = [
-        (_ntile(row, F.col("group_rows"), kind[1]) if isinstance(kind, tuple) else made[kind]).alias(name)
-        for name, kind in outputs.items()
-    ]
-    kept = [F.col(c) for c in names if c not in outputs]
-    return joined.select(*kept, *columns)
-
-
-def _join_offsets(numbered, offsets, within) -> DataFrame:
-    renamed = offsets.select(
-        *[F.col(c).alias(f"_o_{c}") for c in (_PART, *within)],
-        "row_offset", "group_rows", "dense_offset", "first_tie",
-    )
-    condition = F.col(_PART) == F.col(f"_o_{_PART}")
+    begins = [F.struct(F.lit(b).alias("place"), (F.floor(total / 5) * b + F.least(F.lit(b), total % 5)).cast("bigint").alias("position"))
+              for b in range(1, 5)]
+    return F.filter(F.array(*begins), lambda p: p["position"] < total)
+
+
+def at_shares(*shares: str) -> Callable[[Column], Column]:
+    """Places of the last rows whose percent rank may lie below the shares: a higher value lies above."""
+    def places(total: Column) -> Column:
+        up_to = [F.greatest(F.lit(1), F.ceil(F.lit(s).cast("decimal(6,4)") * (total - 1))).cast("bigint") - 1 for s in shares]
+        return F.array(*[F.struct(F.lit(i + 1).alias("place"), p.alias("position")) for i, p in enumerate(up_to)])
+    return places
+
+
+def _narrowed(rows: DataFrame, level: Sequence[By], within: Sequence[str], asked: DataFrame | None,
+              places: Callable[[Column], Column] | None, weight: str, resolution: int) -> DataFrame:
+    """One level of the order: (within, place, the level's columns, rest) of each place.
+
+    ``asked`` (within, place, rest) or, on the first level, ``places`` of the group's total
+    say which; ``rest`` is the position among the rows of the values found. Windows run
+    over the intervals of a group, and over the distinct values of one interval.
+    """
+    group = [*within, "place"] if asked is not None else [*within]
+    counted = rows.groupBy(*group, level[0].interval(resolution).alias("_interval"),
+                           *(["rest"] if asked is not None else [])).agg(F.sum(weight).alias("_n"))
+    whole = Window.partitionBy(*group)
+    upto = whole.orderBy("_interval")
+    summed = counted.withColumns({"_before": F.sum("_n").over(upto) - F.col("_n"), "_total": F.sum("_n").over(whole)})
+    if asked is None:
+        summed = summed.withColumn("_place", F.explode(places(F.col("_total")))).select(
+            *within, "_interval", "_n", "_before", F.col("_place.place").alias("place"), F.col("_place.position").alias("rest"))
+    inside = (F.col("rest") >= F.col("_before")) & (F.col("rest") < F.col("_before") + F.col("_n"))
+    interval = summed.filter(inside).select(*within, "place", "_interval", (F.col("rest") - F.col("_before")).alias("_rest"))
+    names = [by.name for by in level]
+    kept = rows.withColumn("_interval", level[0].interval(resolution))
+    found = pick(kept, interval, [*group, "_interval"], ["_rest"] if asked is not None else ["place", "_rest"])
+    values = found.groupBy(*within, "place", "_rest", *names).agg(F.sum(weight).alias("_n"))
+    in_order = Window.partitionBy(*within, "place").orderBy(*[by.sort for by in level])
+    run = values.withColumn("_before", F.sum("_n").over(in_order) - F.col("_n"))
+    inside = (F.col("_rest") >= F.col("_before")) & (F.col("_rest") < F.col("_before") + F.col("_n"))
+    return run.filter(inside).select(*within, "place", *names, (F.col("_rest") - F.col("_before")).alias("rest"))
+
+
+def first_at(rows: DataFrame, levels: Sequence[Sequence[By]], within: Sequence[str],
+             places: Callable[[Column], Column], *, weight: str | None = None, resolution: int = RESOLUTION) -> DataFrame:
+    """Per group and place, the columns of the row at that place and ``rest``, its position among rows equal in them.
+
+    levels: the order; each level is narrowed by its first column, so a level of its own
+    pays for columns that many rows share. places: total -> array of (place, 0-based position).
+    A row counts ``weight`` times (once without). The number of groups must be bounded.
+    """
+    counted = rows if weight else rows.withColumn("_weight", F.lit(1).cast("bigint"))
+    weight = weight or "_weight"
+    found = _narrowed(counted, levels[0], within, None, places, weight, resolution)
+    names = [by.name for by in levels[0]]
+    for level in levels[1:]:
+        candidates = pick(counted, found, [*within, *names], ["place", "rest"])
+        deeper = among(candidates, level, within, weight=weight, resolution=resolution)
+        found = pick(found.drop("rest"), deeper, [*within, "place"], [*[by.name for by in level], "rest"])
+        names += [by.name for by in level]
+    return found
+
+
+def among(candidates: DataFrame, level: Sequence[By], within: Sequence[str], *, weight: str,
+          resolution: int = RESOLUTION) -> DataFrame:
+    """The next level inside rows that carry their ``place`` and the ``rest`` looked for."""
+    return _narrowed(candidates, level, within, candidates, None, weight, resolution)
+
+
+def side_by_side(found: DataFrame, within: Sequence[str], columns: Sequence[str], places: int, key: str | None = None,
+                 keys: Sequence = (None,)) -> DataFrame:
+    """One row per group: a struct of ``columns`` per place, named l1, l2, ... or <key>1, <key>2, ..."""
+    told = F.struct(*columns)
+    made = []
+    for k in keys:
+        for p in range(1, places + 1):
+            here = F.col("place") == p if k is None else (F.col("place") == p) & (F.col(key) == k)
+            made.append(F.max(F.when(here, told)).alias(f"{k or 'l'}{p}"))
+    return found.groupBy(*within).agg(*made)
+
+
+# --- dense ranks ---------------------------------------------------------------------------------
+
+def dense_ranked(df: DataFrame, name: str, by: By, within: Sequence[str] = (), *, distinct: DataFrame | None = None,
+                 resolution: int = RESOLUTION) -> DataFrame:
+    """Add the dense rank of a column within a group.
+
+    Rows are ranked inside (group, interval); the distinct values of the intervals before
+    are added. ``distinct`` (within, _interval, _n) gives the numbers of distinct values
+    where the caller knows a cheaper way to them. The group's columns hold no NULL, so that
+    ranks and numbers meet in the partitions of one shuffle.
+    """
+    placed = df.withColumn("_interval", by.interval(resolution))
+    if distinct is None:
+        distinct = placed.groupBy(*within, "_interval", by.name).agg(F.lit(1).alias("_one")).groupBy(
+            *within, "_interval").agg(F.count("_one").alias("_n"))
+    # As many rows per group as there are intervals.
+    upto = Window.partitionBy(*within).orderBy("_interval")
+    before = distinct.select(*[F.col(c).alias(f"_b_{c}") for c in (*within, "_interval")],
+                             (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
+    local = placed.withColumn("_rank", F.dense_rank().over(
+        Window.partitionBy(*within, "_interval").orderBy(by.sort)).cast("bigint"))
+    condition = local["_interval"] == before["_b__interval"]
     for c in within:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
-    return numbered.join(renamed, condition, "inner")
-
-
-def _ntile(row: Column, rows: Column, buckets: int) -> Column:
-    """Bucket of a row number: the first ``rows % buckets`` buckets get one row more."""
-    size = F.floor(rows / F.lit(buckets))
-    extra = rows % F.lit(buckets)
-    in_big = row <= extra * (size + 1)
-    big = F.floor((row - 1) / (size + 1)) + 1
-    small = F.floor((row - 1 - extra * (size + 1)) / F.nullif(size, F.lit(0))) + extra + 1
-    return F.when(in_big, big).otherwise(small).cast("int")
+        condition = condition & (local[c] == before[f"_b_{c}"])
+    joined = local.join(before, condition)
+    kept = [c for c in df.columns if c != name]
+    return joined.select(*kept, (F.col("_before") + F.col("_rank")).cast("bigint").alias(name))
+
+
+# --- numbers over a whole table ------------------------------------------------------------------
+
+#: ``monotonically_increasing_id``: partition number above these bits, place in the partition below.
+_PLACE_BITS = 33
+
+
+def numbered(df: DataFrame, name: str, order_by: Sequence[By], ties: Sequence[str] = (), *, start: int = 1) -> DataFrame:
+    """Add row numbers in the order of ``order_by`` and then ``ties``; rows equal in both are numbered arbitrarily.
+
+    One range shuffle. The sorted partitions are written to the shared folder with the
+    partition's number and the place in it, and the offsets are counted on what was
+    written, so a task that runs again cannot move a row. The offsets are one row per
+    partition, which bounds their broadcast.
+    """
+    keys = [*[o.sort for o in order_by], *[F.col(c).asc_nulls_last() for c in ties]]
+    path = session.work_dir(df.sparkSession, "numbered")
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    schema = T.StructType([*df.schema.fields, T.StructField("_at", T.LongType())])
+    written = df.sparkSession.read.schema(schema).parquet(path)
+    part = F.shiftright("_at", _PLACE_BITS)
+    counts = written.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"))
+    joined = written.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    place = F.col("_at").bitwiseAND((1 << _PLACE_BITS) - 1)
+    kept = [c for c in df.columns if c != name]
+    return joined.select(*kept, (F.col("_offset") + place + start).alias(name))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
-from lodework.functions.ranking import SINGLE_TASK_ROWS, By, ranked
+from lodework.functions.ranking import By, numbered
 
 # The order that defines the row number of each table.
 ROW_ORDER = {
@@ -29,25 +29,15 @@ def stamp(df: DataFrame, table: str, loaded_at: datetime) -> DataFrame:
     })
 
 
-def audit_copy(
-    df: DataFrame,
-    table: str,
-    loaded_at: datetime,
-    *,
-    rows: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """The copy with ``_row_number`` in key order.
+def audit_copy(df: DataFrame, table: str, loaded_at: datetime) -> DataFrame:
+    """The copy with ``_row_number`` in key order, numbered over range partitions.
 
     Rows with equal keys are told apart by their remaining columns, so the numbering
-    is reproducible. ``rows`` bounds the table; without a small bound the numbering
-    runs over range partitions instead of one global window.
+    is reproducible.
     """
     keys = ROW_ORDER[table]
     rest = [c for c in df.columns if c not in keys]
-    numbered = ranked(df, {"_row_number": "row_number"}, [By(c) for c in keys], rest,
-                      group_rows=rows, single_task_rows=single_task_rows)
-    return stamp(numbered, table, loaded_at)
+    return stamp(numbered(df, "_row_number", [By(c) for c in keys], rest), table, loaded_at)
 
 
 def parity(landing: dict[str, DataFrame], bronze: dict[str, DataFrame]) -> DataFrame:

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
-from lodework.functions.ranking import By, ranked
+from lodework.functions import ranking
+from lodework.functions.ranking import By
 from lodework.operators import gold
 from lodework.operators.quality import union_all
 
@@ -60,6 +61,14 @@ class Spine:
         """The observation date preceding another one."""
         return F.date_sub(day, 1) if self.step == "day" else F.add_months(day, -1)
 
+    def in_months(self, steps: DataFrame) -> DataFrame:
+        """Steps cut at the ends of months: ``_month``, the part's ``_from`` and ``_until``, and its number of dates."""
+        month = F.make_ym_interval(months=F.lit(1))
+        cut = steps.select("*", F.explode(F.sequence(F.trunc("_from", "MM"), F.trunc("_until", "MM"), month)).alias("_month"))
+        ends = F.last_day("_month") if self.step == "day" else F.col("_month")
+        cut = cut.withColumns({"_from": F.greatest("_from", "_month"), "_until": F.least(F.col("_until"), ends)})
+        return cut.withColumn("_dates", (F.datediff("_until", "_from") + 1).cast("bigint"))
+
 
 def reaching(target: Column, months: int) -> Column:
     """The first day whose date ``months`` earlier is not before ``target``."""
@@ -128,14 +137,98 @@ def _enter_and_leave(daily: DataFrame, entity: str, enter: Mapping[str, Column],
 
 # --- customers ------------------------------------------------------------------------------------
 
-def customer_rfm(fact: DataFrame, customers: DataFrame, spine: Spine = Spine(), *, rows: int | None,
-                 months: int = 12, **ranking) -> DataFrame:
+# The axes of the score whose value holds from one change to the next.
+_STEADY = {"frequency": "frequency_12m", "monetary": "monetary_12m"}
+_AXES = ("recency", *_STEADY)
+
+
+def _recency_places(parts: DataFrame) -> DataFrame:
+    """Per month and place the recency at which a fifth begins, and the position among the rows of that recency.
+
+    Within a part the recency rises by one a day. Where it sets in and ends change the
+    number of rows per recency, so counts over the calendar's few thousand recencies come
+    from two changes per part, without its days.
+    """
+    month = Window.partitionBy("_month")
+    changes = parts.filter(F.col("_last").isNotNull()).select("_month", F.inline(F.array(
+        F.struct(F.datediff("_from", "_last").alias("value"), F.lit(1).alias("change")),
+        F.struct((F.datediff("_until", "_last") + 1).alias("value"), F.lit(-1).alias("change")))))
+    summed = changes.groupBy("_month", "value").agg(F.sum("change").alias("change"))
+    in_order = month.orderBy("value")
+    runs = summed.withColumns({"_rows": F.sum("change").over(in_order), "_next": F.lead("value").over(in_order)}).select(
+        "_month", "value", "_rows", (F.col("_rows") * F.coalesce(F.col("_next") - F.col("value"), F.lit(0))).alias("_n"))
+    unknown = parts.filter(F.col("_last").isNull()).groupBy("_month").agg(F.sum("_dates").alias("_n")).select(
+        "_month", F.lit(None).cast("int").alias("value"), F.col("_n").alias("_rows"), "_n")
+    upto = month.orderBy(F.col("value").asc_nulls_last())
+    summed = runs.unionByName(unknown).withColumns({
+        "_before": F.sum("_n").over(upto) - F.col("_n"), "_total": F.sum("_n").over(month)})
+    placed = summed.withColumn("_place", F.explode(ranking.fifths(F.col("_total"))))
+    into = F.col("_place.position") - F.col("_before")
+    return placed.filter((into >= 0) & (into < F.col("_n"))).select(
+        "_month", F.col("_place.place").alias("place"),
+        (F.col("value") + F.floor(into / F.col("_rows"))).cast("int").alias("value"),
+        F.when(F.col("value").isNull(), into).otherwise(into % F.col("_rows")).alias("rest"))
+
+
+def _score_limits(parts: DataFrame, **options) -> DataFrame:
+    """Per month the rows at which the second to fifth fifth of each axis begin, as structs <axis>1 to <axis>4.
+
+    The order is that of the axis, then customer and date. Twelve rows a month come out;
+    the parts are counted by value, and only those of a value that a limit falls into are
+    ordered by customer.
+    """
+    steady = parts.select("_month", "customer_id", "_from", "_dates", F.inline(F.array(*[
+        F.struct(F.lit(axis).alias("axis"), F.col(c).cast(AMOUNT).alias("value")) for axis, c in _STEADY.items()])))
+    by_value = ranking.first_at(
+        steady, [[By("value", descending=True)], [By("customer_id"), By("_from")]], ["axis", "_month"],
+        ranking.fifths, weight="_dates", **options)
+    days_in = by_value.select("_month", "axis", "place", "value", "customer_id",
+                              F.date_add("_from", F.col("rest").cast("int")).alias("day"))
+    asked = _recency_places(parts).select(F.col("_month").alias("_asked_month"), "place", "value", "rest")
+    met = parts.join(F.broadcast(asked), (F.col("_month") == F.col("_asked_month")) & F.when(
+        F.col("value").isNull(), F.col("_last").isNull()).otherwise(
+        F.col("value").between(F.datediff("_from", "_last"), F.datediff("_until", "_last"))))
+    candidates = met.select(
+        "_month", "place", "rest", "value", "customer_id",
+        F.coalesce(F.date_add("_last", F.col("value")), F.col("_from")).alias("_from"),
+        F.when(F.col("value").isNull(), F.col("_dates")).otherwise(1).alias("_dates"))
+    found = ranking.among(candidates, [By("customer_id"), By("_from")], ["_month"], weight="_dates", **options)
+    of_recency = ranking.pick(asked.select(F.col("_asked_month").alias("_month"), "place", "value"), found,
+                              ["_month", "place"], ["customer_id", "_from", "rest"]).select(
+        "_month", F.lit("recency").alias("axis"), "place", F.col("value").cast(AMOUNT).alias("value"), "customer_id",
+        F.date_add("_from", F.col("rest").cast("int")).alias("day"))
+    return ranking.side_by_side(days_in.unionByName(of_recency), ["_month"], ["value", "customer_id", "day"], 4, "axis", _AXES)
+
+
+def _reached(axis: str, place: int) -> Column:
+    """The first day from which rows of a part do not come before the limit; NULL if none does.
+
+    A part is one customer's; its rows follow each other by date. It may name a day outside
+    the part.
+    """
+    at = F.col(f"{axis}{place}")
+    later = F.when(F.col("customer_id") > at["customer_id"], F.col("_from")).when(
+        F.col("customer_id") == at["customer_id"], at["day"])
+    if axis != "recency":
+        value = F.col(_STEADY[axis])
+        return F.when(value < at["value"], F.col("_from")).when(value == at["value"], later)
+    at_value = F.date_add("_last", at["value"].cast("int"))
+    with_it = (F.col("customer_id") > at["customer_id"]) | (F.col("customer_id") == at["customer_id"]) & (at_value >= at["day"])
+    known = F.when(at["value"].isNotNull(), F.when(with_it, at_value).otherwise(F.date_add(at_value, 1)))
+    return F.when(F.col("_last").isNotNull(), known).otherwise(F.when(
+        at["value"].isNotNull(), F.col("_from")).otherwise(later))
+
+
+def customer_rfm(fact: DataFrame, customers: DataFrame, spine: Spine = Spine(), *, months: int = 12, **options) -> DataFrame:
     """Recency, 12-month frequency and monetary value with quintile scores per calendar month.
 
     An order counts while its date is not before the observation date minus 12 months.
     Quintiles are taken over all customers and dates of a month, customers without
-    history included; rows without history are dropped afterwards. ``rows`` bounds the
-    customers times the dates of one month.
+    history included; rows without history are dropped afterwards.
+
+    No row of the daily table moves for its scores: the twelve rows of a month at which
+    fifths begin are found from the customers' steps, cut at the ends of months, and a
+    score counts the limits that lie at or before the row.
     """
     daily = fact.filter(F.col("date_key") <= F.lit(spine.end)).groupBy("customer_id", "date_key").agg(
         F.count_distinct("order_id").alias("orders"), F.sum("revenue").alias("revenue"))
@@ -146,17 +239,22 @@ def customer_rfm(fact: DataFrame, customers: DataFrame, spine: Spine = Spine(),
         {"frequency_12m": F.col("orders"), "monetary_12m": F.col("revenue")},
         [(gone, {"frequency_12m": -F.col("orders"), "monetary_12m": -F.col("revenue")})],
         totals, {"_last": F.col("date_key")})
-    steps = running_steps(changes, customers, "customer_id", spine, totals, ["_last"])
-    observed = on_spine(steps, spine).withColumns({
-        "recency_days": X.days_between(F.col("_last"), F.col("observation_date")),
-        "month_start": X.month_start("observation_date"),
-    }).drop("_last")
-    for score, key in (("recency_score", By("recency_days")),
-                       ("frequency_score", By("frequency_12m", descending=True)),
-                       ("monetary_score", By("monetary_12m", descending=True))):
-        observed = ranked(observed, {score: ("ntile", 5)}, [key], ["customer_id", "observation_date"],
-                          ["month_start"], group_rows=rows, **ranking)
+    parts = spine.in_months(running_steps(changes, customers, "customer_id", spine, totals, ["_last"]))
+    limits = _score_limits(parts, **options).withColumnRenamed("_month", "_limit_month")
+    known = parts.join(F.broadcast(limits), F.col("_month") == F.col("_limit_month")).filter(F.col("_last").isNotNull())
+    reached = {f"_{axis}{place}": _reached(axis, place) for axis in _AXES for place in range(1, 5)}
+    dated = on_spine(known.select("customer_id", "frequency_12m", "monetary_12m", "_last", "_from", "_until",
+                                  *[c.alias(n) for n, c in reached.items()]), spine)
+
+    def score(axis: str) -> Column:
+        passed = [F.when(F.col("observation_date") >= F.col(f"_{axis}{place}"), 1).otherwise(0) for place in range(1, 5)]
+        return (F.lit(1) + sum(passed[1:], passed[0])).cast("int")
+
+    observed = dated.select(
+        "customer_id", "observation_date", X.days_between(F.col("_last"), F.col("observation_date")).alias("recency_days"),
+        "frequency_12m", "monetary_12m", *[score(axis).alias(f"{axis}_score") for axis in _AXES])
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
+    # The segments and the scores that make them.
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "VIP")
         .when((r >= 3) & (f >= 3), "Loyal")
@@ -164,7 +262,7 @@ def customer_rfm(fact: DataFrame, customers: DataFrame, spine: Spine = Spine(),
         .when((r <= 2) & (f <= 2), "Inactive")
         .otherwise("Engaged")
     )
-    return observed.filter(F.col("recency_days").isNotNull()).select(
+    return observed.select(
         "customer_id", "observation_date", F.date_format("observation_date", "yyyy-MM").alias("valid_from"),
         "recency_days", "frequency_12m", "monetary_12m", "recency_score", "frequency_score", "monetary_score",
         (r + f + m).alias("rfm_composite_score"), segment.alias("estimated_segment"))
@@ -223,12 +321,38 @@ def customer_engagement_pit(orders: DataFrame, customers: DataFrame, spine: Spin
 
 # --- products --------------------------------------------------------------------------------------
 
-def product_performance(fact: DataFrame, products: DataFrame, spine: Spine = Spine(), *, rows: int | None,
-                        months: int = 12, **ranking) -> DataFrame:
+def _distinct_alive(steps: DataFrame, by: By, spine: Spine, resolution: int) -> DataFrame:
+    """Per observation date and interval the number of distinct values that some entity has, from the steps.
+
+    Steps of one value are first reduced to one per start, at most one per date; where they
+    overlap or touch they merge, and each merged run is one change up and one down. So the
+    days are only counted, and no row of the daily table moves.
+    """
+    value = by.name
+    runs = steps.groupBy(value, "_from").agg(F.max("_until").alias("_until"))
+    in_order = Window.partitionBy(value).orderBy("_from")
+    so_far = F.max("_until").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    # A run's part beyond everything before it: none where an earlier step lasts as long.
+    begun = spine.at_or_after(F.greatest(F.col("_from"), F.coalesce(F.date_add(so_far, 1), F.col("_from"))))
+    added = runs.withColumn("_begun", begun).filter(F.col("_begun") <= F.col("_until"))
+    changes = added.withColumn("_interval", by.interval(resolution)).select("_interval", F.inline(F.array(
+        F.struct(F.col("_begun").alias("_from"), F.lit(1).alias("change")),
+        F.struct(spine.at_or_after(F.date_add("_until", 1)).alias("_from"), F.lit(-1).alias("change")))))
+    summed = changes.groupBy("_interval", "_from").agg(F.sum("change").alias("change"))
+    # At most one row per interval and date.
+    over = Window.partitionBy("_interval").orderBy("_from")
+    alive = summed.select("_interval", "_from", F.sum("change").over(over).alias("_n"),
+                          F.coalesce(spine.before(F.lead("_from").over(over)), F.lit(spine.end)).alias("_until"))
+    return on_spine(alive.filter((F.col("_n") > 0) & (F.col("_from") <= F.lit(spine.end))), spine)
+
+
+def product_performance(fact: DataFrame, products: DataFrame, spine: Spine = Spine(), *, months: int = 12,
+                        resolution: int = ranking.RESOLUTION) -> DataFrame:
     """Cumulative and 12-month revenue and units, returns and revenue rank per product and date.
 
     A line counts in the 12-month window while its date is after the observation date
-    minus 12 months. ``rows`` bounds the products.
+    minus 12 months. The products of a date are ranked in intervals of their revenue, so
+    that one date is the work of many tasks.
     """
     line = F.col("order_item_key")
     daily = fact.filter(F.col("date_key") <= F.lit(spine.end)).groupBy("product_id", "date_key", line).agg(
@@ -248,9 +372,9 @@ def product_performance(fact: DataFrame, products: DataFrame, spine: Spine = Spi
         [(reaching(F.col("date_key"), months), {"revenue_12m": -revenue, "units_sold_12m": -units})], totals)
     steps = running_steps(changes, products, "product_id", spine, totals).withColumn(
         "return_rate_pct", X.share_pct(F.col("total_returned_items"), F.col("_items")))
-    observed = on_spine(steps, spine)
-    placed = ranked(observed, {"revenue_rank": "dense_rank"}, [By("cumulative_revenue", descending=True)],
-                    ["product_id"], ["observation_date"], group_rows=rows, **ranking)
+    by = By("cumulative_revenue", descending=True)
+    placed = ranking.dense_ranked(on_spine(steps, spine), "revenue_rank", by, ["observation_date"], resolution=resolution,
+                                  distinct=_distinct_alive(steps, by, spine, resolution))
     return placed.select("product_id", "observation_date", "cumulative_revenue", "revenue_12m",
                          "cumulative_units_sold", "units_sold_12m", "total_returned_items", "return_rate_pct",
                          "revenue_rank")

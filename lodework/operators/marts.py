@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
-from lodework.functions.ranking import By, ranked
+from lodework.functions import ranking
+from lodework.functions.ranking import By
 from lodework.operators import gold
 
+VALUE = "decimal(38,2)"
+
 # Attainment thresholds of a sales representative.
 ATTAINMENT_BANDS = (("1.0", "Exceeds Quota"), ("0.8", "On Track"), ("0.5", "Below Target"))
 
@@ -76,22 +79,35 @@ VALUE_BANDS = ((0.75, "High-Value"), (0.50, "Medium-Value"), (0.25, "Low-Value")
 ENGAGEMENT_BANDS = ((365, "Churned"), (180, "At-Risk"), (90, "Dormant"))
 
 
-def customer_lifetime_value(dim_customers: DataFrame, orders: DataFrame, *, rows: int | None,
-                            **ranking) -> DataFrame:
-    """Lifetime value with a percentile band and days since the newest order of the data set."""
+def customer_lifetime_value(dim_customers: DataFrame, orders: DataFrame, **options) -> DataFrame:
+    """Lifetime value with a percentile band and days since the newest order of the data set.
+
+    A band needs no rank, only the value at its limit: a customer has at least a share as
+    percent rank when the value lies above that of the last customer who has not. NULL
+    values come last and so lie highest.
+    """
     newest = orders.select(F.max("order_date")).scalar()
-    scored = ranked(dim_customers, {"_percent": "percent_rank"}, [By("lifetime_value")], ["customer_id"],
-                    group_rows=rows, **ranking)
+    shares, names = zip(*VALUE_BANDS)
+    found = ranking.first_at(dim_customers.select("lifetime_value"), [[By("lifetime_value")]], [],
+                             ranking.at_shares(*map(str, shares)), **options)
+    limits = ranking.side_by_side(found, [], ["lifetime_value"], len(shares)).select(
+        F.struct("*")).scalar()
+    value, band = F.col("lifetime_value"), None
+    for i, name in enumerate(names, 1):
+        limit = limits[f"l{i}"]
+        # NULL at the limit: nothing lies above it.
+        above = limit.isNotNull() & (value > limit["lifetime_value"]) | value.isNull() & limit["lifetime_value"].isNotNull()
+        band = F.when(above, name) if band is None else band.when(above, name)
     recency = X.days_between(F.col("last_order_date"), newest)
-    return scored.withColumn("recency_days", recency).select(
+    return dim_customers.withColumn("recency_days", recency).select(
         "customer_id", "name", "segment", "territory_name", "region", "lifetime_value",
         "lifetime_order_count", "first_order_date", "last_order_date", "customer_tenure_days", "recency_days",
-        X.band(F.col("_percent"), VALUE_BANDS, "Minimal-Value").alias("value_segment"),
+        band.otherwise("Minimal-Value").alias("value_segment"),
         X.band(F.col("recency_days"), ENGAGEMENT_BANDS, "Active", op="gt").alias("engagement_status"),
     )
 
 
-def product_performance(fact: DataFrame, products: DataFrame, *, rows: int | None, **ranking) -> DataFrame:
+def product_performance(fact: DataFrame, products: DataFrame, **options) -> DataFrame:
     """Orders, units, revenue, returns and two dense ranks per product."""
     returned = F.count_if(F.col("return_flag") == "R")
     grouped = fact.groupBy("product_id").agg(
@@ -104,10 +120,8 @@ def product_performance(fact: DataFrame, products: DataFrame, *, rows: int | Non
     )
     named = products.select("product_id", "product_name", "category", "manufacturer", "brand", "unit_price").join(
         grouped, "product_id")
-    by_revenue = ranked(named, {"revenue_rank": "dense_rank"}, [By("total_revenue", descending=True)],
-                        ["product_id"], group_rows=rows, **ranking)
-    by_both = ranked(by_revenue, {"volume_rank": "dense_rank"}, [By("_quantity", descending=True)],
-                     ["product_id"], group_rows=rows, **ranking)
+    by_revenue = ranking.dense_ranked(named, "revenue_rank", By("total_revenue", descending=True), **options)
+    by_both = ranking.dense_ranked(by_revenue, "volume_rank", By("_quantity", descending=True), **options)
     return by_both.select(
         "product_id", "product_name", "category", "manufacturer", "brand", "unit_price", "total_orders",
         F.round("_quantity", 0).cast("bigint").alias("total_units_sold"),
@@ -155,11 +169,13 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
     )
 
 
-def customer_segmentation(fact: DataFrame, dim_customers: DataFrame, orders: DataFrame, *, rows: int | None,
-                          score_best: int = 1, **ranking) -> DataFrame:
+def customer_segmentation(fact: DataFrame, dim_customers: DataFrame, orders: DataFrame, *,
+                          score_best: int = 1, **options) -> DataFrame:
     """Recency, frequency and monetary value with quintile scores and a segment.
 
-    Score 1 is the best fifth on every axis; ``score_best=5`` turns the scale around.
+    Score 1 is the best fifth on every axis; ``score_best=5`` turns the scale around. The
+    customers at which the fifths begin are found from value counts (twelve rows in all);
+    a score is the number of them that do not come after the customer.
     """
     newest = orders.select(F.max("order_date")).scalar()
     scored = fact.groupBy("customer_id").agg(
@@ -167,9 +183,19 @@ def customer_segmentation(fact: DataFrame, dim_customers: DataFrame, orders: Dat
         F.count_distinct("order_id").alias("frequency"),
         F.sum("revenue").alias("monetary"),
     ).withColumn("recency_days", X.days_between(F.col("_last"), newest)).drop("_last")
-    for score, key in (("r_score", By("recency_days")), ("f_score", By("frequency", descending=True)),
-                       ("m_score", By("monetary", descending=True))):
-        scored = ranked(scored, {score: ("ntile", 5)}, [key], ["customer_id"], group_rows=rows, **ranking)
+    # Every axis as a value whose least is best; a NULL sum counts as the best, as in a descending order.
+    axes = {"r_score": F.col("recency_days"), "f_score": -F.col("frequency"),
+            "m_score": F.coalesce(-F.col("monetary"), F.lit("-1e27").cast(VALUE))}
+    axes = {name: value.cast(VALUE) for name, value in axes.items()}
+    stacked = scored.select("customer_id", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("axis"), value.alias("value")) for name, value in axes.items()])))
+    found = ranking.first_at(stacked, [[By("value")], [By("customer_id")]], ["axis"], ranking.fifths, **options)
+    limits = ranking.side_by_side(found, [], ["value", "customer_id"], 4, "axis", list(axes)).select(F.struct("*")).scalar()
+    for score, value in axes.items():
+        begun = [limits[f"{score}{place}"] for place in range(1, 5)]
+        passed = [F.when((value > b["value"]) | (value == b["value"]) & (F.col("customer_id") >= b["customer_id"]), 1)
+                  .otherwise(0) for b in begun]
+        scored = scored.withColumn(score, (F.lit(1) + sum(passed[1:], passed[0])).cast("int"))
     if score_best == 5:
         scored = scored.withColumns({s: 6 - F.col(s) for s in ("r_score", "f_score", "m_score")})
     named = scored.join(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
-from lodework.functions.ranking import By, ranked
+from lodework.functions.ranking import By, dense_ranked
 from lodework.operators import gold, marts
 
 
@@ -193,8 +193,7 @@ def first_cohort(cohorts: DataFrame, months: int = 12) -> DataFrame:
     return cohorts.filter(F.col("cohort_month") == earliest).orderBy("months_since_acquisition").limit(months)
 
 
-def product_performance_analytics(fact: DataFrame, products: DataFrame, *, rows: int | None,
-                                  calendar=None, **ranking) -> DataFrame:
+def product_performance_analytics(fact: DataFrame, products: DataFrame, *, calendar=None, **options) -> DataFrame:
     """Revenue, returns, rank within the month, growth and tier per product and month."""
     dated = gold.in_calendar(fact, calendar).withColumn("month_start", X.month_start("date_key"))
     grouped = dated.groupBy("product_id", "month_start").agg(
@@ -209,14 +208,13 @@ def product_performance_analytics(fact: DataFrame, products: DataFrame, *, rows:
     named = products.select("product_id", "product_name", "category", "manufacturer", "brand").join(
         grouped, "product_id")
     # A product has one row per month, so the lag groups are bounded by the calendar;
-    # a month holds every product, so the rank goes through the scalable path.
+    # a month holds every product, so its rank is taken in intervals of the revenue.
     previous = Window.partitionBy("product_id").orderBy("month_start")
     grown = named.withColumns({
         **X.growth_over("total_revenue", previous, "prev_month_revenue", "mom_growth_pct"),
         "return_rate_pct": X.share_pct(F.col("returned_items"), F.col("_lines")),
     })
-    placed = ranked(grown, {"revenue_rank": "dense_rank"}, [By("total_revenue", descending=True)],
-                    ["product_id"], ["month_start"], group_rows=rows, **ranking)
+    placed = dense_ranked(grown, "revenue_rank", By("total_revenue", descending=True), ["month_start"], **options)
     now, before = F.col("total_revenue"), F.col("prev_month_revenue")
     tier = (
         F.when((F.col("revenue_rank") <= 50) & (F.col("return_rate_pct") < 5), "Star")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
-from lodework.functions.ranking import By, ranked
+from lodework.functions.ranking import By, first_at, side_by_side
 from lodework.operators import silver
 
 
@@ -260,25 +260,32 @@ def no_shrink(new: DataFrame, old: DataFrame) -> DataFrame:
         F.when(F.col("row_count") < before, "FAIL").otherwise("PASS").alias("status"))
 
 
-def forecast_outliers(forecast: DataFrame, *, rows: int | None, outlier_above: int = 1_000_000,
-                      p99_limit: int = 500_000) -> DataFrame:
+def forecast_outliers(forecast: DataFrame, *, outlier_above: int = 1_000_000, p99_limit: int = 500_000,
+                      **options) -> DataFrame:
     """Positive forecasts, outliers and the exact interpolated 99th percentile.
 
-    The percentile is read off row numbers, which scale by ``ranked``; the built-in
-    exact percentile would gather all values in one buffer.
+    The two values beside the percentile are found from counts of the values: a coarse
+    histogram first, then the values of the one interval. The built-in exact percentile
+    would gather all values in one buffer.
     """
     value = F.col("projected_12month_revenue")
-    values = forecast.filter(value.isNotNull()).select("customer_id", value)
-    place = F.lit("0.99").cast("decimal(3,2)") * (count_rows(values).scalar() - 1)
-    numbered = ranked(values, {"_row": "row_number"}, [By("projected_12month_revenue")], ["customer_id"],
-                      group_rows=rows).withColumn("_place", place)
-    low = F.max(F.when(F.col("_row") - 1 == F.floor("_place"), value))
-    high = F.max(F.when(F.col("_row") - 1 == F.ceil("_place"), value))
-    p99 = low + (high - low) * F.max(F.col("_place") - F.floor("_place"))
-    return numbered.agg(
-        F.count_if(value > 0).alias("positive_forecasts"),
-        F.count_if(value > outlier_above).alias("outliers"),
-        F.round(p99, 4).cast("decimal(24,4)").alias("p99"),
+    values = forecast.filter(value.isNotNull()).select(value)
+    share = F.lit("0.99").cast("decimal(3,2)")
+
+    def beside(total: Column) -> Column:
+        place = share * (total - 1)
+        return F.array(*[F.struct(F.lit(i).alias("place"), at.cast("bigint").alias("position"))
+                         for i, at in ((1, F.floor(place)), (2, F.ceil(place)))])
+
+    found = first_at(values, [[By("projected_12month_revenue")]], [], beside, **options)
+    limits = side_by_side(found, [], ["projected_12month_revenue"], 2).select(F.struct("*")).scalar()
+    low, high = [limits[name]["projected_12month_revenue"] for name in ("l1", "l2")]
+    counted = values.agg(F.count(F.lit(1)).alias("_n"), F.count_if(value > 0).alias("positive_forecasts"),
+                         F.count_if(value > outlier_above).alias("outliers"))
+    place = share * (F.col("_n") - 1)
+    p99 = low + (high - low) * (place - F.floor(place))
+    return counted.select(
+        "positive_forecasts", "outliers", F.round(p99, 4).cast("decimal(24,4)").alias("p99"),
     ).withColumn("status", F.when((F.col("p99") > p99_limit) | (F.col("positive_forecasts") < 100), "ALERT")
                  .otherwise("PASS"))
 

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodework.functions.ranking import By, ranked
+from lodework.functions.ranking import By, numbered
 
 
 def replace(df: DataFrame, path: str, **options: str) -> DataFrame:
@@ -32,10 +32,9 @@ def append_numbered(df: DataFrame, path: str, id_column: str, order_by: Sequence
     start = 0
     if exists(spark, path):
         start = spark.read.parquet(path).agg(F.max(id_column)).first()[0] or 0
-    numbered = ranked(df, {id_column: "row_number"}, [By(c) for c in order_by],
-                      [c for c in df.columns if c not in order_by], group_rows=df.count())
-    shifted = numbered.withColumn(id_column, F.col(id_column) + F.lit(start)).select(id_column, *df.columns)
-    return append(shifted, path)
+    rest = [c for c in df.columns if c not in order_by]
+    shifted = numbered(df, id_column, [By(c) for c in order_by], rest, start=start + 1)
+    return append(shifted.select(id_column, *df.columns), path)
 
 
 def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:

@@ -2,8 +2,8 @@
 
 Each table is built on first use from the tables before it. After ``build.run`` the
 same model can be opened over the stored layers; a stored table is read instead of
-recomputed. Nothing here runs a job, except that row bounds for ranking count a landing
-table (a metadata-only Parquet count).
+recomputed. Nothing here runs a job, except that the calendar, unless given, asks the
+orders for their first and last day.
 """
 
 from __future__ import annotations
@@ -62,18 +62,6 @@ class SalesModel:
         return {name: self._table(f"bronze.{name}", lambda n=name, d=df: bronze.stamp(d, n, self.loaded_at))
                 for name, df in self.landing.items()}
 
-    def rows(self, table: str) -> int:
-        """Rows of a landing table: the bound of everything with one row per its key."""
-        return self.landing[table].count()
-
-    @cached_property
-    def customer_rows(self) -> int:
-        return self.rows("customers")
-
-    @cached_property
-    def product_rows(self) -> int:
-        return self.rows("products")
-
     # --- silver
     @cached_property
     def customers(self) -> DataFrame:
@@ -171,12 +159,12 @@ class SalesModel:
     @cached_property
     def lifetime_value(self) -> DataFrame:
         return self._table("gold.customer_lifetime_value", lambda: marts.customer_lifetime_value(
-            self.dim_customers, self.orders, rows=self.customer_rows, **self.ranking))
+            self.dim_customers, self.orders, **self.ranking))
 
     @cached_property
     def product_performance(self) -> DataFrame:
         return self._table("gold.product_performance", lambda: marts.product_performance(
-            self.fact, self.dim_products, rows=self.product_rows, **self.ranking))
+            self.fact, self.dim_products, **self.ranking))
 
     @cached_property
     def scorecard(self) -> DataFrame:
@@ -186,7 +174,7 @@ class SalesModel:
     @cached_property
     def segmentation(self) -> DataFrame:
         return self._table("gold.customer_segmentation", lambda: marts.customer_segmentation(
-            self.fact, self.dim_customers, self.orders, rows=self.customer_rows, **self.ranking))
+            self.fact, self.dim_customers, self.orders, **self.ranking))
 
     # --- data products
     @cached_property
@@ -207,7 +195,7 @@ class SalesModel:
     @cached_property
     def product_analytics(self) -> DataFrame:
         return self._table("gold.product_performance_analytics", lambda: products.product_performance_analytics(
-            self.fact, self.dim_products, rows=self.product_rows, calendar=self.calendar, **self.ranking))
+            self.fact, self.dim_products, calendar=self.calendar, **self.ranking))
 
     def published(self, refreshed_at: Mapping[str, datetime] | datetime | None = None) -> dict[str, DataFrame]:
         """The four data products with their refresh time, one for all or one per product."""
@@ -222,9 +210,8 @@ class SalesModel:
     # --- features
     @cached_property
     def rfm_features(self) -> DataFrame:
-        per_month = 31 if self.spine.step == "day" else 1
         return self._table("features.customer_rfm", lambda: features.customer_rfm(
-            self.fact, self.customer_keys, self.spine, rows=self.customer_rows * per_month, **self.ranking))
+            self.fact, self.customer_keys, self.spine, **self.ranking))
 
     @cached_property
     def engagement_features(self) -> DataFrame:
@@ -234,7 +221,7 @@ class SalesModel:
     @cached_property
     def product_features(self) -> DataFrame:
         return self._table("features.product_performance", lambda: features.product_performance(
-            self.fact, self.product_keys.distinct(), self.spine, rows=self.product_rows, **self.ranking))
+            self.fact, self.product_keys.distinct(), self.spine, **self.ranking))
 
     @cached_property
     def rep_features(self) -> DataFrame:

@@ -53,7 +53,7 @@ def days(spine):
 @pytest.mark.parametrize("spine", [DAILY, MONTHLY])
 def test_rfm_equals_brute_force(spark, fact, spine):
     customers = spark.createDataFrame([(1,), (2,), (3,)], "customer_id long")
-    found = features.customer_rfm(fact, customers, spine, rows=1000)
+    found = features.customer_rfm(fact, customers, spine)
     expected = []
     for c in (1, 2, 3):
         for day in days(spine):
@@ -71,7 +71,7 @@ def test_rfm_equals_brute_force(spark, fact, spine):
 @pytest.mark.parametrize("spine", [DAILY, MONTHLY])
 def test_products_equal_brute_force(spark, fact, spine):
     products = spark.createDataFrame([(1,), (2,), (3,)], "product_id long")
-    found = features.product_performance(fact, products, spine, rows=3)
+    found = features.product_performance(fact, products, spine)
     expected = []
     for day in days(spine):
         totals = {}
@@ -106,7 +106,7 @@ def test_reps_equal_brute_force(spark, fact, spine):
 
 def test_steps_do_not_multiply_entities(spark, fact):
     customers = spark.createDataFrame([(1,), (2,), (3,)], "customer_id long")
-    found = features.customer_rfm(fact, customers, DAILY, rows=10)
+    found = features.customer_rfm(fact, customers, DAILY)
     assert found.count() == found.select("customer_id", "observation_date").distinct().count()
 
 
