@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodework.llm import bpe, decontaminate, extract, jaccard, langid, quality, sharding, tokenfiles, urls, warc
+from lodework.llm import (bpe, crf, decontaminate, extract, importance, jaccard, langid, quality, sharding, tokenfiles, trie,
+                          urls, warc)
 from lodework.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -70,6 +71,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_chunk_reuse": op1_bpe_chunk_reuse,
     "op2_html_extraction": op2_html_extraction,
@@ -81,4 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_importance_resampling": op13_importance_resampling,
 }
