@@ -89,33 +89,32 @@ def at_shares(*shares: str) -> Callable[[Column], Column]:
     return places
 
 
-def _narrowed(rows: DataFrame, level: Sequence[By], within: Sequence[str], asked: DataFrame | None,
-              places: Callable[[Column], Column] | None, weight: str, resolution: int) -> DataFrame:
-    """One level of the order: (within, place, the level's columns, rest) of each place.
+def _located(values: DataFrame, level: Sequence[By], group: Sequence[str], places: Callable[[Column], Column] | None,
+             resolution: int) -> DataFrame:
+    """The row of ``values`` that holds each place of its group, and ``rest``, the position in it.
 
-    ``asked`` (within, place, rest) or, on the first level, ``places`` of the group's total
-    say which; ``rest`` is the position among the rows of the values found. Windows run
-    over the intervals of a group, and over the distinct values of one interval.
+    values: one row per group and distinct values of the level, standing for ``_n`` rows,
+    and ``rest``, the position looked for, unless ``places`` of the group's total say it.
+    Windows run over the intervals of a group, and over the values of one interval.
     """
-    group = [*within, "place"] if asked is not None else [*within]
-    counted = rows.groupBy(*group, level[0].interval(resolution).alias("_interval"),
-                           *(["rest"] if asked is not None else [])).agg(F.sum(weight).alias("_n"))
+    placed = values.withColumn("_interval", level[0].interval(resolution))
+    asked = [] if places else ["rest"]
+    totals = placed.groupBy(*group, *asked, "_interval").agg(F.sum("_n").alias("_in"))
     whole = Window.partitionBy(*group)
-    upto = whole.orderBy("_interval")
-    summed = counted.withColumns({"_before": F.sum("_n").over(upto) - F.col("_n"), "_total": F.sum("_n").over(whole)})
-    if asked is None:
-        summed = summed.withColumn("_place", F.explode(places(F.col("_total")))).select(
-            *within, "_interval", "_n", "_before", F.col("_place.place").alias("place"), F.col("_place.position").alias("rest"))
-    inside = (F.col("rest") >= F.col("_before")) & (F.col("rest") < F.col("_before") + F.col("_n"))
-    interval = summed.filter(inside).select(*within, "place", "_interval", (F.col("rest") - F.col("_before")).alias("_rest"))
-    names = [by.name for by in level]
-    kept = rows.withColumn("_interval", level[0].interval(resolution))
-    found = pick(kept, interval, [*group, "_interval"], ["_rest"] if asked is not None else ["place", "_rest"])
-    values = found.groupBy(*within, "place", "_rest", *names).agg(F.sum(weight).alias("_n"))
-    in_order = Window.partitionBy(*within, "place").orderBy(*[by.sort for by in level])
-    run = values.withColumn("_before", F.sum("_n").over(in_order) - F.col("_n"))
-    inside = (F.col("_rest") >= F.col("_before")) & (F.col("_rest") < F.col("_before") + F.col("_n"))
-    return run.filter(inside).select(*within, "place", *names, (F.col("_rest") - F.col("_before")).alias("rest"))
+    run = totals.withColumns({"_before": F.sum("_in").over(whole.orderBy("_interval")) - F.col("_in"),
+                              "_total": F.sum("_in").over(whole)})
+    if places:
+        run = run.withColumn("_place", F.explode(places(F.col("_total")))).select(
+            *group, "_interval", "_in", "_before", F.col("_place.place").alias("place"), F.col("_place.position").alias("rest"))
+    at = F.col("rest") - F.col("_before")
+    hit = run.filter((at >= 0) & (at < F.col("_in"))).withColumn("_at", at)
+    group = [*group, "place"] if places else list(group)
+    found = pick(placed.drop(*asked), hit, [c for c in group if c in placed.columns] + ["_interval"],
+                 ["place", "_at"] if places else ["_at"])
+    in_order = Window.partitionBy(*group).orderBy(*[by.sort for by in level])
+    into = F.col("_at") - F.col("_before")
+    return found.withColumn("_before", F.sum("_n").over(in_order) - F.col("_n")).filter(
+        (into >= 0) & (into < F.col("_n"))).select(*group, *[by.name for by in level], into.alias("rest"))
 
 
 def first_at(rows: DataFrame, levels: Sequence[Sequence[By]], within: Sequence[str],
@@ -125,23 +124,23 @@ def first_at(rows: DataFrame, levels: Sequence[Sequence[By]], within: Sequence[s
     levels: the order; each level is narrowed by its first column, so a level of its own
     pays for columns that many rows share. places: total -> array of (place, 0-based position).
     A row counts ``weight`` times (once without). The number of groups must be bounded.
+    Every level takes one pass over the rows; what follows are their counts.
     """
-    counted = rows if weight else rows.withColumn("_weight", F.lit(1).cast("bigint"))
-    weight = weight or "_weight"
-    found = _narrowed(counted, levels[0], within, None, places, weight, resolution)
+    n = F.sum(weight) if weight else F.count(F.lit(1))
     names = [by.name for by in levels[0]]
+    found = _located(rows.groupBy(*within, *names).agg(n.alias("_n")), levels[0], within, places, resolution)
     for level in levels[1:]:
-        candidates = pick(counted, found, [*within, *names], ["place", "rest"])
-        deeper = among(candidates, level, within, weight=weight, resolution=resolution)
-        found = pick(found.drop("rest"), deeper, [*within, "place"], [*[by.name for by in level], "rest"])
+        candidates = pick(rows, found, [*within, *names], ["place", "rest"])
+        found = among(candidates, level, [*within, *names], n=n, resolution=resolution)
         names += [by.name for by in level]
     return found
 
 
-def among(candidates: DataFrame, level: Sequence[By], within: Sequence[str], *, weight: str,
-          resolution: int = RESOLUTION) -> DataFrame:
-    """The next level inside rows that carry their ``place`` and the ``rest`` looked for."""
-    return _narrowed(candidates, level, within, candidates, None, weight, resolution)
+def among(candidates: DataFrame, level: Sequence[By], within: Sequence[str], *, n: Column, resolution: int = RESOLUTION) -> DataFrame:
+    """The next level inside rows that carry their ``place`` and the ``rest`` looked for; ``n`` counts them."""
+    group = [*within, "place"]
+    values = candidates.groupBy(*group, "rest", *[by.name for by in level]).agg(n.alias("_n"))
+    return _located(values, level, group, None, resolution)
 
 
 def side_by_side(found: DataFrame, within: Sequence[str], columns: Sequence[str], places: int, key: str | None = None,
@@ -156,6 +155,11 @@ def side_by_side(found: DataFrame, within: Sequence[str], columns: Sequence[str]
     return found.groupBy(*within).agg(*made)
 
 
+def beside(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
+    """``df`` with the only row of another table as a struct; computed once, however often its fields are read."""
+    return df.withColumn(name, row.select(F.struct("*")).scalar())
+
+
 # --- dense ranks ---------------------------------------------------------------------------------
 
 def dense_ranked(df: DataFrame, name: str, by: By, within: Sequence[str] = (), *, distinct: DataFrame | None = None,

@@ -192,11 +192,9 @@ def _score_limits(parts: DataFrame, **options) -> DataFrame:
         "_month", "place", "rest", "value", "customer_id",
         F.coalesce(F.date_add("_last", F.col("value")), F.col("_from")).alias("_from"),
         F.when(F.col("value").isNull(), F.col("_dates")).otherwise(1).alias("_dates"))
-    found = ranking.among(candidates, [By("customer_id"), By("_from")], ["_month"], weight="_dates", **options)
-    of_recency = ranking.pick(asked.select(F.col("_asked_month").alias("_month"), "place", "value"), found,
-                              ["_month", "place"], ["customer_id", "_from", "rest"]).select(
-        "_month", F.lit("recency").alias("axis"), "place", F.col("value").cast(AMOUNT).alias("value"), "customer_id",
-        F.date_add("_from", F.col("rest").cast("int")).alias("day"))
+    found = ranking.among(candidates, [By("customer_id"), By("_from")], ["_month", "value"], n=F.sum("_dates"), **options)
+    of_recency = found.select("_month", F.lit("recency").alias("axis"), "place", F.col("value").cast(AMOUNT).alias("value"),
+                              "customer_id", F.date_add("_from", F.col("rest").cast("int")).alias("day"))
     return ranking.side_by_side(days_in.unionByName(of_recency), ["_month"], ["value", "customer_id", "day"], 4, "axis", _AXES)
 
 

@@ -90,16 +90,15 @@ def customer_lifetime_value(dim_customers: DataFrame, orders: DataFrame, **optio
     shares, names = zip(*VALUE_BANDS)
     found = ranking.first_at(dim_customers.select("lifetime_value"), [[By("lifetime_value")]], [],
                              ranking.at_shares(*map(str, shares)), **options)
-    limits = ranking.side_by_side(found, [], ["lifetime_value"], len(shares)).select(
-        F.struct("*")).scalar()
+    limits = ranking.side_by_side(found, [], ["lifetime_value"], len(shares))
     value, band = F.col("lifetime_value"), None
     for i, name in enumerate(names, 1):
-        limit = limits[f"l{i}"]
+        limit = F.col("_limits")[f"l{i}"]
         # NULL at the limit: nothing lies above it.
         above = limit.isNotNull() & (value > limit["lifetime_value"]) | value.isNull() & limit["lifetime_value"].isNotNull()
         band = F.when(above, name) if band is None else band.when(above, name)
     recency = X.days_between(F.col("last_order_date"), newest)
-    return dim_customers.withColumn("recency_days", recency).select(
+    return ranking.beside(dim_customers, limits, "_limits").withColumn("recency_days", recency).select(
         "customer_id", "name", "segment", "territory_name", "region", "lifetime_value",
         "lifetime_order_count", "first_order_date", "last_order_date", "customer_tenure_days", "recency_days",
         band.otherwise("Minimal-Value").alias("value_segment"),
@@ -190,9 +189,10 @@ def customer_segmentation(fact: DataFrame, dim_customers: DataFrame, orders: Dat
     stacked = scored.select("customer_id", F.inline(F.array(*[
         F.struct(F.lit(name).alias("axis"), value.alias("value")) for name, value in axes.items()])))
     found = ranking.first_at(stacked, [[By("value")], [By("customer_id")]], ["axis"], ranking.fifths, **options)
-    limits = ranking.side_by_side(found, [], ["value", "customer_id"], 4, "axis", list(axes)).select(F.struct("*")).scalar()
+    limits = ranking.side_by_side(found, [], ["value", "customer_id"], 4, "axis", list(axes))
+    scored = ranking.beside(scored, limits, "_limits")
     for score, value in axes.items():
-        begun = [limits[f"{score}{place}"] for place in range(1, 5)]
+        begun = [F.col("_limits")[f"{score}{place}"] for place in range(1, 5)]
         passed = [F.when((value > b["value"]) | (value == b["value"]) & (F.col("customer_id") >= b["customer_id"]), 1)
                   .otherwise(0) for b in begun]
         scored = scored.withColumn(score, (F.lit(1) + sum(passed[1:], passed[0])).cast("int"))

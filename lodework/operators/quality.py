@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
+from lodework.functions import ranking
 from lodework.functions.ranking import By, first_at, side_by_side
 from lodework.operators import silver
 
@@ -272,19 +273,19 @@ def forecast_outliers(forecast: DataFrame, *, outlier_above: int = 1_000_000, p9
     values = forecast.filter(value.isNotNull()).select(value)
     share = F.lit("0.99").cast("decimal(3,2)")
 
-    def beside(total: Column) -> Column:
+    def neighbours(total: Column) -> Column:
         place = share * (total - 1)
         return F.array(*[F.struct(F.lit(i).alias("place"), at.cast("bigint").alias("position"))
                          for i, at in ((1, F.floor(place)), (2, F.ceil(place)))])
 
-    found = first_at(values, [[By("projected_12month_revenue")]], [], beside, **options)
-    limits = side_by_side(found, [], ["projected_12month_revenue"], 2).select(F.struct("*")).scalar()
-    low, high = [limits[name]["projected_12month_revenue"] for name in ("l1", "l2")]
+    found = first_at(values, [[By("projected_12month_revenue")]], [], neighbours, **options)
+    limits = side_by_side(found, [], ["projected_12month_revenue"], 2)
+    low, high = [F.col("_limits")[name]["projected_12month_revenue"] for name in ("l1", "l2")]
     counted = values.agg(F.count(F.lit(1)).alias("_n"), F.count_if(value > 0).alias("positive_forecasts"),
                          F.count_if(value > outlier_above).alias("outliers"))
     place = share * (F.col("_n") - 1)
     p99 = low + (high - low) * (place - F.floor(place))
-    return counted.select(
+    return ranking.beside(counted, limits, "_limits").select(
         "positive_forecasts", "outliers", F.round(p99, 4).cast("decimal(24,4)").alias("p99"),
     ).withColumn("status", F.when((F.col("p99") > p99_limit) | (F.col("positive_forecasts") < 100), "ALERT")
                  .otherwise("PASS"))
