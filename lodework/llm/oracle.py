@@ -8,7 +8,7 @@ _WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]
 
 QUALITY = rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+  SELECT doc_id, source AS host, coalesce(text, '') AS text,
          {_WORDS.format('text')} AS w, row_number() OVER () AS r FROM {{documents}}
 ), grams AS (
   SELECT r, i, concat_ws(' ', w[i], w[i + 1], w[i + 2]) AS g
@@ -24,17 +24,11 @@ WITH d AS (
   SELECT r, host, line, md5(lower(norm)) AS h, length(norm) AS chars FROM l WHERE norm <> ''
 ), line_counts AS (
   SELECT r, count(*) - count(DISTINCT line) AS dup, sum(chars) AS chars FROM full_lines GROUP BY r
-), hashes AS (
-  SELECT DISTINCT r, host, h FROM full_lines
-), told AS (
-  SELECT r, host, h, min(h) OVER w AS a,
-         nth_value(h, 2) OVER (PARTITION BY r ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS b
-  FROM hashes WINDOW w AS (PARTITION BY r)
 ), frequent AS (
-  SELECT host, h FROM (SELECT DISTINCT host, h, CASE WHEN h <> a THEN a ELSE coalesce(b, '') END AS other FROM told)
-  GROUP BY host, h HAVING count(*) > 20
+  SELECT l.host, h FROM full_lines l JOIN d USING (r) GROUP BY l.host, h HAVING count(DISTINCT md5(d.text)) > 20
 ), lost AS (
-  SELECT r, count(*) AS n, sum(chars) AS chars FROM full_lines JOIN frequent USING (host, h) GROUP BY r
+  SELECT r, count(*) AS n, sum(chars) AS chars FROM full_lines l
+  JOIN frequent f ON l.h = f.h AND l.host IS NOT DISTINCT FROM f.host GROUP BY r
 ), counts AS (
   SELECT d.r, doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,

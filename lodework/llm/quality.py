@@ -1,24 +1,19 @@
 """Quality rules: word and line counts of a document, and lines that many documents of a host repeat.
 
-A host's line is *frequent* when more than ``max_documents`` different documents of the
-host hold it (compared in lower case, with white space collapsed). Frequent lines are
-removed; a document that keeps less than ``min_left`` percent of its line characters is
-depleted and rejected.
-
-Documents are told apart by the least hash of their own lines. Lines that more than the
-limit of texts of the host hold are shared, not own, and so is a line that begins, ends or
-goes on in its middle like a shared one. Headers, footers and menus therefore cannot decide
-what tells a document apart, while copies and near copies of one text, however many, have
-no line of their own: they are told apart by the least line hash besides the line itself,
-count about once, and do not make each other's lines frequent.
+A host's line is *frequent* when more than ``max_documents`` distinct documents of the
+host hold it (compared in lower case, with white space collapsed); exact copies of a text
+are one document. Frequent lines are removed; a document that keeps less than ``min_left``
+percent of its line characters is depleted and rejected.
 
 Every row is judged: NULL and empty texts have no words and fail the base rules; a NULL
 host is a host of its own; repeated rows and repeated ids are kept and judged alike; an
 empty table gives an empty result; extra columns do not matter.
 
 Only column expressions run here. The three-word windows of a document are hashed,
-sorted and compared inside its row, so nothing of them is shuffled; lines travel as
-16-byte hashes, and their counts combine before the shuffle.
+sorted and compared inside its row, so nothing of them is shuffled. The lines are split and
+hashed once, into a table of 16-byte hashes; the distinct documents of a line are dealt by
+line and document, so a line that every document holds is no hot key, and frequent lines
+meet their documents in ``SALTS`` parts each.
 """
 
 from __future__ import annotations
@@ -30,8 +25,8 @@ from lodework.llm.common import SPACE, same, stored, words
 
 MAX_DOCUMENTS = 20
 MIN_LEFT = 30
-#: Lines are nearly equal if so many words at the start, in the middle or at the end are equal.
-NEAR_WORDS = 4
+#: Parts in which the documents of one frequent line are looked up.
+SALTS = 16
 
 _KEY = ("_id", "_content")
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -39,7 +34,8 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 def _keyed(docs: DataFrame, *more) -> DataFrame:
     return docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text", "source").alias("_content"),
-                       F.coalesce("source", F.lit("")).alias("_host"), F.coalesce("text", F.lit("")).alias("_text"), *more)
+                       # A NULL host is told from an empty one.
+                       F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_host"), F.coalesce("text", F.lit("")).alias("_text"), *more)
 
 
 def _collapsed(line):
@@ -74,77 +70,28 @@ def base_counts(keyed: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def _near(line):
-    """Keys that a line shares with its slight alterations: its first, middle and last words; the line itself if it is short."""
-    w = F.split(F.lower(line), " ")
-    n = F.size(w)
-    ends = F.least(F.lit(NEAR_WORDS), F.floor(n / 2).cast("int"))
-    first, last = F.xxhash64(F.lit(0), F.slice(w, F.lit(1), ends)), F.xxhash64(F.lit(1), F.slice(w, n - ends + 1, ends))
-    middle = F.xxhash64(F.lit(2), F.slice(w, F.floor((n - NEAR_WORDS) / 2).cast("int") + 1, F.lit(NEAR_WORDS)))
-    return (F.when(n >= 3 * NEAR_WORDS, F.array(first, middle, last)).when(n >= NEAR_WORDS + 2, F.array(first, last))
-            .otherwise(F.array(F.xxhash64(F.lit(3), w))))
-
-
-def _listed(docs: DataFrame, *more) -> DataFrame:
-    """Per document its lines with a word: line number, hash, characters, and ``more`` functions of the line."""
-    listed = _keyed(docs).select(*_KEY, "_host", F.transform(F.split("_text", "\n"), _collapsed).alias("_lines"))
-    return listed.select(*_KEY, "_host", F.filter(F.transform("_lines", lambda x, i: F.struct(
-        i.alias("number"), F.unhex(F.md5(F.lower(x))).alias("hash"), F.length(x).cast("long").alias("chars"),
-        *[f(x).alias(f.__name__) for f in more])), lambda s: s["chars"] > 0).alias("_lines"))
-
-
 def lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: key, host, line number, hash, characters, least other line hash of its document."""
-    least = _listed(docs).withColumn("_least", F.slice(F.sort_array(F.array_distinct(
-        F.transform("_lines", lambda s: s["hash"]))), 1, 2))
-    flat = least.select(*_KEY, "_host", "_least", F.explode("_lines").alias("_line"))
-    first, second = F.get("_least", F.lit(0)), F.get("_least", F.lit(1))
-    return flat.select(*_KEY, "_host", F.col("_line.number"), F.col("_line.hash"), F.col("_line.chars"),
-                       F.when(F.col("_line.hash") != first, first).otherwise(second).alias("_other"))
-
-
-def _above(seen: DataFrame, told_by: str, max_documents: int) -> DataFrame:
-    """``(_host, hash, n_documents)`` of the lines that more than ``max_documents`` different ``told_by`` hold."""
-    once = seen.groupBy("_host", "hash", told_by).agg(F.lit(1).alias("_one"))
+    """One row per line with a word: key, host, line number, hash, characters."""
+    # White space other than line feeds is collapsed once per text; what is left at a line's ends is one blank.
+    spaced = F.regexp_replace("_text", "[\\x20\\x09\\x0B-\\x0D]+", " ")
+    listed = _keyed(docs).select(*_KEY, "_host", F.transform(F.split(spaced, "\n"), lambda x: F.trim(x)).alias("_lines"))
+    flat = listed.select(*_KEY, "_host", F.posexplode("_lines").alias("number", "_line")).filter(F.col("_line") != "")
+    return flat.select(*_KEY, "_host", "number", F.unhex(F.md5(F.lower("_line"))).alias("hash"),
+                       F.length("_line").cast("long").alias("chars"))
+
+
+def frequent_lines(seen: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+    """``(_host, hash, n_documents)`` of the ``lines`` that more than ``max_documents`` distinct texts of the host hold."""
+    once = seen.groupBy("_host", "hash", "_content").agg(F.lit(1).alias("_one"))
     return once.groupBy("_host", "hash").agg(F.count("_one").alias("n_documents")).filter(F.col("n_documents") > max_documents)
 
 
-def shared_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
-    """The ``lines`` that more than ``max_documents`` different texts of the host hold; frequent lines are among them."""
-    found = lines(docs)
-    return stored(found.join(_above(found, "_content", max_documents).drop("n_documents"), ["_host", "hash"]), "shared-lines")
-
-
-def _own(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """Per document with shared lines: ``_own``, the least hash of its lines that are neither shared nor nearly so."""
-    held = shared.groupBy(*_KEY).agg(F.collect_set("number").alias("_shared"))
-    listed = _listed(docs, _near)
-    theirs = listed.join(held.hint("merge"), same(listed, held, _KEY)).select(
-        *[listed[k] for k in _KEY], "_host", "_shared", F.explode("_lines").alias("_line"))
-    theirs = stored(theirs.select(*_KEY, "_host", F.col("_line.hash"), F.col("_line._near").alias("_near"),
-                                  F.array_contains("_shared", F.col("_line.number")).alias("_is_shared")), "lines-beside-shared")
-    known = theirs.filter("_is_shared").select("_host", F.explode("_near").alias("_key")).distinct().withColumn("_known", F.lit(1))
-    own = theirs.filter(~F.col("_is_shared")).select(*_KEY, "_host", "hash", F.explode("_near").alias("_key"))
-    told = own.join(known.hint("merge"), ["_host", "_key"], "left").groupBy(*_KEY, "hash").agg(F.max("_known").alias("_known"))
-    return told.filter(F.col("_known").isNull()).groupBy(*_KEY).agg(F.min("hash").alias("_own"))
-
-
-def _frequent(docs: DataFrame, shared: DataFrame, max_documents: int) -> DataFrame:
-    own = _own(docs, shared)
-    told = shared.join(own.hint("merge"), same(shared, own, _KEY), "left").select(
-        "_host", "hash", F.coalesce("_own", "_other").alias("_told"))
-    return _above(told, "_told", max_documents)
-
-
-def frequent_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
-    """``(_host, hash, n_documents)`` of the lines above the limit."""
-    return _frequent(docs, shared_lines(docs, max_documents), max_documents)
-
-
 def removed_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """Per document with a frequent line: the numbers of the removed lines and their characters."""
-    shared = shared_lines(docs, max_documents)
-    found = shared.join(_frequent(docs, shared, max_documents), ["_host", "hash"])
+    seen = stored(lines(docs), "lines")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    salted = frequent_lines(seen, max_documents).select("_host", "hash", salts)
+    found = seen.withColumn("_salt", F.pmod("_content", F.lit(SALTS)).cast("int")).join(salted, ["_host", "hash", "_salt"])
     # A set per document, of its own line numbers; repeated rows share a key and add nothing.
     return found.groupBy(*_KEY).agg(F.collect_set(F.struct("number", "chars")).alias("removed"))
 

@@ -1,7 +1,9 @@
 import re
 from collections import Counter
 
-from lodework.llm import quality
+import duckdb
+
+from lodework.llm import oracle, quality
 from tests.llm import data
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -57,15 +59,42 @@ def test_shared_lines_do_not_tell_documents_apart(spark):
     assert all(found[200 + i].n_removed_lines == 0 and found[200 + i].kept for i in range(20))
 
 
-def test_near_copies_do_not_remove_their_own_lines(spark):
+def near_copies(first, n, host):
     base = [line.split(" ") for line in data.text(1, 240).split("\n")]
     rows = []
-    for i in range(60):
+    for i in range(n):
         copy = [list(line) for line in base]
         copy[i % len(copy)][i % 12] = f"changed{i}"
-        rows.append((i, "\n".join(" ".join(line) for line in copy), "en", "a", 0))
-    found = quality.judge(data.documents(spark, rows)).collect()
-    assert len(found) == 60 and all(r.n_removed_lines == 0 and r.kept for r in found)
+        rows.append((first + i, "\n".join(" ".join(line) for line in copy), "en", host, 0))
+    return rows
+
+
+def test_result_equals_the_sql_where_lines_are_frequent(spark):
+    menus = [f"item number {k} of a long menu" for k in range(5)]
+    start = " ".join(menus[0].split(" ")[:4])
+    rows = data.awkward() + near_copies(1000, 60, "near") + [(2000 + i, data.text(77, 80), "en", "copies", 0) for i in range(50)]
+    # Body lines that begin like a menu line; a line held by as many documents as the limit, and by one more.
+    rows += [(100 + i, "\n".join(menus[:3] + [f"{start} {data.text(i, 60, 20)}"] + menus[3:]), "en", "shop", 0) for i in range(100)]
+    rows += [(3000 + i, f"{data.text(3000 + i, 60)}\nheld by twenty\n\tHELD  by twenty" + "\nheld by all \r" * (i % 2), "en", "limit", 0)
+             for i in range(20)]
+    rows += [(3100 + i, f"{data.text(3100 + i, 60)}\nheld by all\n{'held by all ' * 30}", "en", "limit", 0) for i in range(21)]
+    # A NULL host and an empty one are two hosts.
+    rows += [(4000 + i, f"{data.text(4000 + i, 60)}\nshared by two hosts", "en", None if i % 2 else "", 0) for i in range(30)]
+    rows += [(5000 + i, f"{data.text(5000 + i, 60)}\nonly without a host", "en", None, 0) for i in range(25)]
+    docs = data.documents(spark, rows)
+    found = quality.judge(docs)
+    duck = duckdb.connect()
+    duck.register("frequent_docs", docs.toPandas())
+    relation = duck.sql(oracle.QUALITY.replace("{documents}", "frequent_docs"))
+    order = lambda r: tuple((v is None, v or 0) for v in r)
+    names = found.columns
+    want = sorted((tuple(None if v is None or v != v else int(v) for v in r) for r in relation.project(", ".join(names)).fetchall()), key=order)
+    got = sorted((tuple(None if v is None else int(v) for v in r) for r in found.collect()), key=order)
+    assert got == want
+    lost = {r.doc_id: r.n_removed_lines for r in found.collect() if r.doc_id is not None}
+    assert all(lost[100 + i] == 5 for i in range(100)) and all(lost[2000 + i] == 0 for i in range(50))
+    assert all(lost[3100 + i] >= 1 for i in range(21)) and all(lost[4000 + i] == 0 for i in range(30))
+    assert all(lost[5000 + i] == 1 for i in range(25)) and any(lost[1000 + i] for i in range(60))
 
 
 def test_empty_table(spark):
