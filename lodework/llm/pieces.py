@@ -121,6 +121,8 @@ _SIMPLE = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
 _BYTE_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+| ?[0-9]+"
                          "| ?[^ A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff0-9]+")
+# Runs of white space on which a pattern that looks ahead gives up: the library takes such texts.
+_LONG_SPACE = re.compile(r"\s{10000}")
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
@@ -168,7 +170,8 @@ class Pieces:
 
     def text_ids(self, text: str) -> bytes:
         """Ids of a whole text, by the merges where they do what the library does."""
-        if self.mode == "leading" and self._merges is not None and not any(a in text for a in self._added):
+        if self.mode == "leading" and self._merges is not None and not any(a in text for a in self._added) \
+                and not _LONG_SPACE.search(text):
             return self._merges.text_ids(text).astype("<u4", copy=False).tobytes()
         return self.encode(text.encode())
 

@@ -67,3 +67,10 @@ def test_awkward_rows(spark):
     both = docs.select("text", bpe.encode(F.col("text"), WORD).alias("ids"))
     assert both.select(bpe.decode(F.col("ids"), WORD).alias("t")).count() == len(data.awkward())
     assert data.empty(spark, data.DOCUMENTS).select(bpe.encode(F.col("text"), WORD)).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 1_200_000, "a\t" + " \t\n" * 500_000 + " b", "x" + " " * 10_001 + "y z\n" * 20, "q" * 300_000])
+def test_very_long_white_space_and_words(text):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    assert np.frombuffer(pieces(path).text_ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
