@@ -217,29 +217,30 @@ def _reached(axis: str, place: int) -> Column:
         at["value"].isNotNull(), F.col("_from")).otherwise(later))
 
 
-def customer_rfm(fact: DataFrame, customers: DataFrame, spine: Spine = Spine(), *, months: int = 12, **options) -> DataFrame:
-    """Recency, 12-month frequency and monetary value with quintile scores per calendar month.
+RFM_TOTALS = {"frequency_12m": "bigint", "monetary_12m": AMOUNT}
 
-    An order counts while its date is not before the observation date minus 12 months.
-    Quintiles are taken over all customers and dates of a month, customers without
-    history included; rows without history are dropped afterwards.
 
-    No row of the daily table moves for its scores: the twelve rows of a month at which
-    fifths begin are found from the customers' steps, cut at the ends of months, and a
-    score counts the limits that lie at or before the row.
-    """
+def rfm_steps(fact: DataFrame, customers: DataFrame, spine: Spine, months: int = 12) -> DataFrame:
+    """Orders and revenue of the last ``months`` and the last order date, from one change to the next."""
     daily = fact.filter(F.col("date_key") <= F.lit(spine.end)).groupBy("customer_id", "date_key").agg(
         F.count_distinct("order_id").alias("orders"), F.sum("revenue").alias("revenue"))
-    totals = {"frequency_12m": "bigint", "monetary_12m": AMOUNT}
     gone = reaching(F.date_add("date_key", 1), months)
     changes = _enter_and_leave(
         daily, "customer_id",
         {"frequency_12m": F.col("orders"), "monetary_12m": F.col("revenue")},
         [(gone, {"frequency_12m": -F.col("orders"), "monetary_12m": -F.col("revenue")})],
-        totals, {"_last": F.col("date_key")})
-    parts = spine.in_months(running_steps(changes, customers, "customer_id", spine, totals, ["_last"]))
+        RFM_TOTALS, {"_last": F.col("date_key")})
+    return running_steps(changes, customers, "customer_id", spine, RFM_TOTALS, ["_last"])
+
+
+def scored_rfm(steps: DataFrame, spine: Spine, only: date | None = None, **options) -> DataFrame:
+    """The rows of steps with quintile scores over the dates of each month, on all dates or ``only`` one."""
+    parts = spine.in_months(steps)
     limits = _score_limits(parts, **options).withColumnRenamed("_month", "_limit_month")
     known = parts.join(F.broadcast(limits), F.col("_month") == F.col("_limit_month")).filter(F.col("_last").isNotNull())
+    if only:
+        known = known.filter(F.lit(only).between(F.col("_from"), F.col("_until"))).withColumns(
+            {"_from": F.lit(only), "_until": F.lit(only)})
     reached = {f"_{axis}{place}": _reached(axis, place) for axis in _AXES for place in range(1, 5)}
     dated = on_spine(known.select("customer_id", "frequency_12m", "monetary_12m", "_last", "_from", "_until",
                                   *[c.alias(n) for n, c in reached.items()]), spine)
@@ -266,6 +267,20 @@ def customer_rfm(fact: DataFrame, customers: DataFrame, spine: Spine = Spine(),
         (r + f + m).alias("rfm_composite_score"), segment.alias("estimated_segment"))
 
 
+def customer_rfm(fact: DataFrame, customers: DataFrame, spine: Spine = Spine(), *, months: int = 12, **options) -> DataFrame:
+    """Recency, 12-month frequency and monetary value with quintile scores per calendar month.
+
+    An order counts while its date is not before the observation date minus 12 months.
+    Quintiles are taken over all customers and dates of a month, customers without
+    history included; rows without history are dropped afterwards.
+
+    No row of the daily table moves for its scores: the twelve rows of a month at which
+    fifths begin are found from the customers' steps, cut at the ends of months, and a
+    score counts the limits that lie at or before the row.
+    """
+    return scored_rfm(rfm_steps(fact, customers, spine, months), spine, **options)
+
+
 # Engagement by days since the last purchase.
 ENGAGEMENT_BANDS = ((30, "Active"), (90, "Dormant"), (180, "At-Risk"))
 
@@ -319,6 +334,33 @@ def customer_engagement_pit(orders: DataFrame, customers: DataFrame, spine: Spin
 
 # --- products --------------------------------------------------------------------------------------
 
+PRODUCT_TOTALS = {"cumulative_revenue": AMOUNT, "revenue_12m": AMOUNT, "cumulative_units_sold": AMOUNT,
+                  "units_sold_12m": AMOUNT, "total_returned_items": "bigint", "_items": "bigint"}
+
+
+def product_days(fact: DataFrame) -> DataFrame:
+    """Revenue, units, lines and returned lines per product and day."""
+    return fact.groupBy("product_id", "date_key", "order_item_key").agg(
+        F.sum("revenue").alias("revenue"), F.sum("quantity").alias("units"),
+        F.max(F.col("return_flag") == "R").alias("returned"),
+    ).groupBy("product_id", "date_key").agg(
+        F.sum("revenue").alias("revenue"), F.sum("units").alias("units"),
+        F.count("order_item_key").alias("items"),
+        F.count_if("returned").alias("returned"))
+
+
+def product_steps(daily: DataFrame, products: DataFrame, spine: Spine, months: int = 12) -> DataFrame:
+    """Totals of a product from one change to the next."""
+    revenue, units = F.col("revenue"), F.col("units")
+    changes = _enter_and_leave(
+        daily, "product_id",
+        {"cumulative_revenue": revenue, "revenue_12m": revenue, "cumulative_units_sold": units,
+         "units_sold_12m": units, "total_returned_items": F.col("returned"), "_items": F.col("items")},
+        [(reaching(F.col("date_key"), months), {"revenue_12m": -revenue, "units_sold_12m": -units})], PRODUCT_TOTALS)
+    steps = running_steps(changes, products, "product_id", spine, PRODUCT_TOTALS)
+    return steps.withColumn("return_rate_pct", X.share_pct(F.col("total_returned_items"), F.col("_items")))
+
+
 def _distinct_alive(steps: DataFrame, by: By, spine: Spine, resolution: int) -> DataFrame:
     """Per observation date and interval the number of distinct values that some entity has, from the steps.
 
@@ -352,24 +394,8 @@ def product_performance(fact: DataFrame, products: DataFrame, spine: Spine = Spi
     minus 12 months. The products of a date are ranked in intervals of their revenue, so
     that one date is the work of many tasks.
     """
-    line = F.col("order_item_key")
-    daily = fact.filter(F.col("date_key") <= F.lit(spine.end)).groupBy("product_id", "date_key", line).agg(
-        F.sum("revenue").alias("revenue"), F.sum("quantity").alias("units"),
-        F.max(F.col("return_flag") == "R").alias("returned"),
-    ).groupBy("product_id", "date_key").agg(
-        F.sum("revenue").alias("revenue"), F.sum("units").alias("units"),
-        F.count("order_item_key").alias("items"),
-        F.count_if("returned").alias("returned"))
-    totals = {"cumulative_revenue": AMOUNT, "revenue_12m": AMOUNT, "cumulative_units_sold": AMOUNT,
-              "units_sold_12m": AMOUNT, "total_returned_items": "bigint", "_items": "bigint"}
-    revenue, units = F.col("revenue"), F.col("units")
-    changes = _enter_and_leave(
-        daily, "product_id",
-        {"cumulative_revenue": revenue, "revenue_12m": revenue, "cumulative_units_sold": units,
-         "units_sold_12m": units, "total_returned_items": F.col("returned"), "_items": F.col("items")},
-        [(reaching(F.col("date_key"), months), {"revenue_12m": -revenue, "units_sold_12m": -units})], totals)
-    steps = running_steps(changes, products, "product_id", spine, totals).withColumn(
-        "return_rate_pct", X.share_pct(F.col("total_returned_items"), F.col("_items")))
+    daily = product_days(fact.filter(F.col("date_key") <= F.lit(spine.end)))
+    steps = product_steps(daily, products, spine, months)
     by = By("cumulative_revenue", descending=True)
     placed = ranking.dense_ranked(on_spine(steps, spine), "revenue_rank", by, ["observation_date"], resolution=resolution,
                                   distinct=_distinct_alive(steps, by, spine, resolution))
@@ -706,6 +732,61 @@ def product_trend_fit(training: DataFrame, features: Sequence[str] = ("revenue_1
     return sums.select("product_id", "n_rows", (explained / F.nullif(F.col("_y_y"), F.lit(0.0))).alias("r2"))
 
 
+# --- kept up by deltas -------------------------------------------------------------------------------
+
+def advance_snapshots(open_: DataFrame, added: DataFrame) -> DataFrame:
+    """Open intervals carried through a later stretch of the series: those it closes, and those open after it.
+
+    open_: the stored intervals without an end; added: the later stretch's own intervals
+    (``snapshots_from_series``). An entity that keeps its value keeps its interval; others
+    close it where the first new one begins. Closed intervals are never read again, and
+    entities without new rows pass through a join on their key.
+    """
+    keys = ["feature_id", "entity_type", "entity_key"]
+    listed = added.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
+        "valid_from", "feature_value", "valid_to"))).alias("_added"))
+    before = open_.select(*keys, F.struct("valid_from", "feature_value", "valid_to").alias("_open"))
+    both = before.join(listed, keys, "full").select(*keys, "_open", F.coalesce("_added", F.array().cast(
+        listed.schema["_added"].dataType)).alias("_added"))
+    first = F.get("_added", F.lit(0))
+    goes_on = F.col("_open")["feature_value"].eqNullSafe(first["feature_value"]) & F.col("_open").isNotNull() & first.isNotNull()
+    told = lambda start, value, end: F.struct(start.alias("valid_from"), value.alias("feature_value"), end.alias("valid_to"))
+    rest = F.slice("_added", F.lit(2), F.greatest(F.size("_added") - 1, F.lit(0)))
+    kept = told(F.col("_open")["valid_from"], F.col("_open")["feature_value"], first["valid_to"])
+    ended = told(F.col("_open")["valid_from"], F.col("_open")["feature_value"], first["valid_from"])
+    rows = (F.when(first.isNull(), F.array("_open")).when(F.col("_open").isNull(), F.col("_added"))
+            .when(goes_on, F.concat(F.array(kept), rest)).otherwise(F.concat(F.array(ended), F.col("_added"))))
+    return both.select(*keys, F.inline(rows)).select(
+        "feature_id", "entity_type", "entity_key", "feature_value", "valid_from", "valid_to")
+
+
+class SnapshotStore:
+    """Validity intervals in a folder per stretch of the series: those it closed, and those open after it.
+
+    All intervals are the closed ones of every stretch and the open ones of the newest. A
+    stretch that is fed again writes its folder again. Names sort as their stretches follow.
+    """
+
+    def __init__(self, spark, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _stretch(self, name: str, is_open: int) -> DataFrame:
+        stored = self.spark.read.parquet(f"{self.folder}/stretch={name}")
+        return stored.filter(F.col("is_open") == is_open).drop("is_open")
+
+    def feed(self, added: DataFrame, name: str, after: str | None) -> None:
+        """Take in the stretch ``name`` that follows the stretch ``after`` (None for the first)."""
+        now = added if after is None else advance_snapshots(self._stretch(after, 1), added)
+        now.withColumn("is_open", F.col("valid_to").isNull().cast("int")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy("is_open").parquet(f"{self.folder}/stretch={name}")
+
+    def read(self, newest: str) -> DataFrame:
+        """All intervals after the stretch ``newest``."""
+        every = self.spark.read.parquet(self.folder).withColumn("stretch", F.col("stretch").cast("string"))
+        kept = (F.col("is_open") == 0) & (F.col("stretch") <= newest) | (F.col("is_open") == 1) & (F.col("stretch") == newest)
+        return every.filter(kept).drop("stretch", "is_open")
+
+
 # --- exploration slices ----------------------------------------------------------------------------
 
 def on_latest_date(features: DataFrame) -> DataFrame:

@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
+from lodework.operators import sinks
 from lodework.operators.products import REGISTRY, Product
 from lodework.operators.quality import count_rows, union_all
 
@@ -239,21 +240,35 @@ def next_run_id(results: DataFrame) -> int:
     return (results.agg(F.max("run_id")).first()[0] or 0) + 1
 
 
-def release_decision(results: DataFrame) -> DataFrame:
-    """PASS or FAIL with the counts, for the newest run."""
+def append_run(results: DataFrame, path: str) -> DataFrame:
+    """Append one evaluation to the stored history under the next number, and return the history.
+
+    Meant for one writer at a time, as a release has one; the number is taken from the store.
+    """
+    spark = results.sparkSession
+    stored = sinks.stored_rows(spark, path)
+    run_id = next_run_id(stored) if stored is not None else 1
+    return sinks.append(results.withColumn("run_id", F.lit(run_id).cast("bigint")), path)
+
+
+def decisions(results: DataFrame) -> DataFrame:
+    """PASS or FAIL with the counts, for every run."""
     return results.groupBy("run_id").agg(
         F.count_if(F.col("status") == "PASS").alias("pass_count"),
         F.count_if(F.col("status") == "FAIL").alias("fail_count"),
         F.min("evaluated_at").alias("evaluated_at"),
-    ).orderBy(F.col("run_id").desc()).limit(1).select(
-        "run_id", F.when(F.col("fail_count") == 0, "PASS").otherwise("FAIL").alias("release_status"),
-        "pass_count", "fail_count", "evaluated_at")
+    ).select("run_id", F.when(F.col("fail_count") == 0, "PASS").otherwise("FAIL").alias("release_status"),
+             "pass_count", "fail_count", "evaluated_at")
+
+
+def release_decision(results: DataFrame) -> DataFrame:
+    """The decision of the newest run."""
+    return decisions(results).orderBy(F.col("run_id").desc()).limit(1)
 
 
-def latest_run(results: DataFrame) -> DataFrame:
-    """Rows of the newest run; the log holds a dozen rows per run, so one window suits it."""
-    newest = F.max("run_id").over(Window.partitionBy())
-    return results.withColumn("_newest", newest).filter(F.col("run_id") == F.col("_newest")).drop("_newest")
+def latest_run(history: DataFrame) -> DataFrame:
+    """Rows of the newest run of a stored history, found by its greatest number."""
+    return history.filter(F.col("run_id") == history.select(F.max("run_id")).scalar())
 
 
 # --- manual evidence ------------------------------------------------------------------------------

