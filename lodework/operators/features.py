@@ -413,24 +413,20 @@ def sales_rep_quota(fact: DataFrame, reps: DataFrame, spine: Spine = Spine()) ->
     """
     sold = fact.filter(F.col("date_key") <= F.lit(spine.end)).groupBy(
         "rep_id", "date_key", "order_id", "customer_id").agg(F.sum("revenue").alias("revenue"))
-    daily = sold.groupBy("rep_id", "date_key").agg(
-        F.count_distinct("order_id").alias("orders"), F.sum("revenue").alias("revenue"))
-    newcomers = (
-        sold.groupBy("rep_id", F.year("date_key").alias("year"), "customer_id")
-        .agg(F.min("date_key").alias("date_key"))
-        .groupBy("rep_id", "date_key").agg(F.count(F.lit(1)).alias("customers"))
-    )
+    # The group of a customer holds the customer's orders with a representative in one year.
+    in_year = Window.partitionBy("rep_id", F.year("date_key"), "customer_id")
+    marked = sold.withColumn("_new", F.when(F.min("date_key").over(in_year) == F.col("date_key"), F.col("customer_id")))
+    daily = marked.groupBy("rep_id", "date_key").agg(
+        F.count_distinct("order_id").alias("orders"), F.sum("revenue").alias("revenue"),
+        F.count_distinct("_new").alias("customers"))
     totals = {"ytd_revenue": AMOUNT, "cumulative_revenue": AMOUNT, "ytd_orders": "bigint",
               "ytd_customer_count": "bigint"}
     new_year = F.make_date(F.year("date_key") + 1, F.lit(1), F.lit(1))
     revenue, orders, customers = F.col("revenue"), F.col("orders"), F.col("customers")
-    changes = union_all([
-        _enter_and_leave(daily, "rep_id",
-                         {"ytd_revenue": revenue, "cumulative_revenue": revenue, "ytd_orders": orders},
-                         [(new_year, {"ytd_revenue": -revenue, "ytd_orders": -orders})], totals),
-        _enter_and_leave(newcomers, "rep_id", {"ytd_customer_count": customers},
-                         [(new_year, {"ytd_customer_count": -customers})], totals),
-    ])
+    changes = _enter_and_leave(
+        daily, "rep_id",
+        {"ytd_revenue": revenue, "cumulative_revenue": revenue, "ytd_orders": orders, "ytd_customer_count": customers},
+        [(new_year, {"ytd_revenue": -revenue, "ytd_orders": -orders, "ytd_customer_count": -customers})], totals)
     steps = running_steps(changes, reps, "rep_id", spine, totals).join(reps.select("rep_id", "quota"), "rep_id")
     ytd, quota = F.col("ytd_revenue"), F.col("quota")
     attained = steps.withColumns({
@@ -789,8 +785,9 @@ class SnapshotStore:
 
 # --- exploration slices ----------------------------------------------------------------------------
 
-def on_latest_date(features: DataFrame) -> DataFrame:
-    newest = features.select(F.max("observation_date")).scalar()
+def on_latest_date(features: DataFrame, day: date | None = None) -> DataFrame:
+    """Rows of the newest observation date: ``day``, the end of the spine, where every entity has a row on every date."""
+    newest = F.lit(day) if day else features.select(F.max("observation_date")).scalar()
     return features.filter(F.col("observation_date") == newest)
 
 
@@ -800,13 +797,13 @@ def recent_rfm(rfm: DataFrame, today: date, days: int = 5, k: int = 20) -> DataF
         F.col("observation_date").desc(), "customer_id").limit(k)
 
 
-def high_revenue_products(performance: DataFrame, least: int = 10_000_000, k: int = 20) -> DataFrame:
-    return on_latest_date(performance).filter(F.col("cumulative_revenue") > least).orderBy(
+def high_revenue_products(performance: DataFrame, least: int = 10_000_000, k: int = 20, day: date | None = None) -> DataFrame:
+    return on_latest_date(performance, day).filter(F.col("cumulative_revenue") > least).orderBy(
         "revenue_rank", "product_id").limit(k)
 
 
-def top_reps(quota: DataFrame, k: int = 20) -> DataFrame:
-    return on_latest_date(quota).orderBy(F.col("quota_attainment_ratio").desc_nulls_last(), "rep_id").limit(k)
+def top_reps(quota: DataFrame, k: int = 20, day: date | None = None) -> DataFrame:
+    return on_latest_date(quota, day).orderBy(F.col("quota_attainment_ratio").desc_nulls_last(), "rep_id").limit(k)
 
 
 def reps_on(quota: DataFrame, day: date) -> DataFrame:

@@ -66,7 +66,8 @@ class VersionedTable:
 
     A write goes to a new folder and is then entered in a manifest; the newest entry is
     the table. Readers of the previous version are not disturbed, and a job that dies
-    midway leaves the table as it was.
+    midway leaves the table as it was. A version has one entry: of two writers that started
+    from the same version, the second fails instead of hiding the first.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -88,8 +89,8 @@ class VersionedTable:
         version = latest[0] + 1 if latest else 1
         folder = f"version-{version}-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{folder}")
-        entry = self.spark.createDataFrame([(version, folder)], "version long, folder string")
-        entry.coalesce(1).write.mode("append").parquet(self.manifest)
+        entry = self.spark.createDataFrame([(folder,)], "folder string")
+        entry.coalesce(1).write.mode("error").parquet(f"{self.manifest}/version={version}")
         return self.spark.read.parquet(f"{self.path}/{folder}")
 
     def upsert(self, source: DataFrame, keys: Sequence[str], *, update: bool = True) -> DataFrame:

@@ -20,8 +20,9 @@ from lodework.operators import bronze, features, silver, sinks
 from lodework.operators.features import Spine
 from lodework.plans.star import AS_OF, LOADED_AT, SalesModel
 
-# The columns by which two tables are clustered, and those used for point lookups.
-CLUSTERED = {"gold.fact_orders": ("date_key", "territory_id"),
+# The columns by which two tables are clustered, and those used for point lookups. The last two
+# columns of the fact table only let one busy date and territory be many ranges.
+CLUSTERED = {"gold.fact_orders": ("date_key", "territory_id", "order_id", "order_item_key"),
              "gold.monthly_sales_summary": ("year", "month", "territory_id")}
 LOOKUPS = {"gold.fact_orders": ("customer_id", "product_id", "territory_id", "order_id"),
            "gold.dim_customers": ("customer_id", "nation_key"),

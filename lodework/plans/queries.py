@@ -514,8 +514,9 @@ def _trend_fit(m: SalesModel) -> DataFrame:
 
 
 simple("features_recent_rfm", lambda m: features.recent_rfm(m.rfm_features, gold.CALENDAR_END))
-simple("features_high_revenue_products", lambda m: features.high_revenue_products(m.product_features, 1_000_000))
-simple("features_top_reps", lambda m: features.top_reps(m.rep_features))
+simple("features_high_revenue_products", lambda m: features.high_revenue_products(
+    m.product_features, 1_000_000, day=m.spine.end))
+simple("features_top_reps", lambda m: features.top_reps(m.rep_features, day=m.spine.end))
 simple("features_reps_on_date", lambda m: features.reps_on(m.rep_features, gold.CALENDAR_END))
 simple("features_churn_recipe", lambda m: per_month(features.churn_recipe(
     m.training_customers, date(1999, 1, 1), date(1999, 12, 31)), "customer_id"))

@@ -143,6 +143,9 @@ def refresh_children(store: Store, name: str, feed: DataFrame, clean: Callable[[
         parents = _known(rows, parent_keys(), key).withColumn("_known", F.lit(True))
         decided = rows.join(parents, key, "left").withColumn(
             "accepted", F.when(F.col("_known"), 1).otherwise(0)).drop("_known")
+        if store.settled(name) is not None:
+            # A batch that runs again decides its rows anew, also those settled meanwhile.
+            _write_batch(left_over.limit(0) if left_over is not None else rows.limit(0), store.folder(f"{name}_settled"), batch_id)
         _write_batch(decided, store.folder(name), batch_id, "accepted")
 
     return _run(feed, write, store.folder(f"checkpoints/{name}"), continuous)

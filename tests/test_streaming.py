@@ -42,6 +42,30 @@ def test_stream_equals_batch_with_late_parents(spark, folder):
     assert rows(compacted.drop("_loaded_at"), *customers.columns) == rows(customers)
 
 
+class Replayed(incremental.Store):
+    """The same tables with checkpoints of their own, so that the first batch runs again."""
+
+    def folder(self, name):
+        return super().folder(f"again/{name}" if name.startswith("checkpoints/") else name)
+
+
+def test_a_batch_that_runs_again_after_settling_accepts_rows_once(spark, folder):
+    bronze = SalesModel(spark, SMALL).bronze
+    store = incremental.Store(spark, folder)
+    for name in ("orders", "customers"):
+        bronze[name].coalesce(1).write.parquet(f"{folder}/in/{name}")
+    feeds = feeds_of(spark, folder, {n: bronze[n].schema for n in ("customers", "orders")})
+    incremental.refresh_orders(store, feeds["orders"], AS_OF).awaitTermination()
+    assert store.accepted("orders").count() == 0
+    incremental.refresh_customers(store, feeds["customers"]).awaitTermination()
+    incremental.settle(store, "orders", store.customer_versions(), "customer_id")
+    expected = rows(store.accepted("orders"))
+    assert len(expected) == bronze["orders"].count()
+    again = feeds_of(spark, folder, {"orders": bronze["orders"].schema})["orders"]
+    incremental.refresh_orders(Replayed(spark, folder), again, AS_OF).awaitTermination()
+    assert rows(store.accepted("orders")) == expected
+
+
 def test_refresh_without_new_files_changes_nothing(spark, folder):
     source = sinks.replace(SalesModel(spark, SMALL).bronze["customers"], f"{folder}/in/customers")
     store = incremental.Store(spark, folder)
