@@ -108,9 +108,51 @@ SELECT page_id, host, path, rule,
        strict_terms, soft_terms
 FROM n"""
 
+# The checksum of an id's decimals goes byte by byte through the table of CRC-32, made from its polynomial.
+TRIE = r"""
+WITH steps AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM range(256) AS r(i))
+), turns AS (
+  SELECT conv_id, turn, left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32) AS digest,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, digest) AS ds, list(words ORDER BY turn NULLS FIRST, digest) AS ws
+  FROM turns GROUP BY conv_id
+), asked AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                            lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h
+  FROM own, steps
+), built AS (
+  SELECT o.conv_id, list_concat(list_slice(coalesce(b.ds, []), 1, h), list_slice(o.ds, h + 1, len(o.ds))) AS ds,
+         list_concat(list_slice(coalesce(b.ws, []), 1, h), list_slice(o.ws, h + 1, len(o.ws))) AS ws
+  FROM asked o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), paths AS (
+  SELECT conv_id, d, d = len(ds) AS ends, md5(array_to_string(list_slice(ds, 1, d), ',')) AS name, coalesce(ws[d], 0) AS w,
+         CASE WHEN d > 0 THEN md5(array_to_string(list_slice(ds, 1, d - 1), ',')) END AS parent
+  FROM (SELECT *, unnest(range(len(ds) + 1)) AS d FROM built)
+), nodes AS (
+  SELECT name, d, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, min(w) AS w,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS ended
+  FROM paths GROUP BY name, d
+), known AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN (SELECT parent, count(*) AS n FROM nodes GROUP BY parent) c ON c.parent = n.name
+  LEFT JOIN nodes p ON p.name = n.parent
+), totals AS (
+  SELECT p.name, sum((k.n_children = 0)::BIGINT) AS n_leaves, sum((k.n_convs - 1) * k.w) AS saved
+  FROM known k JOIN paths p ON p.conv_id = k.conv_id AND p.d <= k.d GROUP BY p.name
+)
+SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ended, '')) AS ends_sha256
+FROM known JOIN totals USING (name)"""
+
 STATEMENTS: dict[str, str] = {
     "op5_decontamination": CONTAMINATION.replace("{documents}", "documents"),
     "op6_url_filter": URLS,
     "op7_warc": WARC,
     "op10_quality_rules": QUALITY.replace("{documents}", "documents"),
+    "op11_prefix_trie": TRIE,
 }
