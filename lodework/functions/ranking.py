@@ -162,6 +162,14 @@ def beside(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
 
 # --- dense ranks ---------------------------------------------------------------------------------
 
+def placed(df: DataFrame, by: By, resolution: int = RESOLUTION) -> DataFrame:
+    """``df`` with the interval of the ranked value and the value as a double, by which most rows are told apart in a sort.
+
+    Done before rows are multiplied, it is not done per row.
+    """
+    return df.withColumns({"_interval": by.interval(resolution), "_near": F.col(by.name).cast("double")})
+
+
 def dense_ranked(df: DataFrame, name: str, by: By, within: Sequence[str] = (), *, distinct: DataFrame | None = None,
                  resolution: int = RESOLUTION) -> DataFrame:
     """Add the dense rank of a column within a group.
@@ -171,21 +179,21 @@ def dense_ranked(df: DataFrame, name: str, by: By, within: Sequence[str] = (), *
     where the caller knows a cheaper way to them. The group's columns hold no NULL, so that
     ranks and numbers meet in the partitions of one shuffle.
     """
-    placed = df.withColumn("_interval", by.interval(resolution))
+    rows = df if "_interval" in df.columns else placed(df, by, resolution)
     if distinct is None:
-        distinct = placed.groupBy(*within, "_interval", by.name).agg(F.lit(1).alias("_one")).groupBy(
+        distinct = rows.groupBy(*within, "_interval", by.name).agg(F.lit(1).alias("_one")).groupBy(
             *within, "_interval").agg(F.count("_one").alias("_n"))
     # As many rows per group as there are intervals.
     upto = Window.partitionBy(*within).orderBy("_interval")
     before = distinct.select(*[F.col(c).alias(f"_b_{c}") for c in (*within, "_interval")],
                              (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
-    local = placed.withColumn("_rank", F.dense_rank().over(
-        Window.partitionBy(*within, "_interval").orderBy(by.sort)).cast("bigint"))
+    local = rows.withColumn("_rank", F.dense_rank().over(
+        Window.partitionBy(*within, "_interval").orderBy(By("_near", by.descending).sort, by.sort)).cast("bigint"))
     condition = local["_interval"] == before["_b__interval"]
     for c in within:
         condition = condition & (local[c] == before[f"_b_{c}"])
     joined = local.join(before, condition)
-    kept = [c for c in df.columns if c != name]
+    kept = [c for c in df.columns if c not in (name, "_interval", "_near")]
     return joined.select(*kept, (F.col("_before") + F.col("_rank")).cast("bigint").alias(name))
 
 

@@ -397,7 +397,8 @@ def product_performance(fact: DataFrame, products: DataFrame, spine: Spine = Spi
     daily = product_days(fact.filter(F.col("date_key") <= F.lit(spine.end)))
     steps = product_steps(daily, products, spine, months)
     by = By("cumulative_revenue", descending=True)
-    placed = ranking.dense_ranked(on_spine(steps, spine), "revenue_rank", by, ["observation_date"], resolution=resolution,
+    observed = on_spine(ranking.placed(steps, by, resolution), spine)
+    placed = ranking.dense_ranked(observed, "revenue_rank", by, ["observation_date"],
                                   distinct=_distinct_alive(steps, by, spine, resolution))
     return placed.select("product_id", "observation_date", "cumulative_revenue", "revenue_12m",
                          "cumulative_units_sold", "units_sold_12m", "total_returned_items", "return_rate_pct",
