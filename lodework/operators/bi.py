@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
-from lodework.operators import gold
+from lodework.operators import gold, member_sets
 
 
 def territory_month_growth(monthly: DataFrame) -> DataFrame:
@@ -158,3 +158,26 @@ def month_territory_category(fact: DataFrame, territories: DataFrame, products:
         .groupBy("sales_month", "territory_name", "category")
         .agg(F.count_distinct("customer_id").alias("unique_customers"), F.sum("revenue").alias("monthly_revenue"))
     )
+
+
+def customer_sets(fact: DataFrame, products: DataFrame, *, calendar=None) -> DataFrame:
+    """Customers and revenue per month, territory and category, with the customers kept as sets.
+
+    The join to the products sees lines summed per month, territory, product and customer.
+    """
+    dated = gold.in_calendar(fact, calendar).withColumn("sales_month", X.month_start("date_key"))
+    summed = dated.groupBy("sales_month", "territory_id", "product_id", "customer_id").agg(
+        F.sum("revenue").alias("monthly_revenue"))
+    known = summed.join(products.select("product_id", "category"), "product_id")
+    return member_sets.cells(known, ["sales_month", "territory_id", "category"], "customer_id", "monthly_revenue")
+
+
+def unique_customers(sets: DataFrame, *grain) -> DataFrame:
+    """Distinct customers and revenue at a grain the cells determine: months, territories, categories or coarser."""
+    return member_sets.count_members(sets, grain, "monthly_revenue", "unique_customers")
+
+
+def month_territory_category_of_sets(sets: DataFrame, territories: DataFrame) -> DataFrame:
+    """``month_territory_category`` from stored sets; territories of one name count together."""
+    named = sets.join(territories.select("territory_id", "territory_name"), "territory_id")
+    return unique_customers(named, "sales_month", "territory_name", "category")

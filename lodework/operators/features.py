@@ -619,6 +619,24 @@ def table_health(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
         for name, (df, key) in tables.items()])
 
 
+def table_health_stored(tables: Mapping[str, tuple[DataFrame, str, DataFrame]]) -> DataFrame:
+    """``table_health`` of stored tables: (table, key, bounds), rows and span from ``footers.bounds``.
+
+    Only the entities are counted from rows, and that reads their column alone; days are
+    counted from their own column.
+    """
+    parts = []
+    for name, (df, key, limits) in tables.items():
+        distinct = df.agg(F.count_distinct(key).alias("unique_entities"), F.count_distinct("observation_date").alias("date_snapshots"))
+        low, high = F.col("observation_date_min"), F.col("observation_date_max")
+        parts.append(limits.select(
+            F.lit(name).alias("feature_table"), F.col("row_count").alias("total_rows"),
+            distinct.select("unique_entities").scalar().alias("unique_entities"),
+            distinct.select("date_snapshots").scalar().alias("date_snapshots"),
+            low.alias("earliest_date"), high.alias("latest_date"), F.datediff(high, low).alias("days_covered")))
+    return union_all(parts)
+
+
 def training_availability(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Samples, entities, range and snapshots per entity type."""
     return union_all([

@@ -137,6 +137,24 @@ def row_flow(bronze: Mapping[str, DataFrame], silver_tables: Mapping[str, DataFr
     )
 
 
+def flow_of_counts(counts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same from the row counts of a build (``table_name, row_count``, names with their layer)."""
+    layer, table = F.substring_index("table_name", ".", 1), F.substring_index("table_name", ".", -1)
+    side = lambda name: F.max(F.when(F.col("layer") == name, F.col("row_count"))).alias(f"{name}_count")
+    return counts.select(layer.alias("layer"), table.alias("table_name"), "row_count").filter(
+        F.col("table_name").isin(list(names))).groupBy("table_name").agg(side("bronze"), side("silver")).select(
+        "table_name", "bronze_count", "silver_count",
+        (F.col("bronze_count") - F.col("silver_count")).alias("rows_filtered"),
+        X.share_pct(F.col("silver_count"), F.col("bronze_count")).alias("pass_rate_pct"))
+
+
+def counts_of(counts: DataFrame, table: str) -> DataFrame:
+    """All, passed and rejected rows of one table from the row counts of a build."""
+    of = lambda name: F.max(F.when(F.col("table_name") == name, F.col("row_count")))
+    return counts.agg(of(f"bronze.{table}").alias("total"), of(f"silver.{table}").alias("records_passed"),
+                      of(f"rejected.{table}").alias("rejected"))
+
+
 # What the log says about each checked table, and the pass rate below which it warns.
 LOG_ENTRIES = {
     "customers": ("silver.customers", "Completeness + Uniqueness",
@@ -151,7 +169,6 @@ LOG_ENTRIES = {
 def log_entry(bronze: DataFrame, clean: DataFrame, table: str, rejected: DataFrame | None = None,
               *, always_pass: bool = False) -> DataFrame:
     """One data-quality log row: passed, failed, pass rate and PASS or WARN."""
-    target, dimension, description, warn_below = LOG_ENTRIES[table]
     tagged = [bronze.select(F.lit("all").alias("side")), clean.select(F.lit("passed").alias("side"))]
     if rejected is not None:
         tagged.append(rejected.select(F.lit("rejected").alias("side")))
@@ -160,7 +177,19 @@ def log_entry(bronze: DataFrame, clean: DataFrame, table: str, rejected: DataFra
         F.count_if(F.col("side") == "passed").alias("records_passed"),
         F.count_if(F.col("side") == "rejected").alias("rejected"),
     )
-    failed = F.col("rejected") if rejected is not None else F.col("total") - F.col("records_passed")
+    return log_row(counted, table, by_row=rejected is not None, always_pass=always_pass)
+
+
+def checked_counts(checked: DataFrame) -> DataFrame:
+    """All, passed and rejected lines, from one reading of the checked lines."""
+    bad = F.col("rejection_reason").isNotNull()
+    return checked.agg(F.count(F.lit(1)).alias("total"), F.count_if(~bad).alias("records_passed"), F.count_if(bad).alias("rejected"))
+
+
+def log_row(counted: DataFrame, table: str, *, by_row: bool, always_pass: bool = False) -> DataFrame:
+    """The log row of one table from its counts; failed rows are those rejected, or those that did not pass."""
+    target, dimension, description, warn_below = LOG_ENTRIES[table]
+    failed = F.col("rejected") if by_row else F.col("total") - F.col("records_passed")
     low = F.col("records_passed").cast("decimal(20,2)") < F.col("total") * F.lit(warn_below).cast("decimal(3,2)")
     return counted.select(
         F.lit(target).alias("target_table"),

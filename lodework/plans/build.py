@@ -13,7 +13,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodework.operators import bronze, features, silver, sinks
@@ -42,6 +42,7 @@ TABLES: dict[str, Callable[[SalesModel], DataFrame]] = {
     "gold.dim_customers": lambda m: m.dim_customers,
     "gold.fact_orders": lambda m: m.fact,
     "gold.monthly_sales_summary": lambda m: m.monthly_sales,
+    "gold.customer_sets": lambda m: m.customer_sets,
     "gold.customer_lifetime_value": lambda m: m.lifetime_value,
     "gold.product_performance": lambda m: m.product_performance,
     "gold.sales_rep_scorecard": lambda m: m.scorecard,
@@ -65,7 +66,7 @@ PHASES: dict[str, tuple[tuple[str, ...], ...]] = {
     "gold": (("gold.fact_orders", "gold.dim_customers", "gold.dim_products", "gold.dim_sales_reps"),
              ("gold.monthly_sales_summary", "gold.product_performance", "gold.sales_rep_scorecard",
               "gold.customer_segmentation", "gold.customer_lifetime_value")),
-    "products": (("gold.sales_rep_monthly_performance", "gold.customer_revenue_forecast",
+    "products": (("gold.customer_sets", "gold.sales_rep_monthly_performance", "gold.customer_revenue_forecast",
                   "gold.product_performance_analytics", "gold.customer_acquisition_cohort"),),
     "features": (("features.customer_rfm", "features.product_performance", "features.sales_rep_quota",
                   "features.customer_engagement"),),
@@ -77,6 +78,7 @@ def run(spark: SparkSession, source_dir: str, target_dir: str, *, as_of: date =
         on_phase: Callable[[str, float], None] | None = None) -> SalesModel:
     """Write the phases below ``target_dir`` and return the model over the stored tables."""
     stored: dict[str, DataFrame] = {}
+    counted: dict[str, int] = {}
 
     def model() -> SalesModel:
         return SalesModel(spark, source_dir, as_of=as_of, loaded_at=loaded_at, spine=spine, stored=stored)
@@ -87,34 +89,54 @@ def run(spark: SparkSession, source_dir: str, target_dir: str, *, as_of: date =
             current = model()
             with ThreadPoolExecutor(len(group)) as jobs:
                 # Bronze rows are numbered over written partitions, so making a table may itself be a job.
-                written = {name: jobs.submit(lambda n=name: _write(TABLES[n](current), n, f"{target_dir.rstrip('/')}/{n.replace('.', '/')}"))
+                written = {name: jobs.submit(lambda n=name: _write(TABLES[n](current), n, folder(target_dir, n), counted))
                            for name in group}
                 stored.update({name: job.result() for name, job in written.items()})
             if "silver.checked_items" in group:
                 kept = stored["silver.checked_items"].filter(F.col("is_rejected") == 0)
                 stored["silver.order_items"] = silver.accepted(kept)
+        # Control rows, one per table.
+        counts = spark.createDataFrame(sorted(counted.items()), "table_name string, row_count bigint")
+        stored["monitoring.row_counts"] = sinks.replace(counts.coalesce(1), folder(target_dir, "monitoring.row_counts"))
         if on_phase:
             on_phase(phase, time.monotonic() - started)
     return model()
 
 
-def _write(df: DataFrame, name: str, path: str) -> DataFrame:
-    options = sinks.bloom_options(LOOKUPS.get(name, ()))
-    if name in CLUSTERED:
-        df = sinks.clustered(df, CLUSTERED[name])
+def folder(target_dir: str, name: str) -> str:
+    """Where the build keeps a table."""
+    return f"{target_dir.rstrip('/')}/{name.replace('.', '/')}"
+
+
+def _write(df: DataFrame, name: str, path: str, counted: dict[str, int]) -> DataFrame:
+    """Write one table, count its rows on the way, and return what is stored."""
+    spark, seen = df.sparkSession, Observation(name)
     if name == "silver.checked_items":
         # Accepted and rejected lines lie in separate folders, written by one pass.
-        _partitioned(df.withColumn("is_rejected", F.when(F.col("rejection_reason").isNull(), 0).otherwise(1)), path, "is_rejected")
-        return df.sparkSession.read.parquet(path)
+        bad = F.col("rejection_reason").isNotNull()
+        dealt = df.withColumn("is_rejected", F.when(bad, 1).otherwise(0)).hint("rebalance", "is_rejected")
+        _partitioned(dealt.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected")), path, "is_rejected")
+        found = seen.get
+        counted.update({"silver.order_items": found["rows"] - found["rejected"], "rejected.order_items": found["rejected"]})
+        return spark.read.schema(dealt.schema).parquet(path)
     if name.startswith("features."):
         # Readers of one date or range prune to its months.
-        month = F.date_format("observation_date", "yyyy-MM")
-        _partitioned(df.withColumn(features.MONTH, month), path, features.MONTH)
-        return df.sparkSession.read.parquet(path).withColumn(features.MONTH, F.col(features.MONTH).cast("string"))
-    return sinks.replace(df, path, **options)
+        df = df.withColumn(features.MONTH, F.date_format("observation_date", "yyyy-MM")).hint("rebalance", features.MONTH)
+        _partitioned(_counting(df, seen), path, features.MONTH)
+        written = spark.read.schema(df.schema).parquet(path)
+    else:
+        if name in CLUSTERED:
+            df = sinks.clustered(df, CLUSTERED[name])
+        written = sinks.replace(_counting(df, seen), path, **sinks.bloom_options(LOOKUPS.get(name, ())))
+    counted[name] = seen.get["rows"]
+    return written
+
+
+def _counting(df: DataFrame, seen: Observation) -> DataFrame:
+    """Rows counted by the tasks that write them: those of the last stage, whose results count once even if repeated."""
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
 
 def _partitioned(df: DataFrame, path: str, column: str) -> None:
-    """One folder per value; a rebalance gives each value few files and splits large ones."""
-    df = df.hint("rebalance", column)
+    """One folder per value; the rebalance before it gives each value few files and splits large ones."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)

@@ -19,7 +19,7 @@ from lodework.operators import (advance, bi, bronze, catalog, features, gold, go
                                 silver, sinks)
 from lodework.plans import build
 from lodework.plans.star import AS_OF, LOADED_AT, SalesModel
-from lodework.sources import seeds, tables
+from lodework.sources import footers, seeds, tables
 from lodework.streaming import incremental
 
 NOW = datetime(2025, 1, 1, 12)
@@ -78,6 +78,11 @@ def simple(name: str, make: Callable[[SalesModel], DataFrame], **options) -> Non
     query(name, **options)(make)
 
 
+def built(m: SalesModel, *phases: str) -> SalesModel:
+    """The model over layers that are built first, with the counts taken while they were written."""
+    return build.run(m.spark, m.source_dir, session.work_dir(m.spark, "built"), phases=phases)
+
+
 # One interval per doubling of the value instead of 16: the ranks may not depend on it.
 RANGED = {"resolution": 1}
 
@@ -177,8 +182,10 @@ simple("quality_timeliness", lambda m: quality.timeliness(m.landing["orders"], E
 simple("quality_validity", lambda m: quality.validity(m.orders, m.order_items))
 simple("quality_accuracy", lambda m: quality.accuracy(m.customers, m.orders, m.order_items, m.products))
 simple("quality_consistency", lambda m: quality.consistency(m.customers, m.orders, m.territories))
-simple("quality_row_flow", lambda m: quality.row_flow(m.bronze, m.silver))
+simple("quality_row_flow", lambda m: m.row_flow)
+simple("quality_row_flow_built", lambda m: built(m, "bronze", "silver").row_flow)
 simple("quality_log", lambda m: m.quality_log)
+simple("quality_log_built", lambda m: built(m, "bronze", "silver").quality_log)
 simple("quality_reconcile", lambda m: quality.reconcile(m.order_items, m.fact))
 simple("quality_calendar_loss", lambda m: quality.calendar_loss(m.fact, *m.days))
 simple("quality_orders_in_month", lambda m: quality.orders_in_month(m.orders, EARLY))
@@ -222,6 +229,20 @@ simple("gold_counts", lambda m: quality.table_counts({
     "dim_customers": m.dim_customers, "dim_products": m.dim_products, "dim_sales_reps": m.dim_sales_reps,
     "dim_territories": m.dim_territories, "fact_orders": m.fact, "monthly_sales_summary": m.monthly_sales,
     "sales_rep_scorecard": m.scorecard, "customer_segmentation": m.segmentation}))
+
+
+@query("gold_counts_built")
+def _gold_counts(m: SalesModel) -> DataFrame:
+    """Row counts of the stored gold tables, from their file footers."""
+    lake = session.work_dir(m.spark, "lake")
+    build.run(m.spark, m.source_dir, lake, phases=("bronze", "silver", "gold"))
+    names = ["dim_customers", "dim_products", "dim_sales_reps", "fact_orders", "monthly_sales_summary", "sales_rep_scorecard",
+             "customer_segmentation"]
+    # The territories of gold are those of silver, row by row.
+    return footers.table_counts(m.spark, {"dim_territories": build.folder(lake, "silver.territories"),
+                                          **{n: build.folder(lake, f"gold.{n}") for n in names}})
+
+
 simple("gold_quarterly_revenue", lambda m: gold.quarterly_revenue(m.monthly_sales))
 simple("gold_quarterly_revenue_all_dates", lambda m: gold.quarterly_revenue(m.monthly_sales),
        calendar=(gold.CALENDAR_START, date(2001, 12, 31)))
@@ -288,7 +309,7 @@ def gate_results(m: SalesModel, sla_times, passed: bool = True) -> DataFrame:
     return governance.gates(
         m.spark, landing=m.landing, job_runs=job_runs(m), task_audit=validations(m), dq_log=m.quality_log,
         silver_items=m.order_items, metadata_names=governance.METADATA_TABLES,
-        sla=governance.sla_status(published, NOW), manual_checks=checks, now=NOW)
+        sla=governance.sla_status(published, NOW), manual_checks=checks, now=NOW, counts=m.row_counts)
 
 
 simple("governance_sla_status", sla)
@@ -296,6 +317,8 @@ simple("governance_sla_status_three", lambda m: sla(m, products.retired("product
 simple("governance_sla_status_strict", lambda m: sla(m, warn_level=False))
 simple("governance_validation", validations)
 simple("governance_gates", lambda m: gate_results(m, NOW).drop("evaluated_at"))
+simple("governance_gates_built", lambda m: gate_results(
+    built(m, "bronze", "silver", "gold", "products"), NOW).drop("evaluated_at"))
 simple("governance_gates_stale", lambda m: gate_results(m, REFRESHED, passed=False).drop("evaluated_at"))
 simple("governance_release_decision", lambda m: governance.release_decision(gate_results(m, REFRESHED)))
 simple("governance_job_runs", job_runs)
@@ -337,6 +360,20 @@ simple("bi_category_mix", lambda m: bi.category_mix(m.product_performance))
 simple("bi_territory_performance", lambda m: bi.territory_performance(m.monthly_sales, m.scorecard))
 simple("bi_month_territory_category", lambda m: bi.month_territory_category(m.fact, m.dim_territories, m.dim_products))
 
+
+
+def customer_sets(m: SalesModel) -> DataFrame:
+    """The sets as stored, which every grain below is counted from."""
+    return sinks.replace(m.customer_sets, session.work_dir(m.spark, "sets"))
+
+
+simple("bi_month_territory_category_sets", lambda m: bi.month_territory_category_of_sets(customer_sets(m), m.dim_territories))
+simple("bi_month_customers", lambda m: bi.unique_customers(customer_sets(m), "sales_month"))
+simple("bi_category_customers", lambda m: bi.unique_customers(customer_sets(m), "category"))
+simple("bi_quarter_region_customers", lambda m: bi.unique_customers(
+    customer_sets(m).join(m.dim_territories.select("territory_id", "region"), "territory_id"),
+    F.trunc("sales_month", "quarter").alias("sales_quarter"), "region"))
+
 # --- text search ------------------------------------------------------------------------------------------
 
 
@@ -481,6 +518,20 @@ simple("features_table_health", lambda m: features.table_health({
     "customer_engagement_features_offline": (m.engagement_features, "customer_id"),
     "product_performance_features_offline": (m.product_features, "product_id"),
     "sales_rep_quota_features_offline": (m.rep_features, "rep_id")}))
+
+
+@query("features_table_health_built")
+def _health(m: SalesModel) -> DataFrame:
+    """Health of the stored feature tables: rows and span from their file footers."""
+    lake = session.work_dir(m.spark, "lake")
+    stored = build.run(m.spark, m.source_dir, lake).stored
+    limits = lambda name: footers.bounds(m.spark, build.folder(lake, f"features.{name}"), ["observation_date"])
+    return features.table_health_stored({
+        f"{name}_features_offline": (stored[f"features.{name}"], key, limits(name))
+        for name, key in (("customer_rfm", "customer_id"), ("customer_engagement", "customer_id"),
+                          ("product_performance", "product_id"), ("sales_rep_quota", "rep_id"))})
+
+
 simple("features_availability", lambda m: features.training_availability({
     "customer": m.training_customers, "product": m.training_products}))
 simple("features_staleness", lambda m: features.staleness([m.rfm_features, m.product_features], AS_OF))

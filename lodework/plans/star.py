@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodework.functions import expressions as X
-from lodework.operators import bronze, features, gold, marts, products, quality, silver
+from lodework.operators import bi, bronze, features, gold, marts, products, quality, silver
 from lodework.operators.features import Spine
 from lodework.sources import landing, tables
 
@@ -156,6 +156,12 @@ class SalesModel:
         return self._table("gold.monthly_sales_summary", lambda: marts.monthly_sales_summary(
             self.fact, self.dim_territories, calendar=self.calendar))
 
+    @cached_property
+    def customer_sets(self) -> DataFrame:
+        """Customers per month, territory and category as sets, for distinct counts at any coarser grain."""
+        return self._table("gold.customer_sets", lambda: bi.customer_sets(
+            self.fact, self.dim_products, calendar=self.calendar))
+
     @cached_property
     def lifetime_value(self) -> DataFrame:
         return self._table("gold.customer_lifetime_value", lambda: marts.customer_lifetime_value(
@@ -242,11 +248,27 @@ class SalesModel:
                 "sales_rep": self.rep_features}
 
     # --- quality log
+    @cached_property
+    def row_counts(self) -> DataFrame | None:
+        """``table_name, row_count`` of the tables that a build has counted while it wrote them; None without a build."""
+        return self.stored.get("monitoring.row_counts")
+
+    @cached_property
+    def row_flow(self) -> DataFrame:
+        """Rows before and after cleaning, from the counts of the build where there is one."""
+        if self.row_counts is None:
+            return quality.row_flow(self.bronze, self.silver)
+        return quality.flow_of_counts(self.row_counts, list(self.silver))
+
     @cached_property
     def quality_log(self) -> DataFrame:
-        entries = [
-            quality.log_entry(self.bronze["customers"], self.customers, "customers"),
-            quality.log_entry(self.bronze["orders"], self.orders, "orders"),
-            quality.log_entry(self.bronze["order_items"], self.order_items, "order_items", self.rejected_items),
-        ]
+        if self.row_counts is None:
+            entries = [
+                quality.log_entry(self.bronze["customers"], self.customers, "customers"),
+                quality.log_entry(self.bronze["orders"], self.orders, "orders"),
+                quality.log_row(quality.checked_counts(self.checked_items), "order_items", by_row=True),
+            ]
+        else:
+            entries = [quality.log_row(quality.counts_of(self.row_counts, t), t, by_row=t == "order_items")
+                       for t in quality.LOG_ENTRIES]
         return quality.union_all(entries).withColumn("log_timestamp", X.moment(self.loaded_at))

@@ -241,6 +241,7 @@ QUALITY_LOG = f"""SELECT {LOG} FROM (
         (SELECT count(*) FROM l_items), (SELECT count(*) FROM s_items),
         (SELECT count(*) FROM l_items) - (SELECT count(*) FROM s_items))"""
 add("quality_log", QUALITY_LOG)
+S["quality_log_built"], S["quality_row_flow_built"] = S["quality_log"], S["quality_row_flow"]
 add("quality_reconcile", f"""SELECT 'Silver total revenue' AS source, {money('sum(line_total_c)', 'total_revenue')} FROM s_items
     UNION ALL SELECT 'Gold fact_orders revenue', {money('sum(revenue_c)', 'total_revenue')} FROM fact""")
 _OUT = "date_key < (SELECT first_day FROM days) OR date_key > (SELECT last_day FROM days)"
@@ -315,6 +316,7 @@ add("gold_counts", " UNION ALL ".join(rows(t, n) for n, t in (
     ("dim_customers", "d_customers"), ("dim_products", "s_products"), ("dim_sales_reps", "d_reps"),
     ("dim_territories", "s_territories"), ("fact_orders", "fact"), ("monthly_sales_summary", "monthly"),
     ("sales_rep_scorecard", "score"), ("customer_segmentation", "seg"))))
+S["gold_counts_built"] = S["gold_counts"]
 add("gold_quarterly_revenue", f"""SELECT {big('year')}, {big('quarter')}, {money('sum(revenue_c)', 'quarterly_revenue')}
     FROM monthly GROUP BY year, quarter""")
 S["gold_quarterly_revenue_all_dates"] = S["gold_quarterly_revenue"]
@@ -445,6 +447,7 @@ def _gates(stale: bool) -> str:
 
 add("governance_gates", _gates(False))
 add("governance_gates_stale", _gates(True))
+S["governance_gates_built"] = S["governance_gates"]
 add("governance_release_decision", f"""SELECT 1::BIGINT AS run_id, CASE WHEN f = 0 THEN 'PASS' ELSE 'FAIL' END AS release_status,
     p AS pass_count, f AS fail_count, '2025-01-01 12:00:00' AS evaluated_at FROM (
     SELECT count(CASE WHEN status = 'PASS' AND gate_id <> 'E1' THEN 1 END) + 1 AS p,
@@ -530,6 +533,15 @@ add("bi_month_territory_category", f"""SELECT {day('d.month_start', 'sales_month
     FROM fact f JOIN d_dates d ON f.date_key = d.date_key JOIN s_territories t ON f.territory_id = t.territory_id
     JOIN s_products p ON f.product_id = p.product_id GROUP BY d.month_start, t.territory_name, p.category""")
 
+S["bi_month_territory_category_sets"] = S["bi_month_territory_category"]
+_CUSTOMERS = f"count(DISTINCT f.customer_id) AS unique_customers, {money('sum(f.revenue_c)', 'monthly_revenue')} FROM fact f"
+add("bi_month_customers", f"""SELECT {day('d.month_start', 'sales_month')}, {_CUSTOMERS}
+    JOIN d_dates d ON f.date_key = d.date_key GROUP BY d.month_start""")
+add("bi_category_customers", f"SELECT p.category, {_CUSTOMERS} JOIN s_products p ON f.product_id = p.product_id GROUP BY p.category")
+add("bi_quarter_region_customers", f"""SELECT {day("date_trunc('quarter', d.month_start)", 'sales_quarter')}, t.region, {_CUSTOMERS}
+    JOIN d_dates d ON f.date_key = d.date_key JOIN s_territories t ON f.territory_id = t.territory_id
+    GROUP BY date_trunc('quarter', d.month_start), t.region""")
+
 # --- text search
 add("search_documents", """SELECT doc_id, lang, source, CAST(CASE WHEN upper(source) LIKE '%SRC1%' THEN 3
     WHEN upper(lang) LIKE '%SRC1%' THEN 2 WHEN upper(text) LIKE '%SRC1%' THEN 1 ELSE 0 END AS BIGINT) AS relevance_score
@@ -670,6 +682,7 @@ add("features_table_health", " UNION ALL ".join([
     _health("customer_engagement_features_offline", "f_eng", "customer_id"),
     _health("product_performance_features_offline", "f_prod", "product_id"),
     _health("sales_rep_quota_features_offline", "f_rep", "rep_id")]))
+S["features_table_health_built"] = S["features_table_health"]
 add("features_availability", " UNION ALL ".join(
     f"""SELECT feature_table AS entity_type, total_rows AS training_samples, unique_entities, earliest_date, latest_date,
     days_covered AS date_range_days, date_snapshots AS snapshot_count, CAST(100 AS DOUBLE) AS pct_of_total
