@@ -5,20 +5,21 @@ from __future__ import annotations
 import re
 from html import unescape
 
-# Fixed values of HTML: elements inside a line (those of math too), without content, with raw content, those of it
-# that last to the end of the page without an end tag, and what an opening tag closes.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr input "
-                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup "
-                   "munder mover munderover mmultiscripts mprescripts mtable mtr mtd maction semantics annotation annotation-xml".split())
+# Fixed values of HTML: elements that are blocks (all others, unknown ones too, stand inside a line), those without
+# content, those whose content is no text of the page (raw, or shown only in place of media), those of them that last
+# to the end of the page without an end tag, and what an opening tag closes.
+BLOCK = frozenset("address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt fieldset "
+                  "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup legend li listing main menu "
+                  "nav ol optgroup option p plaintext pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe noframes xmp template svg select".split())
+RAW = frozenset("script style title textarea noscript iframe noframes xmp template svg select "
+                "audio canvas video".split())
 CODE = frozenset(("script", "style"))
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th")}
 SCOPES = frozenset("ul ol dl table body article section div nav aside main header footer form".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"""
+_TAG = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"""
                   r"""([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|</?[a-zA-Z][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 # The last slash belongs to the value in <svg a=b/>.
@@ -35,22 +36,20 @@ class Page:
         self.kept: list[bool] = [False]
         self.chars, self.link_chars, self.words = [0], [0], [0]
         self.blocks: list[tuple[int, str]] = []
-        self._stack, self._run, self._links = [0], [], 0
+        # Open elements, and for each tag (and for all scopes) the places of its open elements in that stack.
+        self._stack, self._places, self._scopes = [0], {}, [0]
+        self._run, self._links = [], 0
         self._read(html)
         self._flush()
 
     def _open(self, tag: str, attributes: str) -> None:
         self._flush()
-        if tag == "p" or tag not in ("body", "head"):
-            if "p" in (self.tag[i] for i in self._stack):
-                self._close("p")
+        if tag not in ("body", "head"):
+            self._close("p")
         for over in CLOSES.get(tag, ()):
-            for i in reversed(self._stack):
-                if self.tag[i] == over:
-                    self._close(over)
-                    break
-                if self.tag[i] in SCOPES:
-                    break
+            places = self._places.get(over)
+            if places and places[-1] > self._scopes[-1]:
+                self._close(over)
         named = _ATTRIBUTE.findall(attributes) if "=" in attributes else ()
         tokens = tuple(t for name, value in named if name.lower() in _NAMED for t in _TOKEN.findall(value.lower()))
         self.kept.append(any(name == "data-keep" for name, _ in named))
@@ -60,14 +59,21 @@ class Page:
         self.tokens.append(tokens)
         for counts in (self.chars, self.link_chars, self.words):
             counts.append(0)
+        self._places.setdefault(tag, []).append(len(self._stack))
+        if tag in SCOPES:
+            self._scopes.append(len(self._stack))
         self._stack.append(len(self.tag) - 1)
 
     def _close(self, tag: str) -> None:
-        for at in range(len(self._stack) - 1, 0, -1):
-            if self.tag[self._stack[at]] == tag:
-                self._flush()
-                del self._stack[at:]
-                return
+        """Close the innermost open element of that tag, if any, and all inside it; each element is closed once."""
+        if not self._places.get(tag):
+            return
+        self._flush()
+        for at in range(len(self._stack) - 1, self._places[tag][-1] - 1, -1):
+            closed = self.tag[self._stack.pop()]
+            self._places[closed].pop()
+            if closed in SCOPES:
+                self._scopes.pop()
 
     def _flush(self) -> None:
         if self._run:
@@ -100,8 +106,11 @@ class Page:
             if end:
                 if tag == "a":
                     self._links = 0
-                elif tag not in INLINE:
+                elif tag in BLOCK:
+                    self._flush()
                     self._close(tag)
+                elif tag == "br":
+                    self._flush()
             elif tag in RAW:
                 if tag in endless or tag == "svg" and attributes.endswith("/") and not _OPEN_VALUE.search(attributes):
                     continue
@@ -116,7 +125,5 @@ class Page:
                 self._links = 1
             elif tag in ("br", "hr"):
                 self._flush()
-            elif tag in INLINE or tag in VOID or tag == "html":
-                continue
-            else:
+            elif tag in BLOCK and tag not in VOID:
                 self._open(tag, attributes)

@@ -11,7 +11,7 @@ of many kinds between menus, headers, footers, sidebars, notices, adverts, forms
 links and reader comments. Extraction reads every page whole.
 
 NULL and empty pages have the empty text; broken markup is read as far as it goes (open
-elements are closed, unknown ones are blocks, unfinished tags are dropped); repeated
+elements are closed, unknown ones stand inside their line, unfinished tags are dropped); repeated
 rows, NULL ids and extra columns need no care; an empty table gives an empty result.
 """
 
@@ -31,6 +31,8 @@ from lodework.llm.trees import Boosted
 
 LEARNING = 400
 SAMPLE = 64
+#: Characters of a sampled page that words for the learning pages are taken from.
+SAMPLE_CHARS = 65_536
 
 # Fixed values for the learning pages: (tag, class) of containers of main text and of the rest.
 _MAIN = (("article", ""), ("main", ""), ("div", "content"), ("div", "article body"), ("div", "post entry"), ("section", "story text"),
@@ -185,7 +187,8 @@ def fit(pages: DataFrame, learning: int = LEARNING, sample: int = SAMPLE) -> Mod
     rows = pages.filter(F.col("html").isNotNull()).select(F.xxhash64("page_id").alias("_h"), "html")
     # The hashes are drawn first, so that no task sends the driver pages that are not drawn.
     drawn = [row["_h"] for row in rows.select("_h").orderBy("_h").limit(sample).collect()]
-    chosen = rows.filter(F.col("_h") <= (drawn[-1] if drawn else 0)).orderBy("_h", "html").limit(sample)
+    chosen = rows.filter(F.col("_h") <= (drawn[-1] if drawn else 0)).orderBy("_h", "html").limit(sample).select(
+        F.substring("html", 1, SAMPLE_CHARS).alias("html"))
     words: list[str] = []
     for row in chosen.collect():
         for _, text in Page(row["html"]).blocks:

@@ -1,5 +1,7 @@
 import re
+import time
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 
@@ -37,6 +39,87 @@ def test_raw_elements_end_where_they_end():
     assert text("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn> <mn>2</mn></mfrac></math> holds <math/> here</p>") == ["so x=1 2 holds here"]
 
 
+def test_comments_and_elements_inside_a_line():
+    text = lambda html: [t for _, t in Page(html).blocks]
+    assert text("<p>a<!--> b<!---> c<!-- no > --> d<!-- no --!> e</p><!-- no") == ["a b c d e"]
+    assert text("<p>one <picture><source srcset=x><img src=x></picture>two <button>three</button> <object>four</object> "
+                "<my-word>five</my-word> <video src=x>no video</video><canvas>no</canvas>six</p>") == ["one two three four five six"]
+    assert text("<p>a<custom-box><p>b</p></custom-box>c") == ["a", "b", "c"]
+    assert text("a</div>b</span>c</p>d</br>e") == ["a", "bc", "d", "e"]
+    assert text("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>") == ["a", "b", "c", "d", "e"]
+    assert [Page("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>").depth[n] for n, _ in Page("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>").blocks
+            ] == [2, 4, 4, 2, 2]
+
+
+def test_nesting_and_unclosed_elements_take_linear_time():
+    for html in ("<div>" * 100_000 + "deep" + "</div>" * 100_000, "<dd><dl>" + "<blockquote>" * 50_000 + "<dt>x" * 50_000,
+                 "<p>x" * 100_000, "<b>" * 100_000 + "x", "</section>" * 100_000 + "x", "<li>" + "<h2>" * 50_000 + "</nav>x" * 50_000):
+        started = time.perf_counter()
+        assert Page(html).blocks
+        assert time.perf_counter() - started < 5
+    page = Page("<div>" * 100_000 + "deep")
+    assert extract.main_text(page, np.ones(len(page.tag))) == "deep"
+
+
+class _Walk(HTMLParser):
+    """Another reading of well-formed pages: text of elements marked ``data-main``, cut at blocks and line breaks."""
+
+    LINE = {"a", "b", "em", "i", "span", "strong", "code", "time", "mark", "picture", "img", "sup"}
+
+    def __init__(self, html: str):
+        super().__init__()
+        self.stack, self.lines, self.run = [False], [], []
+        self.feed(html)
+        self.cut()
+
+    def cut(self):
+        self.lines += [" ".join("".join(self.run).split())] if "".join(self.run).split() else []
+        self.run = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in self.LINE:
+            self.cut()
+        if tag not in ("br", "img", "hr", "input"):
+            marks = dict(attrs)
+            self.stack.append((self.stack[-1] or "data-main" in marks) and "data-out" not in marks)
+
+    def handle_endtag(self, tag):
+        if tag not in self.LINE:
+            self.cut()
+        self.stack.pop()
+
+    def handle_data(self, text):
+        if self.stack[-1]:
+            self.run.append(text)
+
+
+# Five layouts labelled by hand: data-main marks the article, data-out what inside it is not main text.
+_BODY = ("<h1>The harbour at night</h1><p>Boats come in <em>late</em> and the <a href='/x'>lamps</a> are lit along the old stone quay by hand.</p>"
+         "<p>Nobody there remembers when the custom began, but all of them keep it &mdash; even in the worst of the winter storms.<br>So it goes on.</p>"
+         "<h2>How it is done</h2><ul><li>The keeper walks from the north end to the south end</li><li>Each lamp is trimmed before it is lit</li></ul>"
+         "<blockquote><p>We do it because the sea does not care what time it is.</p></blockquote><p>In the morning the lamps are put out again.</p>")
+_MENU = "<ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li><li><a href='/c'>Contact</a></li></ul>"
+_LAYOUTS = (
+    f"<body><header class='top'><a href='/'>The Daily</a></header><nav>{_MENU}</nav><main data-main>{_BODY}</main><footer>All rights reserved</footer></body>",
+    f"<body><div class='header'><span>The Daily</span></div><div class='navigation menu'>{_MENU}</div><div class='wrapper'>"
+    f"<div class='content' data-main>{_BODY}</div><div class='sidebar widget'>{_MENU}</div></div><div class='footer'>Imprint and terms</div></body>",
+    f"<body><nav>{_MENU}</nav><div class='container'><article class='post' data-main>{_BODY}"
+    f"<div class='share social' data-out><a href='#'>Share</a> <a href='#'>Send</a></div></article></div>"
+    f"<section class='comments'><h3>Comments</h3><div class='comment'><p>I was there last year and saw nothing of it</p></div></section></body>",
+    f"<body><div class='cookie notice'>We use cookies to make this site better</div><div class='page'><section class='story text' data-main>{_BODY}</section>"
+    f"<aside><div class='ad'>Buy lamps now at half the price</div></aside></div><footer>{_MENU}</footer></body>",
+    f"<body><header>{_MENU}</header><div class='article body' data-main>{_BODY}<form class='newsletter subscribe' data-out><label>Mail</label><button>Send</button></form>"
+    f"</div><div class='related links'>{_MENU}</div><footer class='bottom'>Contact us</footer></body>")
+
+
+def test_hand_labelled_layouts(spark):
+    rows = [(n, "u", html) for n, html in enumerate(_LAYOUTS)]
+    table = data.pages(spark, rows)
+    found = {r.page_id: r.text for r in extract.extract(table).collect()}
+    for n, _, html in rows:
+        assert found[n].split("\n") == _Walk(html).lines, n
+
+
 def test_held_out_layouts():
     make = lambda seed: Page(extract._Composer("some words that pages hold .".split(), seed).page())
     model = extract.Model([make(s) for s in range(300)])
