@@ -7,13 +7,15 @@ not with the table:
 
 * customers append the batch's latest row per key; readers take the latest over all batches,
   and ``compact`` folds old batches together;
-* orders and lines are joined to the current parent keys. Rows with a parent are accepted;
-  the others wait and are tried again with the next batch. When a parent comes without any new
-  child, ``settle`` accepts what waited for it, in a folder of its own; ``refresh_all`` does so
-  down the chain, so the order in which tables arrive does not matter.
-
-Of the stored parent keys a batch reads the key column alone and keeps those it asks for
-before anything is shuffled, so what moves follows the batch.
+* orders and lines are joined to the known parent keys. Rows with a parent are accepted, the
+  others wait where they were written; no later batch touches them. When parents have come,
+  ``settle`` marks their keys as settled, once for all rows that waited for them;
+  ``refresh_all`` does so down the chain, so the order in which tables arrive does not matter.
+
+Parent keys are kept apart from the rows, in ``BUCKETS`` folders by their hash. A batch reads
+the folders of the keys that it asks for and no others, and what it shuffles of them are those
+keys. Keys and marks are only ever asked whether they hold a key, so one that a repeated batch
+or a repeated ``settle`` writes twice changes nothing.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -31,6 +33,11 @@ from lodework.operators import silver
 from lodework.operators.sinks import stored_rows
 
 EVERY = "5 minutes"
+#: Folders that the keys of a parent table are spread over.
+BUCKETS = 64
+# Per child its parent table and the column that refers to it, and per parent that is a child itself its key.
+PARENT = {"orders": ("customers", "customer_id"), "order_items": ("orders", "order_id")}
+KEY = {"orders": "order_id"}
 
 
 def change_feed(spark: SparkSession, folder: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -76,39 +83,47 @@ class Store:
         """Latest row per customer over all batches."""
         return silver.latest_per_key(self.customer_versions(), "customer_id").drop("_loaded_at")
 
+    def keys(self, parent: str) -> DataFrame | None:
+        """Keys that children may refer to, with their bucket; None before there are any."""
+        return stored_rows(self.spark, self.folder(f"{parent}_keys"))
+
     # --- children
     def accepted(self, name: str) -> DataFrame | None:
-        """Rows whose parent is known: from the batches and settled since; None before the first batch."""
+        """Rows whose parent is known: at their batch or settled since; None before the first batch."""
         rows = stored_rows(self.spark, self.folder(name))
         if rows is None:
             return None
-        rows = rows.filter(F.col("accepted") == 1).drop("accepted", "batch")
+        at_once = rows.filter(F.col("accepted") == 1).drop("accepted", "batch")
         settled = self.settled(name)
-        return rows if settled is None else rows.unionByName(settled.drop("batch"))
+        if settled is None:
+            return at_once
+        late = self._waiting(rows).join(settled, PARENT[name][1], "left_semi").select(*at_once.columns)
+        return at_once.unionByName(late)
 
     def settled(self, name: str) -> DataFrame | None:
-        """Rows accepted after their batch, when the parent came without a new child."""
-        return stored_rows(self.spark, self.folder(f"{name}_settled"))
+        """Parent keys that came after rows which waited for them."""
+        marks = stored_rows(self.spark, self.folder(f"{name}_settled"))
+        return marks if marks is None else marks.select(PARENT[name][1])
 
-    def newest(self, name: str) -> int | None:
+    def waiting(self, name: str) -> DataFrame | None:
+        """Rows still without a parent; None before the first batch."""
         rows = stored_rows(self.spark, self.folder(name))
-        return None if rows is None else rows.agg(F.max("batch")).first()[0]
+        if rows is None:
+            return None
+        left, settled = self._waiting(rows), self.settled(name)
+        return left if settled is None else left.join(settled, PARENT[name][1], "left_anti").select(*left.columns)
 
-    def waiting(self, name: str, key: str, batch_id: int | None = None) -> DataFrame | None:
-        """Rows still without a parent: what a batch, by default the newest, left over and nothing settled since.
+    @staticmethod
+    def _waiting(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col("accepted") == 0).drop("accepted", "batch")
 
-        Every batch takes over the rows its predecessor left, so one folder holds them all.
-        """
-        batch_id = self.newest(name) if batch_id is None else batch_id
-        rows = stored_rows(self.spark, self.folder(name))
-        if rows is None or batch_id is None:
-            return None
-        left = rows.filter((F.col("batch") == batch_id) & (F.col("accepted") == 0)).drop("accepted", "batch")
-        settled = self.settled(name)
-        if settled is None:
-            return left
-        # All rows of a parent are settled together.
-        return left.join(settled.filter(F.col("batch") == batch_id).select(key).distinct(), key, "left_anti").select(*left.columns)
+    def add_keys(self, parent: str, keys: DataFrame, batch_id: int | None) -> None:
+        """Keys of a batch, in place of those it wrote before; without a batch they are added."""
+        dealt = keys.distinct().withColumn("bucket", _bucket(F.col(keys.columns[0]))).hint("rebalance", "bucket")
+        if batch_id is None:
+            dealt.write.mode("append").partitionBy("bucket").parquet(f"{self.folder(f'{parent}_keys')}/batch=-1")
+        else:
+            _write_batch(dealt, self.folder(f"{parent}_keys"), batch_id, "bucket")
 
 
 def refresh_customers(store: Store, feed: DataFrame, *, continuous: bool = False) -> StreamingQuery:
@@ -119,56 +134,63 @@ def refresh_customers(store: Store, feed: DataFrame, *, continuous: bool = False
         clean = silver.latest_per_key(known, "customer_id").withColumn(
             "segment", F.upper(F.trim("segment"))).drop("_source_table", "_row_number")
         _write_batch(clean, store.folder("customers"), batch_id)
+        store.add_keys("customers", known.select("customer_id"), batch_id)
 
     return _run(feed, write, store.folder("checkpoints/customers"), continuous)
 
 
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.hash(key), F.lit(BUCKETS))
+
+
 def _known(rows: DataFrame, parents: DataFrame | None, key: str) -> DataFrame:
     """Those parent keys that ``rows`` refer to, once each; none if no parent is stored yet."""
     asked = rows.select(key).distinct()
     if parents is None:
         return asked.limit(0)
-    return parents.select(key).join(asked, key, "left_semi").distinct()
+    # At most BUCKETS numbers, which name the folders to be read.
+    touched = [r[0] for r in rows.select(_bucket(F.col(key))).distinct().collect()]
+    held = parents.filter(F.col("bucket").isin(touched)) if touched else parents.limit(0)
+    return held.select(key).join(asked, key, "left_semi").distinct()
 
 
 def refresh_children(store: Store, name: str, feed: DataFrame, clean: Callable[[DataFrame], DataFrame],
-                     parent_keys: Callable[[], DataFrame | None], key: str, *, continuous: bool = False) -> StreamingQuery:
+                     *, continuous: bool = False) -> StreamingQuery:
     """Accept rows whose parent is known, let the others wait."""
+    parent, key = PARENT[name]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = clean(batch).drop("_loaded_at", "_source_table", "_row_number")
-        left_over = store.waiting(name, key, batch_id - 1)
-        if left_over is not None:
-            rows = rows.unionByName(left_over)
-        parents = _known(rows, parent_keys(), key).withColumn("_known", F.lit(True))
+        parents = _known(rows, store.keys(parent), key).withColumn("_known", F.lit(True))
         decided = rows.join(parents, key, "left").withColumn(
             "accepted", F.when(F.col("_known"), 1).otherwise(0)).drop("_known")
-        if store.settled(name) is not None:
-            # A batch that runs again decides its rows anew, also those settled meanwhile.
-            _write_batch(left_over.limit(0) if left_over is not None else rows.limit(0), store.folder(f"{name}_settled"), batch_id)
         _write_batch(decided, store.folder(name), batch_id, "accepted")
+        if name in KEY:
+            written = store.spark.read.schema(decided.schema).parquet(f"{store.folder(name)}/batch={batch_id}")
+            store.add_keys(name, written.filter(F.col("accepted") == 1).select(KEY[name]), batch_id)
 
     return _run(feed, write, store.folder(f"checkpoints/{name}"), continuous)
 
 
-def settle(store: Store, name: str, parents: DataFrame | None, key: str) -> None:
+def settle(store: Store, name: str) -> None:
     """Accept the waiting rows whose parent has arrived since their batch; call it between refreshes."""
-    waiting = store.waiting(name, key)
-    if waiting is None or parents is None:
+    (parent, key), waiting = PARENT[name], store.waiting(name)
+    if waiting is None:
         return
-    arrived = waiting.join(_known(waiting, parents, key), key, "left_semi").select(*waiting.columns)
-    arrived.write.mode("append").parquet(f"{store.folder(f'{name}_settled')}/batch={store.newest(name)}")
+    arrived = _known(waiting, store.keys(parent), key)
+    if name in KEY:
+        # Before the marks: a run that ends between the two is made good by the next, which still finds the rows waiting.
+        store.add_keys(name, waiting.join(arrived, key, "left_semi").select(KEY[name]), None)
+    arrived.write.mode("append").parquet(store.folder(f"{name}_settled"))
 
 
 def refresh_orders(store: Store, feed: DataFrame, as_of: date, **options) -> StreamingQuery:
-    return refresh_children(store, "orders", feed, lambda rows: silver.valid_orders(rows, as_of),
-                            lambda: store.customer_versions(), "customer_id", **options)
+    return refresh_children(store, "orders", feed, lambda rows: silver.valid_orders(rows, as_of), **options)
 
 
 def refresh_order_items(store: Store, feed: DataFrame, **options) -> StreamingQuery:
     """Lines follow their order; the product is not checked here."""
-    return refresh_children(store, "order_items", feed, silver.valid_items,
-                            lambda: store.accepted("orders"), "order_id", **options)
+    return refresh_children(store, "order_items", feed, silver.valid_items, **options)
 
 
 def _run(feed: DataFrame, write, checkpoint: str, continuous: bool) -> StreamingQuery:
@@ -179,9 +201,9 @@ def refresh_all(store: Store, feeds: dict[str, DataFrame], as_of: date) -> None:
     """One refresh in dependency order: customers, then orders, then lines; waiting rows are settled on the way."""
     refresh_customers(store, feeds["customers"]).awaitTermination()
     refresh_orders(store, feeds["orders"], as_of).awaitTermination()
-    settle(store, "orders", store.customer_versions(), "customer_id")
+    settle(store, "orders")
     refresh_order_items(store, feeds["order_items"]).awaitTermination()
-    settle(store, "order_items", store.accepted("orders"), "order_id")
+    settle(store, "order_items")
 
 
 def compact_customers(store: Store, target: str) -> DataFrame:

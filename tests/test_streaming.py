@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
@@ -38,6 +39,10 @@ def test_stream_equals_batch_with_late_parents(spark, folder):
     assert rows(store.customers(), *customers.columns) == rows(customers)
     assert rows(store.accepted("orders"), *orders.columns) == rows(orders)
     assert rows(store.accepted("order_items"), *items.columns) == rows(items)
+    # A row is written once, however long it waits, and what still waits has no parent.
+    arrived = silver.valid_items(parts["order_items"])
+    assert sinks.stored_rows(spark, store.folder("order_items")).count() == arrived.count()
+    assert store.waiting("order_items").count() == arrived.count() - items.count()
     compacted = incremental.compact_customers(store, f"{folder}/compacted")
     assert rows(compacted.drop("_loaded_at"), *customers.columns) == rows(customers)
 
@@ -58,7 +63,8 @@ def test_a_batch_that_runs_again_after_settling_accepts_rows_once(spark, folder)
     incremental.refresh_orders(store, feeds["orders"], AS_OF).awaitTermination()
     assert store.accepted("orders").count() == 0
     incremental.refresh_customers(store, feeds["customers"]).awaitTermination()
-    incremental.settle(store, "orders", store.customer_versions(), "customer_id")
+    incremental.settle(store, "orders")
+    incremental.settle(store, "orders")
     expected = rows(store.accepted("orders"))
     assert len(expected) == bronze["orders"].count()
     again = feeds_of(spark, folder, {"orders": bronze["orders"].schema})["orders"]
@@ -66,6 +72,24 @@ def test_a_batch_that_runs_again_after_settling_accepts_rows_once(spark, folder)
     assert rows(store.accepted("orders")) == expected
 
 
+def test_a_batch_reads_the_buckets_of_its_keys(spark, folder):
+    store = incremental.Store(spark, folder)
+    assert store.keys("customers") is None
+    store.add_keys("customers", spark.range(1000).withColumnRenamed("id", "customer_id"), 0)
+    store.add_keys("customers", spark.range(990, 1010).withColumnRenamed("id", "customer_id"), 1)
+    keys = store.keys("customers")
+    one = spark.createDataFrame([(5,), (5,)], "customer_id long")
+    found = incremental._known(one, keys, "customer_id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    bucket = one.select(incremental._bucket(F.col("customer_id"))).first()[0]
+    numbers = r"PartitionFilters: \[isnotnull\(bucket#\d+\), \(bucket#\d+ = (\d+)\)\]"
+    assert re.findall(numbers, plan) == [str(bucket)]
+    assert rows(found) == [(5,)]
+    asked = spark.createDataFrame([(995,), (1005,), (2000,), (None,)], "customer_id long")
+    assert rows(incremental._known(asked, keys, "customer_id")) == [(1005,), (995,)]
+    assert incremental._known(asked.limit(0), keys, "customer_id").count() == 0
+
+
 def test_refresh_without_new_files_changes_nothing(spark, folder):
     source = sinks.replace(SalesModel(spark, SMALL).bronze["customers"], f"{folder}/in/customers")
     store = incremental.Store(spark, folder)
