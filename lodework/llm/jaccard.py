@@ -4,10 +4,13 @@ Texts with the same shingle set are one *kind*. In every run a kind walks down a
 each level a token is sampled from its set by a minwise hash of that run and level, and
 kinds that chose the same token stay together - with a probability equal to their Jaccard
 similarity. A bucket of at most ``SMALL`` kinds is compared by brute force; a larger one
-is split by the next level, down to ``LEVELS``; what is larger even there (one passage's
-near copies, mostly) is compared in blocks, all against all, with nothing left out. Runs
-are repeated until a pair at the threshold, on the deepest path, is found with the
-target recall.
+is split by the next level, down to ``LEVELS``. What is larger even there is mostly one
+passage's near copies. They are packed into *balls*: the kinds whose exact distance from
+a representative is at most half of the distance that links. Jaccard distance is a metric,
+so all kinds of a ball are linked, and their links are counted from the ball's size. What
+remains of a large bucket is compared in blocks, all pairs but those inside a ball, with
+nothing left out. Runs are repeated until a pair at the threshold, on the deepest path, is
+found with the target recall.
 
 A pair belongs to the first run that brings it together, so it counts once. Pairs are
 first weighed by the minwise hashes and, if they may reach the threshold, compared by
@@ -28,7 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodework.llm.common import same, stored
@@ -42,6 +45,8 @@ BLOCK = 400
 #: Pairs whose minwise estimate is this far below the threshold are not compared exactly (five standard deviations).
 SLACK = 0.3
 _STEP = 1 << 21
+#: Parts over which the rows of one key are spread in joins with a table of few rows a bucket or ball.
+SPREAD = 64
 
 
 def runs(similarity: float = SIMILARITY, recall: float = RECALL, levels: int = LEVELS) -> int:
@@ -112,13 +117,77 @@ def _buckets(kinds: DataFrame, n_runs: int, levels: int, small: int) -> DataFram
     return every
 
 
+def _spread_join(rows: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
+    """Join on ``keys`` where ``few`` has one row a key: its rows are repeated, so that a hot key lies in many tasks."""
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64("kind"), F.lit(SPREAD)))
+    copied = few.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    return dealt.join(copied, [*keys, "_part"]).drop("_part")
+
+
+def _sets(docs: DataFrame, kinds: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``kind, tokens`` of the wanted kinds, read from the text of the first document of each."""
+    texts = stored(wanted.join(kinds.select("kind", "_first.*"), "kind"), "wanted-kinds")
+    source = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_content"), "text")
+    # A merge join at every size: the side of the texts grows with the documents, that of the keys with the links.
+    read = source.join(texts.hint("merge"), same(source, texts, ["_id", "_content"])).select("kind", _tokens(F.col("text")).alias("tokens"))
+    return read.dropDuplicates(["kind"])
+
+
+def _balls(docs: DataFrame, kinds: DataFrame, buckets: DataFrame, similarity: float, block: int) -> DataFrame:
+    """``kind, ball, others, least`` of the kinds in balls: the ball, its other documents, and its least kind.
+
+    A kind of large buckets asks for the least kind met there; it is in that one's ball if it
+    is near enough by the exact sets. A ball of fewer kinds than a block is given up.
+    """
+    large = buckets.filter(F.col("n") > block).select("kind", "run", "bucket")
+    if large.limit(1).count() == 0:
+        return kinds.sparkSession.createDataFrame([], "kind binary, ball long, others long, least binary")
+    heads = large.groupBy("run", "bucket").agg(F.min("kind").alias("head"))
+    asked = stored(_spread_join(large, heads, ["run", "bucket"]).groupBy("kind").agg(F.min("head").alias("head")), "asked")
+    sets = stored(_sets(docs, kinds, asked.select("kind")), "large-sets")
+    centres = sets.join(asked.select(F.col("head").alias("kind")).distinct(), "kind").select(
+        F.col("kind").alias("head"), F.col("tokens").alias("_centre"))
+    shared = F.size(F.array_intersect("tokens", "_centre"))
+    union = F.size("tokens") + F.size("_centre") - shared
+    # Half the distance that links; room for the last bit only, as where pairs are compared.
+    inside = _spread_join(asked.join(sets, "kind"), centres, ["head"]).filter(
+        shared >= F.lit((1 + similarity) / 2) * union - 1e-9).select("kind", "head")
+    inside = stored(inside.join(kinds.select("kind", "copies"), "kind"), "near-heads")
+    totals = inside.groupBy("head").agg(F.count(F.lit(1)).alias("_kinds"), F.sum("copies").alias("_all"), F.min("kind").alias("least"))
+    return stored(_spread_join(inside, totals.filter(F.col("_kinds") >= block), ["head"]).select(
+        "kind", F.xxhash64("head").alias("ball"), (F.col("_all") - F.col("copies")).alias("others"), "least"), "balls")
+
+
 def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Rows of ``members`` dealt to the pairs of blocks of their bucket; ``low`` tells which block the row is of."""
-    n = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("kind"), n).cast("int")
-    return members.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), n - 1))).select(
-        *members.columns, F.least("_own", "_other").alias("block_a"), F.greatest("_own", "_other").alias("block_b"),
-        (F.col("_own") <= F.col("_other")).alias("low"))
+    """Rows of ``members`` (with their ``ball``, 0 for none) dealt to the pairs of blocks of their bucket.
+
+    A small bucket is one block. In a larger one the kinds of a ball have blocks of their own,
+    which are not paired with each other; a ball with less than a block there counts as none.
+    ``low`` tells which block the row is of.
+    """
+    one = members.filter(F.col("n") <= block).select(
+        "kind", "run", "bucket", F.lit(0).alias("block_a"), F.lit(0).alias("block_b"), F.lit(True).alias("low"))
+    large = members.filter(F.col("n") > block).select("kind", "run", "bucket", "ball")
+    here = large.groupBy("run", "bucket", "ball").agg(F.count(F.lit(1)).alias("_m"))
+    # One row a ball and bucket: a window holds as many rows as a bucket has balls.
+    bucket = Window.partitionBy("run", "bucket")
+    before = bucket.orderBy("ball").rowsBetween(Window.unboundedPreceding, -1)
+    packed = (F.col("ball") != 0) & (F.col("_m") >= block)
+    here = here.withColumn("_packed", packed).withColumn("_own", F.when(packed, F.ceil(F.col("_m") / block)).otherwise(0)).select(
+        "run", "bucket", "ball", "_packed", "_own",
+        F.ceil(F.sum(F.when(packed, 0).otherwise(F.col("_m"))).over(bucket) / block).alias("_free"),
+        F.coalesce(F.sum("_own").over(before), F.lit(0)).alias("_before"), F.sum("_own").over(bucket).alias("_balls"))
+    here = here.select(
+        "run", "bucket", "ball", "_packed", (F.col("_free") + F.col("_balls")).cast("int").alias("_n"),
+        F.when(F.col("_packed"), F.col("_free") + F.col("_before")).otherwise(0).cast("int").alias("_first"),
+        F.when(F.col("_packed"), F.col("_own")).otherwise(F.col("_free")).cast("int").alias("_blocks"))
+    every = F.sequence(F.lit(0), F.col("_n") - 1)
+    others = F.when(F.col("_packed"), F.filter(every, lambda k: (k < F.col("_first")) | (k >= F.col("_first") + F.col("_blocks")))).otherwise(every)
+    dealt = _spread_join(large, here, ["run", "bucket", "ball"]).withColumn(
+        "_mine", F.col("_first") + F.pmod(F.xxhash64("kind"), F.col("_blocks")).cast("int")).withColumn("_other", F.explode(others))
+    return one.unionByName(dealt.select(
+        "kind", "run", "bucket", F.least("_mine", "_other").alias("block_a"), F.greatest("_mine", "_other").alias("block_b"),
+        (F.col("_mine") <= F.col("_other")).alias("low")))
 
 
 _GROUP = ["run", "bucket", "block_a", "block_b"]
@@ -158,15 +227,17 @@ def _matrix(table: pa.Table, name: str) -> np.ndarray:
 
 
 def _new_pairs(table: pa.Table, similarity: float) -> np.ndarray:
-    """Which pairs of rows (i < j) may reach the similarity and meet in this run for the first time."""
+    """Which pairs of rows (i < j), not of one ball, may reach the similarity and meet in this run for the first time."""
     n, run = table.num_rows, table.column("run")[0].as_py()
     path, met = _matrix(table, "path"), _matrix(table, "buckets")
-    low = table.column("low").to_numpy()
+    low, ball = table.column("low").to_numpy(), table.column("ball").to_numpy()
     across = table.column("block_a")[0].as_py() != table.column("block_b")[0].as_py()
     pairs = np.zeros((n, n), bool)
     for i in range(n - 1):
         able = (path[i + 1:] == path[i]).mean(1) >= similarity - SLACK
         able &= ~((met[i + 1:, :run] == met[i, :run]) & (met[i, :run] != 0)).any(1)
+        if ball[i]:
+            able &= ball[i + 1:] != ball[i]
         if across:
             able &= low[i + 1:] != low[i]
         pairs[i, i + 1:] = able
@@ -252,16 +323,17 @@ def linked(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
     met = buckets.groupBy("kind").agg(F.map_from_entries(F.collect_list(F.struct("run", "bucket"))).alias("_met"))
     met = met.select("kind", F.transform(F.sequence(F.lit(0), F.lit(n_runs - 1)), lambda r: F.coalesce(
         F.try_element_at("_met", r), F.lit(0).cast("long"))).alias("buckets"))
-    members = _blocks(buckets.join(met.join(kinds.select("kind", "path", "copies"), "kind"), "kind"), block)
-    able = stored(_by_group(members, lambda t: _candidates(t, similarity),
+    balls = _balls(docs, kinds, buckets, similarity, block)
+    ball = F.coalesce("ball", F.lit(0).cast("long")).alias("ball")
+    shown = met.join(kinds.select("kind", "path", "copies"), "kind").join(balls.select("kind", "ball"), "kind", "left").select(
+        "kind", "path", "copies", "buckets", ball)
+    dealt = _blocks(buckets.join(balls.select("kind", "ball"), "kind", "left").select("kind", "run", "bucket", "n", ball), block)
+    able = stored(_by_group(dealt.join(shown, "kind"), lambda t: _candidates(t, similarity),
                             "kind binary, run int, bucket long, block_a int, block_b int, low boolean"), "able")
-    texts = stored(able.select("kind").distinct().join(kinds.select("kind", "_first.*"), "kind"), "able-kinds")
-    source = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_content"), "text")
-    # A merge join at every size: the side of the texts grows with the documents, that of the keys with the links.
-    read = source.join(texts.hint("merge"), same(source, texts, ["_id", "_content"])).select("kind", _tokens(F.col("text")).alias("tokens"))
-    read = stored(read.dropDuplicates(["kind"]), "able-sets")
-    whole = able.join(met, "kind").join(kinds.select("kind", "path", "copies"), "kind").join(read, "kind")
-    found = stored(_by_group(whole, lambda t: _links(t, similarity), "kind binary, links long, to binary"), "links")
+    read = stored(_sets(docs, kinds, able.select("kind").distinct()), "able-sets")
+    found = stored(_by_group(able.join(shown, "kind").join(read, "kind"), lambda t: _links(t, similarity),
+                             "kind binary, links long, to binary"), "links")
+    found = found.union(balls.select("kind", "others", "least"))
     numbers = found.groupBy("kind").agg(F.sum("links").alias("links"))
     return told, kinds.select("kind", "copies").join(numbers, "kind", "left"), found.select(
         F.col("kind").alias("a"), F.col("to").alias("b"))
@@ -290,7 +362,10 @@ def join(docs: DataFrame, **options) -> DataFrame:
 
 
 def clean(docs: DataFrame, **options) -> DataFrame:
-    """The documents, with all their columns: of each group the one of the least id; equal rows count as one."""
+    """The documents, with all their columns: of each group the one of the least id.
+
+    Of rows equal in id and text, that whose other columns come first as JSON stays.
+    """
     owned = _labelled(docs, **options)
     grouped = owned.filter(F.col("label").isNotNull()).groupBy("label").agg(
         F.min(F.struct(F.col("_id").isNull().alias("_null"), "_id", "_content")).alias("_k"))
@@ -299,4 +374,5 @@ def clean(docs: DataFrame, **options) -> DataFrame:
     keyed = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_content"),
                         F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
     found = keyed.join(kept, same(keyed, kept, ["_id", "_content"])).select(keyed["_id"], keyed["_content"], "_row")
-    return found.dropDuplicates(["_id", "_content"]).select("_row.*")
+    others = F.to_json(F.struct(F.lit(0).alias("_none"), *[F.col(f"_row.`{c}`") for c in docs.columns if c != "text"]))
+    return found.groupBy("_id", "_content").agg(F.min_by("_row", others).alias("_row")).select("_row.*")

@@ -89,3 +89,46 @@ def test_runs_reach_the_recall():
 
 def test_empty_table(spark):
     assert jaccard.join(data.empty(spark, data.DOCUMENTS)).count() == 0
+
+
+def template(n, seed=71):
+    base = data.text(seed, 200, 200)
+    return [(1000 + i, data.edited(base, 1, i), "en", "a", 0) for i in range(n)]
+
+
+def dealt_rows(monkeypatch, spark, rows):
+    counts, blocks = [], jaccard._blocks
+
+    def counted(members, block):
+        made = blocks(members, block)
+        counts.append(made.filter("block_b > 0").count())
+        return made
+
+    monkeypatch.setattr(jaccard, "_blocks", counted)
+    found = Counter(map(tuple, jaccard.join(data.documents(spark, rows), small=4, block=16, recall=0.9).collect()))
+    monkeypatch.setattr(jaccard, "_blocks", blocks)
+    return counts[0], found
+
+
+def test_a_templates_variants_are_packed(spark, monkeypatch):
+    """Rows dealt to blocks grow with the variants, not with their square, and every link is counted."""
+    few, found = dealt_rows(monkeypatch, spark, template(200))
+    assert found == linked(template(200))
+    many, found = dealt_rows(monkeypatch, spark, template(800))
+    assert all(n == 799 and c == 1000 for _, c, n in found) and len(found) == 800
+    assert many <= 6 * max(few, 100)
+
+
+def test_balls_beside_looser_copies_and_other_texts(spark):
+    """Two templates that share half of their words, tight and loose variants of both, and copies of variants."""
+    one, two = data.text(72, 200, 200), data.text(72, 200, 200)[:600] + " " + data.text(73, 120, 120)
+    rows = [(2000 + i, data.edited(base, 1 + 3 * (i % 4 == 0), i), "en", "a", 0) for base, first in ((one, 0), (two, 150)) for i in range(first, first + 150)]
+    rows += [(3000 + i, rows[i][1], "en", "b", 0) for i in range(0, 60, 3)]
+    found = Counter(map(tuple, jaccard.join(data.documents(spark, rows), small=4, block=16, recall=0.99999).collect()))
+    assert found == linked(rows)
+
+
+def test_of_equal_rows_the_first_by_its_other_columns_stays(spark):
+    rows = [(1, data.text(74, 60), lang, source, 0) for lang in ("fr", "en", None) for source in ("b", "a")]
+    kept = [tuple(jaccard.clean(data.documents(spark, order)).collect()[0])[2:4] for order in (rows, rows[::-1])]
+    assert kept[0] == kept[1]
