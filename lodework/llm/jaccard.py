@@ -133,18 +133,19 @@ def _sets(docs: DataFrame, kinds: DataFrame, wanted: DataFrame) -> DataFrame:
     return read.dropDuplicates(["kind"])
 
 
-def _balls(docs: DataFrame, kinds: DataFrame, buckets: DataFrame, similarity: float, block: int) -> DataFrame:
+def _asked(buckets: DataFrame, block: int) -> DataFrame:
+    """``kind, head`` of every kind of a large bucket: the least kind that it met in one."""
+    large = buckets.filter(F.col("n") > block).select("kind", "run", "bucket")
+    heads = large.groupBy("run", "bucket").agg(F.min("kind").alias("head"))
+    return _spread_join(large, heads, ["run", "bucket"]).groupBy("kind").agg(F.min("head").alias("head"))
+
+
+def _balls(asked: DataFrame, sets: DataFrame, kinds: DataFrame, similarity: float, block: int) -> DataFrame:
     """``kind, ball, others, least`` of the kinds in balls: the ball, its other documents, and its least kind.
 
-    A kind of large buckets asks for the least kind met there; it is in that one's ball if it
-    is near enough by the exact sets. A ball of fewer kinds than a block is given up.
+    A kind is in the ball of the head it asked for if it is near enough by the exact sets. A
+    ball of fewer kinds than a block is given up.
     """
-    large = buckets.filter(F.col("n") > block).select("kind", "run", "bucket")
-    if large.limit(1).count() == 0:
-        return kinds.sparkSession.createDataFrame([], "kind binary, ball long, others long, least binary")
-    heads = large.groupBy("run", "bucket").agg(F.min("kind").alias("head"))
-    asked = stored(_spread_join(large, heads, ["run", "bucket"]).groupBy("kind").agg(F.min("head").alias("head")), "asked")
-    sets = stored(_sets(docs, kinds, asked.select("kind")), "large-sets")
     centres = sets.join(asked.select(F.col("head").alias("kind")).distinct(), "kind").select(
         F.col("kind").alias("head"), F.col("tokens").alias("_centre"))
     shared = F.size(F.array_intersect("tokens", "_centre"))
@@ -154,19 +155,23 @@ def _balls(docs: DataFrame, kinds: DataFrame, buckets: DataFrame, similarity: fl
         shared >= F.lit((1 + similarity) / 2) * union - 1e-9).select("kind", "head")
     inside = stored(inside.join(kinds.select("kind", "copies"), "kind"), "near-heads")
     totals = inside.groupBy("head").agg(F.count(F.lit(1)).alias("_kinds"), F.sum("copies").alias("_all"), F.min("kind").alias("least"))
-    return stored(_spread_join(inside, totals.filter(F.col("_kinds") >= block), ["head"]).select(
-        "kind", F.xxhash64("head").alias("ball"), (F.col("_all") - F.col("copies")).alias("others"), "least"), "balls")
+    return _spread_join(inside, totals.filter(F.col("_kinds") >= block), ["head"]).select(
+        "kind", F.xxhash64("head").alias("ball"), (F.col("_all") - F.col("copies")).alias("others"), "least")
+
+
+def _small(buckets: DataFrame, block: int) -> DataFrame:
+    """Rows of the buckets that are one block."""
+    return buckets.filter(F.col("n") <= block).select(
+        "kind", "run", "bucket", F.lit(0).alias("block_a"), F.lit(0).alias("block_b"), F.lit(True).alias("low"))
 
 
 def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Rows of ``members`` (with their ``ball``, 0 for none) dealt to the pairs of blocks of their bucket.
+    """Rows of large buckets (with their ``ball``, 0 for none) dealt to the pairs of blocks of their bucket.
 
-    A small bucket is one block. In a larger one the kinds of a ball have blocks of their own,
-    which are not paired with each other; a ball with less than a block there counts as none.
-    ``low`` tells which block the row is of.
+    The kinds of a ball have blocks of their own, which are not paired with each other; a
+    ball with less than a block in a bucket counts as none there. ``low`` tells which block
+    the row is of.
     """
-    one = members.filter(F.col("n") <= block).select(
-        "kind", "run", "bucket", F.lit(0).alias("block_a"), F.lit(0).alias("block_b"), F.lit(True).alias("low"))
     large = members.filter(F.col("n") > block).select("kind", "run", "bucket", "ball")
     here = large.groupBy("run", "bucket", "ball").agg(F.count(F.lit(1)).alias("_m"))
     # One row a ball and bucket: a window holds as many rows as a bucket has balls.
@@ -185,9 +190,9 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
     others = F.when(F.col("_packed"), F.filter(every, lambda k: (k < F.col("_first")) | (k >= F.col("_first") + F.col("_blocks")))).otherwise(every)
     dealt = _spread_join(large, here, ["run", "bucket", "ball"]).withColumn(
         "_mine", F.col("_first") + F.pmod(F.xxhash64("kind"), F.col("_blocks")).cast("int")).withColumn("_other", F.explode(others))
-    return one.unionByName(dealt.select(
+    return dealt.select(
         "kind", "run", "bucket", F.least("_mine", "_other").alias("block_a"), F.greatest("_mine", "_other").alias("block_b"),
-        (F.col("_mine") <= F.col("_other")).alias("low")))
+        (F.col("_mine") <= F.col("_other")).alias("low"))
 
 
 _GROUP = ["run", "bucket", "block_a", "block_b"]
@@ -323,15 +328,22 @@ def linked(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
     met = buckets.groupBy("kind").agg(F.map_from_entries(F.collect_list(F.struct("run", "bucket"))).alias("_met"))
     met = met.select("kind", F.transform(F.sequence(F.lit(0), F.lit(n_runs - 1)), lambda r: F.coalesce(
         F.try_element_at("_met", r), F.lit(0).cast("long"))).alias("buckets"))
-    balls = _balls(docs, kinds, buckets, similarity, block)
+    shown = met.join(kinds.select("kind", "path", "copies"), "kind")
+    asked = stored(_asked(buckets, block), "asked")
+
+    def candidates(dealt: DataFrame, known: DataFrame) -> DataFrame:
+        return _by_group(dealt.join(known, "kind"), lambda t: _candidates(t, similarity),
+                         "kind binary, run int, bucket long, block_a int, block_b int, low boolean")
+
+    able = stored(candidates(_small(buckets, block), shown.withColumn("ball", F.lit(0).cast("long"))), "able")
+    # The texts move once: for these, and for all kinds of large buckets.
+    sets = stored(_sets(docs, kinds, able.select("kind").union(asked.select("kind")).distinct()), "able-sets")
+    balls = stored(_balls(asked, sets, kinds, similarity, block), "balls")
     ball = F.coalesce("ball", F.lit(0).cast("long")).alias("ball")
-    shown = met.join(kinds.select("kind", "path", "copies"), "kind").join(balls.select("kind", "ball"), "kind", "left").select(
-        "kind", "path", "copies", "buckets", ball)
+    shown = shown.join(balls.select("kind", "ball"), "kind", "left").select("kind", "path", "copies", "buckets", ball)
     dealt = _blocks(buckets.join(balls.select("kind", "ball"), "kind", "left").select("kind", "run", "bucket", "n", ball), block)
-    able = stored(_by_group(dealt.join(shown, "kind"), lambda t: _candidates(t, similarity),
-                            "kind binary, run int, bucket long, block_a int, block_b int, low boolean"), "able")
-    read = stored(_sets(docs, kinds, able.select("kind").distinct()), "able-sets")
-    found = stored(_by_group(able.join(shown, "kind").join(read, "kind"), lambda t: _links(t, similarity),
+    able = able.unionByName(stored(candidates(dealt, shown), "able-in-blocks"))
+    found = stored(_by_group(able.join(shown, "kind").join(sets, "kind"), lambda t: _links(t, similarity),
                              "kind binary, links long, to binary"), "links")
     found = found.union(balls.select("kind", "others", "least"))
     numbers = found.groupBy("kind").agg(F.sum("links").alias("links"))
