@@ -21,7 +21,7 @@ def test_customers(spark, fact):  # noqa: F811
     customers = spark.createDataFrame([(1,), (2,), (3,)], "customer_id long")
     dims = spark.createDataFrame(
         [(1, "A", "EU", date(1995, 2, 28), date(1996, 2, 29), D("250.00"), 3, 366),
-         (2, "B", "AS", date(1995, 3, 5), date(1997, 1, 1), D("45.00"), 3, 945)],
+         (2, "B", "AS", date(1995, 3, 5), date(1997, 1, 1), D("45.00"), 4, 945)],
         "customer_id long, segment string, region string, first_order_date date, last_order_date date, "
         "lifetime_value decimal(28,2), lifetime_order_count long, customer_tenure_days int")
     orders = fact.select("customer_id", F.col("date_key").alias("order_date")).distinct()
