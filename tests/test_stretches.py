@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodework.operators import features, stretches
 from lodework.operators.features import Spine
-from lodework.plans.queries import per_month
+from lodework.plans.queries import per_month, portable
 from tests.conftest import rows
 from tests.test_features import D, fact  # noqa: F401
 
@@ -71,3 +71,21 @@ def test_products(spark, fact):  # noqa: F811
     assert rows(features.volume_health([present])) == rows(features.volume_health([daily]))
     assert rounded(features.trend_of_stretches(held)) == rounded(features.product_trend(daily))
     assert rounded(features.trend_fit_of_stretches(held)) == rounded(features.product_trend_fit(daily))
+
+
+def test_products_per_month(spark, fact):  # noqa: F811
+    """Ranks of every day from cells of month and interval equal those of the daily table, with equal values and copies of a product."""
+    products = spark.createDataFrame([(n,) for n in range(1, 7)], "product_id long")
+    attributes = spark.createDataFrame(
+        [(n, "A", None, float(n)) for n in (1, 1, 2, 3, 4, 5, 6)],
+        "product_id long, category string, manufacturer string, unit_price double")
+    some = fact.unionByName(fact.withColumn("product_id", F.lit(5).cast("bigint")))
+    made = features.product_stretches(some, products, SPINE)
+    daily = features.product_performance(some, products, SPINE).localCheckpoint()
+    for resolution in (1, 16):
+        assert rows(portable(features.ranked_products_per_month(made, resolution=resolution))) == rows(
+            portable(per_month(daily, "product_id")))
+    shown = made.of(features.training_data_products(made.rows, attributes))
+    told = features.ranked_products_per_month(made, shown)
+    assert rows(portable(told)) == rows(portable(
+        per_month(features.training_data_products(daily, attributes), "product_id")))
