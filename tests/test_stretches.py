@@ -89,3 +89,11 @@ def test_products_per_month(spark, fact):  # noqa: F811
     told = features.ranked_products_per_month(made, shown)
     assert rows(portable(told)) == rows(portable(
         per_month(features.training_data_products(daily, attributes), "product_id")))
+
+
+def test_representatives(spark, fact):  # noqa: F811
+    """Every representative has a row on every date, sold or not, repeated or not."""
+    reps = spark.createDataFrame([(1, D("100.00")), (2, D("50.00")), (7, None), (7, None)], "rep_id long, quota decimal(18,2)")
+    told = {"reps": (features.rep_presence(reps, SPINE), "rep_id")}
+    assert rows(features.table_health_of(told)) == rows(features.table_health(
+        {"reps": (features.sales_rep_quota(fact, reps, SPINE), "rep_id")}))
