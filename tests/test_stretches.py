@@ -97,3 +97,11 @@ def test_representatives(spark, fact):  # noqa: F811
     told = {"reps": (features.rep_presence(reps, SPINE), "rep_id")}
     assert rows(features.table_health_of(told)) == rows(features.table_health(
         {"reps": (features.sales_rep_quota(fact, reps, SPINE), "rep_id")}))
+
+
+def test_cuts_infer_no_condition(spark):
+    """A cut adds no condition on its days to the plan: conditions multiply in every later step, and planning did not end."""
+    rows_ = spark.createDataFrame([(1, 5, date(1995, 1, 1), date(1995, 3, 1))], "customer_id long, recency_days int, _from date, _until date")
+    made = stretches.Stretches(rows_, SPINE, ("recency_days",)).cut(F.array(F.date_add("_from", 3), F.lit(None).cast("date")))
+    assert "size(" not in made.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(made.rows) == [(1, 5, date(1995, 1, 1), date(1995, 1, 3)), (1, 8, date(1995, 1, 4), date(1995, 3, 1))]
