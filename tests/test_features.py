@@ -173,3 +173,12 @@ def test_importance(spark):
                                    (F.col("id") % 5).alias("noise"))
     found = features.feature_importance(frame, "target").collect()
     assert [r.feature for r in found] == ["a", "noise"] and abs(found[0].correlation_with_target + 1) < 1e-9
+
+
+def test_products_move_once_by_day_and_once_by_product(spark, fact):
+    products = spark.createDataFrame([(1,), (2,)], "product_id long").repartition("product_id")
+    lines = features.product_stretches(fact.repartition("order_id"), products, DAILY).rows
+    plan = lines._jdf.queryExecution().executedPlan().toString().split("\n")
+    moved = [line for line in plan if "Exchange hashpartitioning" in line]
+    assert not [line for line in moved if "order_item_key" in line]
+    assert len([line for line in moved if "product_id" in line]) == 3  # per day, per product, and the list of products
