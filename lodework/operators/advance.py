@@ -31,6 +31,12 @@ def _of_month(day: date) -> Spine:
     return Spine(day.replace(day=1), day)
 
 
+def moving(first: date, last: date, months: int = 12) -> Column:
+    """The facts that enter or leave the window on some day from ``first`` to ``last``: two ranges of ``date_key``."""
+    day = F.col("date_key")
+    return day.between(F.lit(first), F.lit(last)) | day.between(_back(first - _DAY, months), _back(last, months))
+
+
 # --- customers -----------------------------------------------------------------------------------
 
 def rfm_state(fact: DataFrame, customers: DataFrame, day: date, months: int = 12) -> DataFrame:

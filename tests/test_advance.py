@@ -84,3 +84,14 @@ def test_gate_runs_add_up(spark, folder):
     latest = governance.latest_run(history)
     assert latest.count() == 11 and {r.run_id for r in latest.collect()} == {3}
     assert "Window" not in latest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_moving_facts_are_enough_for_their_days(spark, fact, folder):  # noqa: F811
+    products = spark.createDataFrame([(1,), (2,)], "product_id long")
+    first, last = date(1997, 2, 27), date(1997, 3, 1)
+    moving = fact.filter(advance.moving(first, last))
+    assert 0 < moving.count() < fact.count()
+    before = advance.product_state(fact, products, first - timedelta(days=1))
+    few = stepped(f"{folder}/few", first - timedelta(days=1), lambda day: before,
+                  lambda state, day: advance.product_next(state, moving, products, day), last)
+    assert rows(few) == rows(advance.product_state(fact, products, last))
