@@ -83,3 +83,12 @@ def test_manual_check_is_seeded_once_and_marked(spark, folder):
 def test_catalogue_matches_without_case(spark):
     sla = governance.sla_status(published(spark), NOW)
     assert reports.product_catalogue(sla, reports.product_comments(spark)).filter("table_comment IS NULL").count() == 0
+
+
+def test_freshness_from_counts_equals_that_of_the_tables(spark):
+    now, old = datetime(2025, 1, 1, 12), datetime(2024, 12, 20)
+    sizes = dict(zip([p.name for p in products.REGISTRY], (3, 0, 1, 2)))
+    times = {name: old if n == 1 else now for name, n in sizes.items()}
+    tables = {name: spark.range(n).withColumn("_refreshed_at", F.lit(times[name]).cast("timestamp_ntz")) for name, n in sizes.items()}
+    counts = spark.createDataFrame(list(sizes.items()), "table_name string, row_count long")
+    assert rows(governance.sla_of_counts(counts, times, now)) == rows(governance.sla_status(tables, now))
