@@ -62,3 +62,11 @@ def test_one_hot_customer(spark):
     assert total == model.dim_customers.agg(F.sum("lifetime_value")).first()[0]
     top = skewed.lifetime_value.orderBy(F.col("lifetime_value").desc()).first()
     assert top.customer_id == 7 and top.lifetime_order_count >= 500
+
+
+def test_a_table_left_out_is_computed_instead(spark, folder):
+    stored = build.run(spark, SMALL, folder, phases=("gold",), without=(
+        "gold.monthly_sales_summary", "gold.product_performance", "gold.sales_rep_scorecard", "gold.customer_segmentation",
+        "gold.customer_lifetime_value"))
+    assert "gold.fact_orders" in stored.stored and "gold.monthly_sales_summary" not in stored.stored
+    assert stored.fact.count() == SalesModel(spark, SMALL).fact.count()
