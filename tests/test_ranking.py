@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lodework.functions.ranking import By, at_shares, dense_ranked, fifths, first_at, numbered, side_by_side
+from lodework.functions.ranking import By, at_shares, dense_ranked, fifths, first_at, narrowed, numbered, side_by_side
 from tests.conftest import rows
 
 
@@ -85,3 +85,15 @@ def test_empty_tables(values):
     assert first_at(none, [[By("v")], [By("k")]], ["g"], fifths).count() == 0
     assert dense_ranked(none, "r", By("v"), ["g"]).count() == 0
     assert numbered(none, "n", [By("v")]).count() == 0
+
+
+def test_narrowed_places_equal_those_of_the_rows(spark):
+    values = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 37 % 101).alias("v"))
+    asked = ["r1", "r2", "r3", "r4"]
+    tens = values.withColumn("t", F.floor(F.col("v") / 10)).groupBy("g", "t").agg(F.count("v").alias("_n"))
+    near = narrowed(tens, ["g"], ["t"], asked, fifths)
+    met = values.withColumn("t", F.floor(F.col("v") / 10)).join(near, ["g", "t"])
+    found = narrowed(met.groupBy("g", "t", *asked, "v").agg(F.count("v").alias("_n")), ["g", "t"], ["v"], asked)
+    at = F.inline(F.array(*[F.struct(F.lit(i).alias("place"), F.col(c).alias("rest")) for i, c in enumerate(asked, 1)]))
+    told = found.select("g", "v", at).filter("rest IS NOT NULL")
+    assert rows(told, "g", "place", "v", "rest") == rows(first_at(values, [[By("v")]], ["g"], fifths), "g", "place", "v", "rest") != []

@@ -1,5 +1,6 @@
 """Stretches say what the days say: every summary over stretches equals the one over the daily table."""
 
+import re
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -105,3 +106,35 @@ def test_cuts_infer_no_condition(spark):
     made = stretches.Stretches(rows_, SPINE, ("recency_days",)).cut(F.array(F.date_add("_from", 3), F.lit(None).cast("date")))
     assert "size(" not in made.rows._jdf.queryExecution().optimizedPlan().toString()
     assert rows(made.rows) == [(1, 5, date(1995, 1, 1), date(1995, 1, 3)), (1, 8, date(1995, 1, 4), date(1995, 3, 1))]
+
+
+def test_stretches_without_a_first_day_are_left_out(spark):
+    rows_ = spark.createDataFrame([(1, None, SPINE.start, SPINE.end), (2, date(1996, 4, 4), SPINE.start, SPINE.end)],
+                                  "customer_id long, first date, _from date, _until date")
+    assert rows(stretches.Stretches(rows_, SPINE).since(F.col("first")).rows, "customer_id", "_from") == [(2, date(1996, 4, 4))]
+
+
+def test_cut_at_columns_equals_cut_at_an_array(spark):
+    rows_ = spark.createDataFrame(
+        [(1, 5, SPINE.start, SPINE.end, date(1995, 3, 1), None), (2, 7, SPINE.start, SPINE.start, date(1995, 3, 1), SPINE.start),
+         (3, None, SPINE.start, SPINE.end, SPINE.end, SPINE.end), (4, 1, SPINE.start, SPINE.end, date(1996, 1, 1), date(1995, 2, 2))],
+        "customer_id long, recency_days int, _from date, _until date, a date, b date")
+    made = stretches.Stretches(rows_, SPINE, ("recency_days",))
+    assert rows(made.cut("a", "b").rows) == rows(made.cut(F.array("a", "b")).rows)
+
+
+def test_months_of_known_texts_are_summed_without_a_sort(spark, fact):  # noqa: F811
+    customers = spark.createDataFrame([(1,), (2,), (3,)], "customer_id long")
+    made = features.rfm_stretches(fact, customers, SPINE)
+    kept = made.of(made.rows.localCheckpoint())
+    told = features.customers_per_month(kept)
+    assert rounded(told) == rounded(stretches.per_month(kept, "customer_id")) == rounded(per_month(kept.daily("customer_id"), "customer_id").select(*told.columns))
+    assert "SortAggregate" not in told._jdf.queryExecution().executedPlan().toString()
+
+
+def test_score_limits_deal_no_value_of_a_whole_month(spark, fact):  # noqa: F811
+    customers = spark.createDataFrame([(1,), (2,), (3,)], "customer_id long")
+    plan = features.rfm_stretches(fact, customers, SPINE).rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(axis#" in plan
+    # Values are dealt inside the finest interval that holds a limit.
+    assert not re.search(r"hashpartitioning\(axis#\d+, _month#\d+, value#\d+, \d+\)", plan)
